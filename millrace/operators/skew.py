@@ -27,7 +27,6 @@ class SkewPolicy:
     """
 
     min_bytes: int = 256 << 20
-    row_bytes: int = 50
     sample_rows: int = 4_000_000
     min_hits: int = 100
     cell_rows: int = 1_000_000
@@ -38,13 +37,26 @@ DEFAULT_POLICY = SkewPolicy()
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a result."""
+    """Catalyst's size estimate of a result; joins multiply it up."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files behind a result."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(
+        int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())
+    )
+
+
 def _sample(df: DataFrame, policy: SkewPolicy):
-    """A sample of about ``sample_rows`` rows, and the hits that make a cell."""
-    rows = max(1, plan_bytes(df) // policy.row_bytes)
+    """About ``sample_rows`` rows and the hits that make a cell, or None if all
+    of ``df`` fits one task.  Counting a Parquet scan reads file footers only."""
+    if input_bytes(df) < policy.min_bytes:
+        return None
+    rows = df.count()
+    if rows <= policy.cell_rows:
+        return None
     fraction = min(1.0, policy.sample_rows / rows)
     cell = max(policy.min_hits, int(fraction * policy.cell_rows))
     return (df.sample(fraction, seed=11) if fraction < 1 else df), cell
@@ -52,9 +64,10 @@ def _sample(df: DataFrame, policy: SkewPolicy):
 
 def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY):
     """``(key, cells)`` of each heavy key, null included; at most a few 10,000."""
-    if plan_bytes(df) < policy.min_bytes:
+    found = _sample(df.select(F.col(key).alias("key")), policy)
+    if found is None:
         return []
-    sample, cell = _sample(df.select(F.col(key).alias("key")), policy)
+    sample, cell = found
     counts = sample.groupBy("key").agg(F.count(F.lit(1)).alias("hits"))
     return [
         (r["key"], -(-r["hits"] // cell))
@@ -77,17 +90,20 @@ def skew_join(
     right_key: str,
     how: str = "inner",
     policy: SkewPolicy = DEFAULT_POLICY,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join of a table that may be skewed with one unique on its key.
 
     ``how`` is inner, left, left_semi or left_anti.  Heavy keys of ``left`` get
     a salt and their rows in ``right`` one copy per salt value.  A small
     ``right`` needs none of that: Catalyst broadcasts it after its size check.
+    Where ``left`` is itself a join, ``probe`` names the table its key comes
+    from, so that looking for heavy keys does not run that join.
     """
     on = left[left_key] == right[right_key]
     heavy = []
     if plan_bytes(right) > policy.broadcast_bytes:
-        heavy = heavy_keys(left, left_key, policy)
+        heavy = heavy_keys(left if probe is None else probe, left_key, policy)
     if not heavy:
         return left.join(right, on, how)
 
@@ -150,11 +166,12 @@ def heavy_slices(
     df: DataFrame, key: str, ts: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> Slices | None:
     """Cut points at every full cell of each heavy key, from one sample."""
-    if plan_bytes(df) < policy.min_bytes:
-        return None
-    sample, cell = _sample(
+    found = _sample(
         df.select(F.col(key).alias("key"), F.unix_micros(ts).alias("micros")), policy
     )
+    if found is None:
+        return None
+    sample, cell = found
     by_key = Window.partitionBy("key").orderBy("micros")
     cuts = (
         sample.withColumn("position", F.row_number().over(by_key))

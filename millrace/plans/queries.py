@@ -273,10 +273,9 @@ def m1_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m2_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.enrich(
-        clean.clean_sales(tables.raw_sales(spark, sf_dir)),
-        tables.users(spark, sf_dir),
-    )
+    path = Landing.clean(spark, sf_dir)
+    sales = partitioned.read_committed(spark, path, schemas.CLEAN_SALES)
+    return marts.enrich(sales, files.read_users(spark, Landing.users(spark, sf_dir)))
 
 
 def m3_daily_region(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,10 +48,10 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = skew_join(
         table(spark, sf_dir, "orders"), buyers, "o_custkey", "c_custkey"
     )
-    lines = skew_join(
-        table(spark, sf_dir, "lineitem"), orders, "l_orderkey", "o_orderkey"
-    )
-    lines = skew_join(lines, table(spark, sf_dir, "part"), "l_partkey", "p_partkey")
+    items = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
+    lines = skew_join(items, orders, "l_orderkey", "o_orderkey")
+    lines = skew_join(lines, parts, "l_partkey", "p_partkey", probe=items)
 
     units = F.col("l_quantity").cast("int").cast("string")
     columns = {

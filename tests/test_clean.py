@@ -1,0 +1,99 @@
+import datetime
+
+import pytest
+
+from millrace import schemas
+from millrace.operators.clean import clean_sales, drop_null
+from millrace.sources.files import inline_table
+
+# Sample rows and what the clean step makes of them.
+FIRST = (
+    "abc-123", "Widget Pro", "Electronics", "5", "19.99", "99.95",
+    "cust-001", "2026-05-19T22:45:06Z", "us-east",
+)
+NO_ID = (
+    None, "Mystery Item", "Food", "3", "5.00", "15.00",
+    "cust-002", "2026-06-01T10:00:00Z", "eu-west",
+)
+SECOND = (
+    "def-456", "Gadget Mini", "Electronics", "3", "49.50", "148.50",
+    "cust-003", "2026-07-04T08:30:00Z", "ap-southeast",
+)
+
+
+@pytest.fixture
+def cleaned(spark):
+    def run(*rows, **options):
+        return clean_sales(inline_table(spark, list(rows)), **options)
+
+    return run
+
+
+@pytest.mark.parametrize(
+    "given, kept",
+    [
+        ([FIRST, NO_ID], ["abc-123"]),
+        ([NO_ID, NO_ID], []),
+        ([FIRST, SECOND], ["abc-123", "def-456"]),
+        ([], []),
+    ],
+)
+def test_rows_without_an_id_go(cleaned, given, kept):
+    assert sorted(r["order_id"] for r in cleaned(*given).collect()) == kept
+
+
+def test_a_blank_id_is_not_null(spark):
+    df = inline_table(spark, [(" ", *FIRST[1:])])
+    assert drop_null(df).count() == 1
+
+
+def test_output_schema(cleaned):
+    df = cleaned(FIRST)
+    assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.CLEAN_SALES]
+    assert df.columns[:9] == list(schemas.SALES_COLUMNS)
+    assert df.columns[9:] == ["order_date", "revenue"]
+
+
+@pytest.mark.parametrize(
+    "row, quantity, price, date",
+    [
+        (FIRST, 5, 19.99, datetime.date(2026, 5, 19)),
+        (SECOND, 3, 49.50, datetime.date(2026, 7, 4)),
+    ],
+)
+def test_typed_and_derived_values(cleaned, row, quantity, price, date):
+    out = cleaned(row).first()
+    assert out["quantity"] == quantity
+    assert out["unit_price"] == pytest.approx(price, rel=1e-6)
+    assert out["revenue"] == pytest.approx(quantity * price, rel=1e-6)
+    assert out["order_date"] == date
+    assert out["order_timestamp"] == row[7]
+    assert out["total_price"] == row[5]
+
+
+def test_revenue_ignores_the_upstream_total(cleaned):
+    row = FIRST[:5] + ("1.00",) + FIRST[6:]
+    assert cleaned(row).first()["revenue"] == 5 * 19.99
+
+
+@pytest.mark.parametrize("position", [3, 4])
+def test_a_bad_number_keeps_the_row(cleaned, position):
+    row = FIRST[:position] + ("N/A",) + FIRST[position + 1 :]
+    out = cleaned(row).first()
+    assert out["order_id"] == "abc-123"
+    assert out["revenue"] is None
+
+
+def test_a_bad_timestamp_gives_a_null_date(cleaned):
+    row = FIRST[:7] + ("yesterday",) + FIRST[8:]
+    assert cleaned(row).first()["order_date"] is None
+
+
+def test_duplicate_ids_stay(cleaned):
+    assert cleaned(FIRST, FIRST).count() == 2
+
+
+def test_without_the_source_total(cleaned):
+    df = cleaned(FIRST, drop_source_total=True)
+    assert "total_price" not in df.columns
+    assert len(df.columns) == 10

@@ -1,0 +1,122 @@
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace import schemas
+from millrace.operators import generate
+from millrace.operators.clean import clean_sales
+from millrace.operators.marts import daily_region
+from millrace.plans import simple_etl
+from millrace.plans.pipeline import STAGES, run_pipeline
+from millrace.sinks.formats import write_drop
+from millrace.sinks.partitioned import is_committed
+from millrace.sources.files import read_csv
+
+AT = datetime(2024, 1, 15, 12, 0, 0)
+N = 1000
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    folder = str(tmp_path / "landing")
+    sales = generate.sales(spark.range(N), users=50, null_rate=0.02)
+    return {
+        "sales": write_drop(sales, "sales", folder, AT),
+        "users": write_drop(generate.users(spark.range(50)), "users", folder, AT),
+    }
+
+
+def test_simple_etl(spark, landed, tmp_path, rows):
+    out = str(tmp_path / "out")
+    result = simple_etl.run_simple_etl(spark, landed["sales"], out)
+    raw = read_csv(spark, landed["sales"])
+    kept = raw.filter("order_id is not null").count()
+    assert 0 < kept < N
+    assert result == {"rows_read": N, "rows_written": kept}
+    back = spark.read.schema(schemas.CLEAN_SALES).parquet(out)
+    assert rows(back, *schemas.CLEAN_SALES.names) == rows(clean_sales(raw))
+    assert sorted(d for d in os.listdir(out) if "=" in d) == sorted(
+        f"region={r}" for r in generate.REGIONS
+    )
+
+
+@pytest.mark.parametrize("mode, times", [("append", 2), ("overwrite", 1)])
+def test_running_twice(spark, landed, tmp_path, mode, times):
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        done = simple_etl.run_simple_etl(spark, landed["sales"], out, mode=mode)
+    assert spark.read.parquet(out).count() == times * done["rows_written"]
+
+
+def test_simple_etl_on_drifted_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("region,order_id\nus,1\n")
+    (folder / "b.csv").write_text("order_id,quantity,unit_price\n2,3,1.5\n")
+    out = str(tmp_path / "out")
+    result = simple_etl.run_simple_etl(spark, str(folder), out, drifted=True)
+    assert result == {"rows_read": 2, "rows_written": 2}
+    revenue = {r["order_id"]: r["revenue"] for r in spark.read.parquet(out).collect()}
+    assert revenue == {"1": None, "2": 4.5}
+
+
+def test_command_line(spark, landed, tmp_path, capsys):
+    out = str(tmp_path / "out")
+    argv = ["--source-path", landed["sales"], "--output-path", out, "--drop-source-total"]
+    simple_etl.main(argv)
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["rows_read"] == N
+    assert "total_price" not in spark.read.parquet(out).columns
+    with pytest.raises(SystemExit):
+        simple_etl.main(["--source-path", landed["sales"]])
+
+
+def test_pipeline(spark, landed, tmp_path, rows):
+    paths = run_pipeline(spark, landed["sales"], landed["users"], str(tmp_path / "w"))
+    assert all(is_committed(spark, paths[s]) for s in STAGES)
+    clean = clean_sales(read_csv(spark, landed["sales"]))
+    enriched = spark.read.schema(schemas.ENRICHED_SALES).parquet(paths["enriched"])
+    assert enriched.count() == clean.count()
+    assert enriched.filter("country is null").count() == 0
+    expected = daily_region(clean)
+    assert rows(spark.read.parquet(paths["daily"]), *expected.columns) == rows(expected)
+
+
+def test_a_failed_stage_stops_the_run_and_resume_goes_on(spark, landed, tmp_path):
+    work = str(tmp_path / "w")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_pipeline(spark, landed["sales"], str(tmp_path / "no-users"), work)
+    done = [s for s in STAGES if is_committed(spark, f"{work}/{s}")]
+    assert done == ["raw", "clean"]
+    stamp = os.path.getmtime(f"{work}/clean/_SUCCESS")
+    run_pipeline(spark, landed["sales"], landed["users"], work, resume=True)
+    assert os.path.getmtime(f"{work}/clean/_SUCCESS") == stamp
+    assert is_committed(spark, f"{work}/daily")
+
+
+def test_resume_rebuilds_everything_after_the_gap(spark, landed, tmp_path):
+    work = str(tmp_path / "w")
+    run_pipeline(spark, landed["sales"], landed["users"], work)
+    os.remove(f"{work}/clean/_SUCCESS")
+    stamp = os.path.getmtime(f"{work}/daily/_SUCCESS")
+    run_pipeline(spark, landed["sales"], landed["users"], work, resume=True)
+    assert os.path.getmtime(f"{work}/daily/_SUCCESS") > stamp
+
+
+def test_users_must_be_unique(spark, landed, tmp_path):
+    twice = generate.users(spark.range(50))
+    users = write_drop(twice.union(twice.limit(1)), "users", str(tmp_path), AT)
+    with pytest.raises(ValueError, match="user_id"):
+        run_pipeline(spark, landed["sales"], users, str(tmp_path / "w"))
+
+
+def test_generated_files_feed_the_job(spark, landed):
+    """Numbers survive the trip through text."""
+    typed = generate.sales(spark.range(N), users=50).select("quantity", "total_price")
+    clean = clean_sales(read_csv(spark, landed["sales"]))
+    off = F.abs(F.col("revenue") - F.col("total_price").try_cast("double"))
+    assert clean.filter(off > 1e-9).count() == 0
+    assert typed.count() == N
