@@ -3,12 +3,21 @@
 A plain cast raises on bad text in ANSI mode.  ``try_cast`` does not, and for
 double and date it accepts exactly what a non-ANSI cast accepts.  For integers
 it is stricter: a non-ANSI cast also truncates decimals ("3.7" -> 3).
+
+Inside, ``try_cast`` builds and catches an exception for each bad value, at a
+cost of some 15 microseconds.  So each function first tests how the text starts,
+which takes a fraction of one; the test may let bad text through to ``try_cast``
+but never holds good text back.
 """
 
 from pyspark.sql import Column, functions as F
 
 _PAD = r"[\x00-\x20]*"
-_DECIMAL = rf"^{_PAD}([+-]?[0-9]*)\.[0-9]*{_PAD}$"
+_SHORT_INT = "^[+-]?[0-9]{1,9}$"
+_NUMBER = rf"^{_PAD}([+-]?[0-9]+)(\.[0-9]*)?{_PAD}$"
+_FRACTION = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
+_DOUBLE_SHAPE = rf"(?i)^{_PAD}[+-]?([0-9.]|nan|inf)"
+_DATE_SHAPE = rf"^{_PAD}[+-]?[0-9]{{4}}"
 
 
 def _column(c) -> Column:
@@ -16,23 +25,24 @@ def _column(c) -> Column:
 
 
 def to_double(c) -> Column:
-    return _column(c).try_cast("double")
+    text = _column(c)
+    return F.when(text.rlike(_DOUBLE_SHAPE), text.try_cast("double"))
 
 
 def to_int(c) -> Column:
-    """Integer part of numeric text; the regex runs only where try_cast fails."""
+    """The integer part of numeric text, null if it does not fit an int."""
     text = _column(c)
-    whole = F.regexp_extract(text, _DECIMAL, 1)
-    truncated = F.when(
-        text.rlike(_DECIMAL),
-        F.when(whole.rlike("[0-9]"), whole.try_cast("int")).otherwise(F.lit(0)),
+    return (
+        F.when(text.rlike(_SHORT_INT), text.try_cast("int"))
+        .when(text.rlike(_NUMBER), F.regexp_extract(text, _NUMBER, 1).try_cast("int"))
+        .when(text.rlike(_FRACTION), F.lit(0))
     )
-    return F.coalesce(text.try_cast("int"), truncated)
 
 
 def to_date(c) -> Column:
     """Date part of an ISO timestamp as written; the session zone plays no role."""
-    return _column(c).try_cast("date")
+    text = _column(c)
+    return F.when(text.rlike(_DATE_SHAPE), text.try_cast("date"))
 
 
 def to_instant(c) -> Column:

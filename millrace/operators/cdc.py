@@ -69,6 +69,7 @@ def scd2_history(
     tie: Sequence[str] = ("change_id",),
     collapse_unchanged: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """One row per version with ``valid_from``, ``valid_to`` and ``is_current``.
 
@@ -76,12 +77,18 @@ def scd2_history(
     closes; a DELETE opens none.  Where changes share a key and a time only the
     last by tie counts.  ``collapse_unchanged`` joins a version to an equal one
     that it directly follows.
+
+    A key with a large share of the log is cut along time and each part windowed
+    on its own.  Where ``changes`` is derived, ``probe`` names a log to look for
+    such keys in.
     """
     attributes = _attributes(changes, key, tie)
     order = ["valid_from", *tie]
     log = changes.withColumnRenamed("updated_at", "valid_from")
 
-    slices = skew.heavy_slices(log, key, "valid_from", policy)
+    slices = skew.heavy_slices(
+        changes if probe is None else probe, key, "updated_at", policy
+    )
     if slices:
         if slices.instants is not None:
             log = _last_at_heavy_instants(log, key, tie, slices.instants)
@@ -157,6 +164,7 @@ def scd2_incremental(
         key,
         tie,
         policy=policy,
+        probe=log,
     )
     kept = skew.skew_join(history, touched, key, "touched_key", "left_anti", policy)
     return rebuilt.unionByName(kept)

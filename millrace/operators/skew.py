@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 class SkewPolicy:
     """When to look for heavy keys, and how finely to split them.
 
-    A key is heavy when it has more than ``cell_rows`` rows by estimate, and at
-    least ``min_hits`` in the sample.  So there are at most
-    ``sample_rows / min_hits`` heavy keys and as many slices, which bounds
-    everything collected or broadcast here.
+    The sample is thinned so that ``cell_rows`` rows of a key give ``min_hits``
+    hits, and further if that were more than ``sample_rows`` rows in all.  A key
+    with more hits than that is heavy and is split into cells of so many hits.
+    So there are at most ``sample_rows / min_hits`` heavy keys and as many
+    cells, which bounds everything collected or broadcast here.
     """
 
     min_bytes: int = 256 << 20
@@ -49,29 +50,29 @@ def input_bytes(df: DataFrame) -> int:
     )
 
 
-def _sample(df: DataFrame, policy: SkewPolicy):
-    """About ``sample_rows`` rows and the hits that make a cell, or None if all
-    of ``df`` fits one task.  Counting a Parquet scan reads file footers only."""
+def _sample(df: DataFrame, policy: SkewPolicy) -> DataFrame | None:
+    """A sample to find heavy keys in, or None if all of ``df`` fits one task.
+
+    Counting a Parquet scan reads file footers only.
+    """
     if input_bytes(df) < policy.min_bytes:
         return None
     rows = df.count()
     if rows <= policy.cell_rows:
         return None
-    fraction = min(1.0, policy.sample_rows / rows)
-    cell = max(policy.min_hits, int(fraction * policy.cell_rows))
-    return (df.sample(fraction, seed=11) if fraction < 1 else df), cell
+    fraction = min(policy.min_hits / policy.cell_rows, policy.sample_rows / rows)
+    return df.sample(fraction, seed=11) if fraction < 1 else df
 
 
 def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY):
     """``(key, cells)`` of each heavy key, null included; at most a few 10,000."""
-    found = _sample(df.select(F.col(key).alias("key")), policy)
-    if found is None:
+    sample = _sample(df.select(F.col(key).alias("key")), policy)
+    if sample is None:
         return []
-    sample, cell = found
     counts = sample.groupBy("key").agg(F.count(F.lit(1)).alias("hits"))
     return [
-        (r["key"], -(-r["hits"] // cell))
-        for r in counts.filter(F.col("hits") > cell).collect()
+        (r["key"], -(-r["hits"] // policy.min_hits))
+        for r in counts.filter(F.col("hits") > policy.min_hits).collect()
     ]
 
 
@@ -166,16 +167,15 @@ def heavy_slices(
     df: DataFrame, key: str, ts: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> Slices | None:
     """Cut points at every full cell of each heavy key, from one sample."""
-    found = _sample(
+    sample = _sample(
         df.select(F.col(key).alias("key"), F.unix_micros(ts).alias("micros")), policy
     )
-    if found is None:
+    if sample is None:
         return None
-    sample, cell = found
     by_key = Window.partitionBy("key").orderBy("micros")
     cuts = (
         sample.withColumn("position", F.row_number().over(by_key))
-        .filter(F.col("position") % cell == 0)
+        .filter(F.col("position") % policy.min_hits == 0)
         .select("key", "micros")
         .collect()
     )

@@ -29,16 +29,21 @@ INLINE_ROWS = [
 ]
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales as they land: text columns, from CSV."""
+    return files.read_csv(spark, Landing.sales(spark, sf_dir))
+
+
 # Sources
 
 
 def s1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_csv(spark, Landing.sales(spark, sf_dir))
+    return _raw(spark, sf_dir)
 
 
 def s2_schema_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Old orders with the columns reversed, new ones without total_price."""
-    raw = tables.raw_sales(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     old = F.coalesce(F.col("order_timestamp") < "1998", F.lit(False))
     folder = scratch_dir(spark, "drifted")
     reversed_columns = [F.col(c) for c in reversed(schemas.SALES_COLUMNS)]
@@ -54,7 +59,7 @@ def s2_schema_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s3_inline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     inline = files.inline_table(spark, INLINE_ROWS)
-    return clean.clean_sales(inline.unionByName(tables.raw_sales(spark, sf_dir)))
+    return clean.clean_sales(inline.unionByName(_raw(spark, sf_dir)))
 
 
 def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +130,7 @@ def s8_cdc_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f1_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.drop_null(tables.raw_sales(spark, sf_dir))
+    return clean.drop_null(_raw(spark, sf_dir))
 
 
 def f2_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +141,7 @@ def f2_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace a column in place and append one."""
-    return tables.raw_sales(spark, sf_dir).withColumns(
+    return _raw(spark, sf_dir).withColumns(
         {
             "category": F.lower("category"),
             "label": F.concat_ws("/", "region", "product_name"),
@@ -145,25 +150,25 @@ def p1_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_double(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.raw_sales(spark, sf_dir).select(
+    return _raw(spark, sf_dir).select(
         "unit_price", casts.to_double("unit_price").alias("as_double")
     )
 
 
 def p3_int(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.raw_sales(spark, sf_dir).select(
+    return _raw(spark, sf_dir).select(
         "quantity", casts.to_int("quantity").alias("as_int")
     )
 
 
 def p4_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.raw_sales(spark, sf_dir).select(
+    return _raw(spark, sf_dir).select(
         "order_timestamp", casts.to_date("order_timestamp").alias("as_date")
     )
 
 
 def p5_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.raw_sales(spark, sf_dir).select(
+    return _raw(spark, sf_dir).select(
         "quantity",
         "unit_price",
         (casts.to_int("quantity") * casts.to_double("unit_price")).alias("revenue"),
@@ -171,12 +176,12 @@ def p5_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_sales(tables.raw_sales(spark, sf_dir))
+    return clean.clean_sales(_raw(spark, sf_dir))
 
 
 def p7_without_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_sales(
-        tables.raw_sales(spark, sf_dir), drop_source_total=True
+        _raw(spark, sf_dir), drop_source_total=True
     )
 
 
@@ -184,11 +189,11 @@ def p7_without_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a1_row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.row_metrics(files.read_csv(spark, Landing.sales(spark, sf_dir)))
+    return metrics.row_metrics(_raw(spark, sf_dir))
 
 
 def l1_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = clean.clean_sales(files.read_csv(spark, Landing.sales(spark, sf_dir)))
+    sales = clean.clean_sales(_raw(spark, sf_dir))
     return metrics.preview(sales, ordered=True)
 
 
@@ -204,7 +209,7 @@ def l2_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k1_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "partitioned")
     partitioned.write_partitioned(
-        clean.clean_sales(tables.raw_sales(spark, sf_dir)), path
+        clean.clean_sales(_raw(spark, sf_dir)), path
     )
     return spark.read.schema(schemas.CLEAN_SALES).parquet(path)
 
@@ -212,7 +217,7 @@ def k1_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k2_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write twice, replacing folders; read only after both commits."""
     path = scratch_dir(spark, "committed")
-    sales = clean.clean_sales(tables.raw_sales(spark, sf_dir))
+    sales = clean.clean_sales(_raw(spark, sf_dir))
     for _ in range(2):
         partitioned.write_partitioned(sales, path, mode="overwrite", layout="local")
     return partitioned.read_committed(spark, path, schemas.CLEAN_SALES)
@@ -231,7 +236,7 @@ def k3_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, write_drop(tables.users(spark, sf_dir), "users", folder, tables.STAMP)
     )
     sales = files.read_csv(
-        spark, write_drop(tables.raw_sales(spark, sf_dir), "sales", folder, tables.STAMP)
+        spark, write_drop(_raw(spark, sf_dir), "sales", folder, tables.STAMP)
     )
     lines = sales.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
     return (
@@ -308,7 +313,7 @@ def q1_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def c1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over a growing folder: orders before 1998, then the rest."""
-    raw = tables.raw_sales(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     old = F.coalesce(F.col("order_timestamp") < "1998", F.lit(False))
     base = scratch_dir(spark, "incremental")
     for part, day in ((raw.filter(old), 15), (raw.filter(~old), 16)):

@@ -1,17 +1,9 @@
-"""The sales job: CSV in, clean, region-partitioned Parquet out.
-
-    spark-submit millrace/plans/simple_etl.py --source-path IN --output-path OUT
-"""
-
-import argparse
-import json
-from collections.abc import Sequence
+"""The sales job: CSV in, clean, region-partitioned Parquet out."""
 
 from pyspark.sql import Observation, SparkSession
 
 from millrace.operators.clean import clean_sales
 from millrace.operators.metrics import counted
-from millrace.session import build_session
 from millrace.sinks.partitioned import write_partitioned
 from millrace.sources.files import read_csv, read_drifted
 
@@ -50,36 +42,3 @@ def run_simple_etl(
     if not metrics:
         return {}
     return {"rows_read": read.get["rows"], "rows_written": written.get["rows"]}
-
-
-def main(argv: Sequence[str] | None = None) -> dict:
-    parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--source-path", required=True)
-    parser.add_argument("--output-path", required=True)
-    parser.add_argument("--job-name", default="simple-etl")
-    parser.add_argument(
-        "--mode", default="append", choices=("append", "overwrite", "replace")
-    )
-    parser.add_argument(
-        "--layout", default="rebalance", choices=("rebalance", "local")
-    )
-    parser.add_argument("--drifted", action="store_true")
-    parser.add_argument("--multiline", action="store_true")
-    parser.add_argument("--drop-source-total", action="store_true")
-    args = parser.parse_args(argv)
-    result = run_simple_etl(
-        build_session(args.job_name),
-        args.source_path,
-        args.output_path,
-        mode=args.mode,
-        layout=args.layout,
-        drifted=args.drifted,
-        multiline=args.multiline,
-        drop_source_total=args.drop_source_total,
-    )
-    print(json.dumps({"job": args.job_name, **result}))
-    return result
-
-
-if __name__ == "__main__":
-    main()

@@ -71,18 +71,21 @@ def _apply_batch(
         ),
         tables.key,
     )
-    touched = Observation()
+    bad, touched = Observation(), Observation()
     write_partitioned(
-        cdc.usable(checked)
+        cdc.usable(
+            checked.observe(bad, F.count("reject_reason").alias("rows"))
+        )
         .withColumn("key_bucket", tables.bucket())
         .observe(touched, F.collect_set("key_bucket").alias("buckets")),
         tables.log,
         by=("key_bucket", "batch_id"),
         mode="overwrite",
     )
-    write_partitioned(
-        cdc.rejected(checked), tables.rejects, by=("batch_id",), mode="overwrite"
-    )
+    if bad.get["rows"]:
+        write_partitioned(
+            cdc.rejected(checked), tables.rejects, by=("batch_id",), mode="overwrite"
+        )
     buckets = touched.get["buckets"]
     if buckets:
         rebuild_buckets(spark, tables, buckets, policy)

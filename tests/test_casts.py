@@ -82,3 +82,45 @@ def test_casts_stay_in_generated_code(spark, plan):
     text = plan(spark.range(9).select(F.col("id").cast("string").alias("v")).select(casts.to_int("v")))
     assert "EvalPython" not in text
     assert "Project [codegen id" in text
+
+
+DATEISH = st.text(alphabet="0123456789-+:TZ /.\t", max_size=22)
+
+
+@settings(
+    max_examples=10,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    values=st.lists(
+        st.one_of(
+            DATEISH,
+            st.dates().map(str),
+            st.datetimes().map(lambda t: t.isoformat() + "Z"),
+        ),
+        min_size=50,
+        max_size=200,
+    )
+)
+def test_dates_agree_with_the_lenient_cast(spark, values):
+    lenient = spark.newSession()
+    lenient.conf.set("spark.sql.ansi.enabled", "false")
+    df = lenient.createDataFrame([(v,) for v in values], "v string")
+    old = [str(r[0]) for r in df.select(F.to_date("v").cast("string")).collect()]
+    new = [str(v) for v in apply(spark, lambda v: casts.to_date(v).cast("string"), values)]
+    assert new == old
+
+
+ODD_DOUBLES = [
+    "+NaN", "-nan", "INF", "+Infinity", "-inf", " infinity ", "0x1p3", "0x1.8P1d",
+    "1.", ".5", "1.e2", "1E+5", "5D", "5F", "5L", "1e", "e5", "0x10", "1_000", "--1",
+]
+
+
+def test_odd_doubles_agree_with_the_lenient_cast(spark):
+    lenient = spark.newSession()
+    lenient.conf.set("spark.sql.ansi.enabled", "false")
+    df = lenient.createDataFrame([(v,) for v in ODD_DOUBLES], "v string")
+    old = [str(r[0]) for r in df.select(F.col("v").cast("double")).collect()]
+    assert [str(v) for v in apply(spark, casts.to_double, ODD_DOUBLES)] == old

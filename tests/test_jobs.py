@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.__main__ import main
 from millrace.operators import generate
 from millrace.operators.clean import clean_sales
 from millrace.operators.marts import daily_region
@@ -63,15 +64,71 @@ def test_simple_etl_on_drifted_files(spark, tmp_path):
     assert revenue == {"1": None, "2": 4.5}
 
 
-def test_command_line(spark, landed, tmp_path, capsys):
+def command(capsys, *argv):
+    """Run a job from the command line; returns the line it prints."""
+    main([str(a) for a in argv])
+    return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+
+def test_simple_etl_from_the_command_line(spark, landed, tmp_path, capsys):
     out = str(tmp_path / "out")
-    argv = ["--source-path", landed["sales"], "--output-path", out, "--drop-source-total"]
-    simple_etl.main(argv)
-    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert printed["rows_read"] == N
+    done = command(
+        capsys, "simple-etl", "--source-path", landed["sales"], "--output-path", out,
+        "--drop-source-total",
+    )
+    assert (done["job"], done["rows_read"]) == ("simple-etl", N)
     assert "total_price" not in spark.read.parquet(out).columns
+
+
+@pytest.mark.parametrize("argv", [[], ["simple-etl", "--source-path", "x"], ["other"]])
+def test_missing_arguments_fail(argv):
     with pytest.raises(SystemExit):
-        simple_etl.main(["--source-path", landed["sales"]])
+        main(argv)
+
+
+def test_all_jobs_from_the_command_line(spark, tmp_path, capsys):
+    """Generate, list, run the pipeline, ingest, and apply changes."""
+    landing = tmp_path / "landing"
+    made = {}
+    for dataset, *options in (
+        ("sales", "--rows", 300),
+        ("users", "--rows", 1000),
+        ("transactions", "--rows", 20),
+        ("changes", "--rows", 200),
+    ):
+        made[dataset] = command(
+            capsys, "generate", dataset, "--output-dir", landing, *options
+        )["path"]
+    listed = command(
+        capsys, "manifest", "--folder", landing, "--target", "/t",
+        "--output-path", tmp_path / "manifest",
+    )
+    prefixes = {r["prefix"] for r in spark.read.json(listed["output_path"]).collect()}
+    assert prefixes == {"sales/", "users/", "transactions/", "cdc/"}
+
+    stages = command(
+        capsys, "pipeline", "--sales-path", made["sales"], "--users-path", made["users"],
+        "--work-path", tmp_path / "work",
+    )
+    assert spark.read.parquet(stages["enriched"]).filter("country is null").count() == 0
+
+    ingested = command(
+        capsys, "ingest", "--source-path", landing / "sales_*.csv",
+        "--output-path", tmp_path / "out", "--checkpoint-path", tmp_path / "check",
+    )
+    assert spark.read.parquet(ingested["output_path"]).count() == 300
+
+    command(
+        capsys, "generate", "changes", "--output-dir", landing,
+        "--mode", "incremental", "--rows", 100, "--base-rows", 200,
+    )
+    applied = command(
+        capsys, "apply-changes", "--source-path", landing / "cdc_*.csv",
+        "--table-path", tmp_path / "changes", "--buckets", 4,
+    )
+    history = spark.read.parquet(applied["history"])
+    assert history.select("order_id").distinct().count() >= 200
+    assert history.filter("not is_current").count() > 0
 
 
 def test_pipeline(spark, landed, tmp_path, rows):

@@ -125,3 +125,16 @@ def test_rebuilding_is_idempotent(spark, tmp_path, tables, rows):
     before = rows(spark.read.parquet(tables.history), *COLUMNS)
     rebuild_buckets(spark, tables, [0, 1, 2, 3])
     assert rows(spark.read.parquet(tables.history), *COLUMNS) == before
+
+
+def test_batches_without_usable_changes(spark, tmp_path, tables):
+    folder = tmp_path / "in"
+    write_changes(folder, "cdc_1.csv", ("a", "MERGE", "2024-01-01T00:00:00Z", 1))
+    apply_new_changes(spark, str(folder), tables)
+    write_changes(folder, "cdc_2.csv")
+    apply_new_changes(spark, str(folder), tables)
+    assert spark.read.parquet(tables.rejects).count() == 1
+    assert not (tmp_path / "history").exists()
+    write_changes(folder, "cdc_3.csv", ("a", "UPDATE", "2024-01-01T00:00:00Z", 1))
+    apply_new_changes(spark, str(folder), tables)
+    assert spark.read.parquet(tables.history).count() == 1
