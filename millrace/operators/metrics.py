@@ -1,5 +1,6 @@
 """Row counts, previews and schema listings."""
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, functions as F
 
 
@@ -23,6 +24,18 @@ def counted(df: DataFrame, observation: Observation) -> DataFrame:
     return df.observe(observation, F.count(F.lit(1)).alias("rows"))
 
 
+def observed(observation: Observation) -> dict:
+    """Values of an observation after its action.
+
+    Empty where adaptive execution saw that no row reaches the end of the plan
+    and dropped the plan, observation included.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 def preview(df: DataFrame, rows: int = 5, ordered: bool = False) -> DataFrame:
     """A few rows to look at: any, or with ``ordered`` the first by all columns."""
     return (df.orderBy(*df.columns) if ordered else df).limit(rows)

@@ -3,7 +3,7 @@
 from pyspark.sql import Observation, SparkSession
 
 from millrace.operators.clean import clean_sales
-from millrace.operators.metrics import counted
+from millrace.operators.metrics import counted, observed
 from millrace.sinks.partitioned import write_partitioned
 from millrace.sources.files import read_csv, read_drifted
 
@@ -30,10 +30,9 @@ def run_simple_etl(
     else:
         raw = read_csv(spark, source_path, multiline=multiline)
     read, written = Observation(), Observation()
-    if metrics:
-        raw = counted(raw, read)
+    source = counted(raw, read) if metrics else raw
     write_partitioned(
-        clean_sales(raw, drop_source_total),
+        clean_sales(source, drop_source_total),
         output_path,
         mode=mode,
         layout=layout,
@@ -41,4 +40,8 @@ def run_simple_etl(
     )
     if not metrics:
         return {}
-    return {"rows_read": read.get["rows"], "rows_written": written.get["rows"]}
+    rows_read = observed(read).get("rows")
+    return {
+        "rows_read": raw.count() if rows_read is None else rows_read,
+        "rows_written": observed(written).get("rows", 0),
+    }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from millrace import schemas
 from millrace.operators import cdc
+from millrace.operators.metrics import observed
 from millrace.operators.skew import DEFAULT_POLICY, SkewPolicy
 from millrace.sinks.partitioned import write_partitioned
 from millrace.streaming.incremental import new_csv_files
@@ -82,11 +83,11 @@ def _apply_batch(
         by=("key_bucket", "batch_id"),
         mode="overwrite",
     )
-    if bad.get["rows"]:
+    if observed(bad).get("rows") != 0:
         write_partitioned(
             cdc.rejected(checked), tables.rejects, by=("batch_id",), mode="overwrite"
         )
-    buckets = touched.get["buckets"]
+    buckets = observed(touched).get("buckets")
     if buckets:
         rebuild_buckets(spark, tables, buckets, policy)
 
@@ -109,7 +110,7 @@ def rebuild_buckets(
         by=("key_bucket",),
         mode="overwrite",
     )
-    for bucket in set(buckets) - set(present.get["buckets"]):
+    for bucket in set(buckets) - set(observed(present).get("buckets", [])):
         _drop_folder(spark, f"{tables.history}/key_bucket={bucket}")
 
 

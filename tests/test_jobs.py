@@ -52,6 +52,19 @@ def test_running_twice(spark, landed, tmp_path, mode, times):
     assert spark.read.parquet(out).count() == times * done["rows_written"]
 
 
+@pytest.mark.parametrize("layout", ["rebalance", "local"])
+@pytest.mark.parametrize("lines", [0, 2])
+def test_simple_etl_with_nothing_to_keep(spark, tmp_path, layout, lines):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ",".join(schemas.SALES_COLUMNS)
+    (folder / "a.csv").write_text("\n".join([header, *[",p" + "," * 7] * lines]) + "\n")
+    out = str(tmp_path / "out")
+    result = simple_etl.run_simple_etl(spark, str(folder), out, layout=layout)
+    assert result == {"rows_read": lines, "rows_written": 0}
+    assert is_committed(spark, out)
+
+
 def test_simple_etl_on_drifted_files(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
