@@ -1,7 +1,6 @@
 """Readers for the landing datasets.  No reader infers types from data."""
 
 import csv
-import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -55,29 +54,40 @@ def inline_table(spark: SparkSession, rows, schema=schemas.RAW_SALES) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
-def csv_headers(
-    spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_SALES
-) -> DataFrame:
-    """``(path, header)`` of each CSV file that names a column of ``schema``.
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, header)`` of each CSV file: its first line that is not blank.
 
-    A scan of the text that keeps, per file, the first line of the first block
-    naming a wanted column.  Other lines fall to a filter in the scan stage, so
-    only header lines are grouped.
+    One scan of the text finds the first line's digest per file.  A digest has a
+    fixed width, so this is a hash aggregation in the scan stage that sends one
+    row per file.  The text of each distinct header then comes from one of its
+    files.
     """
-    names = "|".join(re.escape(f.name) for f in schema.fields)
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
     )
-    return (
-        lines.filter(
-            (F.col("start") == 0) & F.col("value").rlike(f'(^|,)"?({names})"?(,|$)')
-        )
-        .groupBy("path")
-        .agg(F.min_by("value", "line").alias("header"))
+    first_lines = lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
+    digests = (
+        first_lines.groupBy("path")
+        .agg(F.min_by(F.xxhash64("value"), "line").alias("digest"))
+        .collect()
+    )
+    texts = {}
+    for row in digests:
+        if row["digest"] not in texts:
+            texts[row["digest"]] = _first_line(spark, _plain(row["path"]))
+    return spark.createDataFrame(
+        [(r["path"], texts[r["digest"]]) for r in digests], "path string, header string"
+    )
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    lines = spark.read.text(file).filter(
+        (F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")
     )
+    return lines.first()["value"]
 
 
 def read_drifted(
@@ -89,37 +99,27 @@ def read_drifted(
     """CSV files whose headers differ in order or in the columns they have.
 
     One scan per distinct header, not per file.  Columns a file lacks are null,
-    columns ``schema`` lacks are dropped.  Files naming no wanted column give
-    rows of nulls.  ``headers`` takes a stored result of ``csv_headers`` and
-    saves the pass over the text.  Only headers and file paths reach the driver,
-    which lists the paths of any scan anyway.
+    columns ``schema`` lacks are dropped.  ``headers`` takes a stored result of
+    ``csv_headers`` and saves the pass over the text.  Only headers and file paths
+    reach the driver, which lists the paths of any scan anyway.
     """
     if headers is None:
-        headers = csv_headers(spark, path, schema)
+        headers = csv_headers(spark, path)
     files_by_header: dict[str, list[str]] = {}
     for row in headers.collect():
-        files_by_header.setdefault(row["header"], []).append(row["path"])
-    listed = {_plain(p) for p in spark.read.text(path).inputFiles()}
-    known = {_plain(p) for files in files_by_header.values() for p in files}
+        files_by_header.setdefault(row["header"], []).append(_plain(row["path"]))
 
     wanted = [f.name for f in schema.fields]
     table = spark.createDataFrame([], schema)
     for header, files in files_by_header.items():
         columns = next(csv.reader([header]))
-        whole = len(files_by_header) == 1 and known == listed
-        rows = read_csv(
-            spark,
-            path if whole else [_plain(f) for f in files],
-            schemas.text_schema(columns),
-        ).select(*[c for c in columns if c in wanted])
-        table = table.unionByName(rows, allowMissingColumns=True)
-    if listed - known:
-        rows = spark.read.option("header", True).csv(sorted(listed - known))
-        nulls = rows.select(F.lit(None).cast("string").alias(wanted[0]))
-        table = table.unionByName(nulls, allowMissingColumns=True)
+        rows = read_csv(spark, files, schemas.text_schema(columns))
+        known = [c for c in columns if c in wanted]
+        missing = [F.lit(None).cast("string").alias(c) for c in wanted if c not in known]
+        table = table.unionByName(rows.select(*known, *missing))
     return table.select(*wanted)
 
 
 def _plain(uri: str) -> str:
     """A file URI as listed by Spark, as a path Spark can read."""
-    return re.sub("^file:/+", "file:/", unquote(uri))
+    return unquote(uri)

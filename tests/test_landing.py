@@ -56,10 +56,10 @@ def test_manifest_of_files_and_drops(spark, tmp_path, plan):
     (tmp_path / "old" / "sales_0.csv").write_text("x")
     spark.range(10).repartition(2).write.csv(str(tmp_path / "sales_1.csv"))
     listing = list_landing(spark, str(tmp_path))
-    out = manifest(listing, "s3://bucket/").collect()
+    out = manifest(listing, "/lake/").collect()
     assert [(r["file_name"], r["target"], r["parts"]) for r in out] == [
-        ("sales_1.csv", "s3://bucket/sales/sales_1.csv", 2),
-        ("users_1.json", "s3://bucket/users/users_1.json", 1),
+        ("sales_1.csv", "/lake/sales/sales_1.csv", 2),
+        ("users_1.json", "/lake/users/users_1.json", 1),
     ]
     assert out[1]["length"] == 3
     assert "content" not in plan(listing).split("ReadSchema")[1].splitlines()[0]
