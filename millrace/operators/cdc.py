@@ -94,22 +94,27 @@ def scd2_history(
             log = _last_at_heavy_instants(log, key, tie, slices.instants)
         log = skew.add_slice(log, key, "valid_from", slices.cuts)
 
-    time = F.col("valid_from")
+    def with_next_time(df, name):
+        first = F.min("valid_from")
+        return skew.beside(df, 1, F.col("valid_from"), first, key, order, name)
+
     if collapse_unchanged:
-        state = F.struct("operation", *attributes)
-        log = skew.beside(log, 1, time, key, order, "next_time").filter(
+        log = with_next_time(log, "next_time").filter(
             "next_time is null or next_time > valid_from"
         )
-        log = skew.beside(log, -1, state, key, order, "before")
-        live = "'DELETE' not in (operation, before.operation)"
-        same = [F.col(a).eqNullSafe(F.col("before")[a]) for a in attributes]
-        repeats = F.col("before").isNotNull() & F.expr(live)
-        for equal in same:
-            repeats = repeats & equal
+        state = F.struct("operation", *attributes)
+        last = F.max_by(state, F.struct(*order))
+        log = skew.beside(log, -1, state, last, key, order, "before")
+        repeats = F.col("before").isNotNull() & F.expr(
+            "'DELETE' not in (operation, before.operation)"
+        )
+        for attribute in attributes:
+            before = F.col("before")[attribute]
+            repeats = repeats & F.col(attribute).eqNullSafe(before)
         log = log.filter(~repeats).drop("before", "next_time")
 
     return (
-        skew.beside(log, 1, time, key, order, "valid_to")
+        with_next_time(log, "valid_to")
         .filter("operation <> 'DELETE' and (valid_to is null or valid_to > valid_from)")
         .select(
             key,

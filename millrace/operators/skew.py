@@ -239,6 +239,7 @@ def beside(
     df: DataFrame,
     step: int,
     value: Column,
+    edge: Column,
     key: str,
     order: list[str],
     name: str,
@@ -246,30 +247,28 @@ def beside(
     """Add ``value`` of the key's next (1) or previous (-1) row as ``name``.
 
     ``value`` must not be null.  If ``df`` has a ``slice`` column, the window runs
-    inside each slice and the rows at its edge look up the neighbouring slice in a
-    table with one row per slice.
+    inside each slice, and the rows at its end look up the neighbouring slice in a
+    table with one row per slice.  ``edge`` aggregates a slice to the value of the
+    row its neighbour sees: the first row for 1, the last for -1.
     """
-    ordering = [F.col(c) for c in order]
+    shift = F.lead if step > 0 else F.lag
     sliced = "slice" in df.columns
     groups = [key, "slice"] if sliced else [key]
-    within = Window.partitionBy(*groups).orderBy(*ordering)
-    shift = F.lead if step > 0 else F.lag
+    within = Window.partitionBy(*groups).orderBy(*order)
+    out = df.withColumn(name, shift(value).over(within))
     if not sliced:
-        return df.withColumn(name, shift(value).over(within))
+        return out
 
-    pick = F.min_by if step > 0 else F.max_by
+    along = Window.partitionBy(key).orderBy("slice")
     edges = (
         df.filter("slice > 0")
         .groupBy(key, "slice")
-        .agg(pick(value, F.struct(*ordering)).alias("edge"))
-        .withColumn(
-            "edge", shift("edge").over(Window.partitionBy(key).orderBy("slice"))
-        )
+        .agg(edge.alias("edge"))
+        .withColumn("edge", shift("edge").over(along))
         .filter("edge is not null")
     )
     return (
-        df.withColumn(name, shift(value).over(within))
-        .join(F.broadcast(edges), [key, "slice"], "left")
+        out.join(F.broadcast(edges), [key, "slice"], "left")
         .withColumn(name, F.coalesce(name, "edge"))
         .drop("edge")
     )

@@ -68,19 +68,18 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"),
     )
-    first_lines = lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
-    digests = (
-        first_lines.groupBy("path")
+    first_lines = (
+        lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
+        .groupBy("path")
         .agg(F.min_by(F.xxhash64("value"), "line").alias("digest"))
-        .collect()
-    )
-    texts = {}
-    for row in digests:
-        if row["digest"] not in texts:
-            texts[row["digest"]] = _first_line(spark, _plain(row["path"]))
-    return spark.createDataFrame(
-        [(r["path"], texts[r["digest"]]) for r in digests], "path string, header string"
+        .persist()
     )
+    texts = [
+        (row["digest"], _first_line(spark, _plain(row["path"])))
+        for row in first_lines.groupBy("digest").agg(F.min("path").alias("path")).collect()
+    ]
+    headers = spark.createDataFrame(texts, "digest long, header string")
+    return first_lines.join(F.broadcast(headers), "digest").select("path", "header")
 
 
 def _first_line(spark: SparkSession, file: str) -> str:
@@ -100,18 +99,21 @@ def read_drifted(
 
     One scan per distinct header, not per file.  Columns a file lacks are null,
     columns ``schema`` lacks are dropped.  ``headers`` takes a stored result of
-    ``csv_headers`` and saves the pass over the text.  Only headers and file paths
-    reach the driver, which lists the paths of any scan anyway.
+    ``csv_headers`` and saves the pass over the text.  With several headers the
+    file paths go through the driver, which lists the files of any scan anyway.
     """
     if headers is None:
         headers = csv_headers(spark, path)
-    files_by_header: dict[str, list[str]] = {}
-    for row in headers.collect():
-        files_by_header.setdefault(row["header"], []).append(_plain(row["path"]))
+    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
+    groups = {header: [path] for header in distinct}
+    if len(distinct) > 1:
+        groups = {header: [] for header in distinct}
+        for row in headers.collect():
+            groups[row["header"]].append(_plain(row["path"]))
 
     wanted = [f.name for f in schema.fields]
     table = spark.createDataFrame([], schema)
-    for header, files in files_by_header.items():
+    for header, files in groups.items():
         columns = next(csv.reader([header]))
         rows = read_csv(spark, files, schemas.text_schema(columns))
         known = [c for c in columns if c in wanted]

@@ -99,7 +99,9 @@ def rebuild_buckets(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> None:
     """Rebuild the history of some buckets from the log."""
-    log = spark.read.parquet(tables.log).filter(F.col("key_bucket").isin(*buckets))
+    # Naming the folders keeps the others from being listed.
+    folders = [f"{tables.log}/key_bucket={bucket}" for bucket in buckets]
+    log = spark.read.option("basePath", tables.log).parquet(*folders)
     history = cdc.scd2_history(
         log.drop("key_bucket"), tables.key, TIE, policy=policy
     ).withColumn("key_bucket", tables.bucket())

@@ -67,10 +67,17 @@ def test_line_breaks_need_multiline(spark, folder):
     assert row["product_name"] == "two\nlines"
 
 
-def test_strict_reader_rejects_another_header_order(spark, folder):
-    swapped = HEADER.replace("order_id,product_name", "product_name,order_id")
-    path = folder(a__csv=f"{swapped}\n{line()}\n")
-    with pytest.raises(Exception, match="header"):
+@pytest.mark.parametrize(
+    "header",
+    [
+        HEADER.replace("order_id,product_name", "product_name,order_id"),
+        HEADER + ",more",
+        HEADER.replace(",region", ""),
+    ],
+)
+def test_strict_reader_rejects_other_headers(spark, folder, header):
+    path = folder(a__csv=f"{HEADER}\n{line()}\n", b__csv=f"{header}\n{line()}\n")
+    with pytest.raises(Exception, match="(?i)header"):
         files.read_csv(spark, path).collect()
 
 
