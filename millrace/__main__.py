@@ -34,6 +34,7 @@ def _simple_etl(spark: SparkSession, args) -> dict:
         drifted=args.drifted,
         multiline=args.multiline,
         drop_source_total=args.drop_source_total,
+        exact_counts=args.exact_counts,
     )
 
 
@@ -107,6 +108,7 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--drifted", action="store_true")
     etl.add_argument("--multiline", action="store_true")
     etl.add_argument("--drop-source-total", action="store_true")
+    etl.add_argument("--exact-counts", action="store_true")
 
     steps = job("pipeline", _pipeline, "--sales-path", "--users-path", "--work-path")
     steps.add_argument("--resume", action="store_true")

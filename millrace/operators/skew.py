@@ -76,12 +76,40 @@ def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY):
     ]
 
 
-def row_salt(cells, *columns) -> Column:
-    """A number in [0, cells) that a recomputed task assigns again.
+def _cells_table(df: DataFrame, key: str, heavy) -> DataFrame:
+    schema = T.StructType(
+        [
+            T.StructField("heavy_key", df.schema[key].dataType),
+            T.StructField("cells", T.IntegerType()),
+        ]
+    )
+    return F.broadcast(df.sparkSession.createDataFrame(heavy, schema))
+
 
-    Copies of one row differ in the partition they lie in, so they spread too.
+def add_salt(df: DataFrame, key: str, heavy, name: str) -> DataFrame:
+    """Add ``name``: 0 for ordinary keys, a cell number for rows of heavy ones.
+
+    The salt depends on the row and the partition it lies in.  So a recomputed
+    task assigns it again, and copies of one row still spread.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), cells).cast("int")
+    hashable = [
+        f.name
+        for f in df.schema.fields
+        if not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.col("cells"))
+    return (
+        df.join(
+            _cells_table(df, key, heavy),
+            F.col(key).eqNullSafe(F.col("heavy_key")),
+            "left",
+        )
+        .withColumn(
+            name,
+            F.when(F.col("cells").isNotNull(), spread.cast("int")).otherwise(F.lit(0)),
+        )
+        .drop("heavy_key", "cells")
+    )
 
 
 def skew_join(
@@ -108,31 +136,18 @@ def skew_join(
     if not heavy:
         return left.join(right, on, how)
 
-    schema = T.StructType(
-        [
-            T.StructField("heavy_key", left.schema[left_key].dataType),
-            T.StructField("cells", T.IntegerType()),
-        ]
-    )
-    cells = F.broadcast(left.sparkSession.createDataFrame(heavy, schema))
-    salted = left.join(
-        cells, F.col(left_key).eqNullSafe(F.col("heavy_key")), "left"
-    ).select(
-        *[left[c] for c in left.columns],
-        F.when(
-            F.col("cells").isNotNull(),
-            row_salt(F.col("cells"), *_hashable(left)),
+    salted = add_salt(left, left_key, heavy, "salt_left")
+    copies = (
+        right.join(
+            _cells_table(right, right_key, heavy),
+            F.col(right_key) == F.col("heavy_key"),
+            "left",
         )
-        .otherwise(F.lit(0))
-        .alias("salt_left"),
-    )
-    copies = right.join(
-        cells, F.col(right_key) == F.col("heavy_key"), "left"
-    ).select(
-        *[right[c] for c in right.columns],
-        F.explode(
-            F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1)
-        ).alias("salt_right"),
+        .withColumn(
+            "salt_right",
+            F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1)),
+        )
+        .drop("heavy_key", "cells")
     )
     joined = salted.join(
         copies,
@@ -143,14 +158,6 @@ def skew_join(
     return joined.drop("salt_left", "salt_right")
 
 
-def _hashable(df: DataFrame):
-    return [
-        f.name
-        for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-
-
 @dataclass(frozen=True)
 class Slices:
     """Heavy keys cut along the order column; all of it bounded by the policy.

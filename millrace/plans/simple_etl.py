@@ -18,12 +18,13 @@ def run_simple_etl(
     multiline: bool = False,
     drop_source_total: bool = False,
     metrics: bool = True,
+    exact_counts: bool = False,
 ) -> dict:
     """Run the job in one scan and one write; returns its row counts.
 
     ``rows_written`` is counted in the writing stage and exact.  ``rows_read`` is
-    counted in the scan and may be high after a lost executor; use
-    ``row_metrics`` where it must be exact.
+    counted in the scan and may be high after a lost executor; ``exact_counts``
+    spends a second scan on it.
     """
     if drifted:
         raw = read_drifted(spark, source_path)
@@ -40,7 +41,7 @@ def run_simple_etl(
     )
     if not metrics:
         return {}
-    rows_read = observed(read).get("rows")
+    rows_read = None if exact_counts else observed(read).get("rows")
     return {
         "rows_read": raw.count() if rows_read is None else rows_read,
         "rows_written": observed(written).get("rows", 0),

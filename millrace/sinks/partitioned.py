@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
 from millrace.operators.metrics import counted
-from millrace.operators.skew import row_salt
+from millrace.operators.skew import DEFAULT_POLICY, SkewPolicy, add_salt, heavy_keys
 
 
 def write_partitioned(
@@ -14,7 +14,7 @@ def write_partitioned(
     by: Sequence[str] = ("region",),
     mode: str = "append",
     layout: str = "rebalance",
-    files_per_value: int = 64,
+    policy: SkewPolicy = DEFAULT_POLICY,
     written: Observation | None = None,
 ) -> None:
     """Write one folder per value of ``by``.
@@ -26,13 +26,13 @@ def write_partitioned(
     ``layout="rebalance"`` shuffles by ``by`` and lets adaptive execution cut the
     result into files of the advisory size, so a value with a third of the rows
     becomes many tasks and a small one a single file.  Without adaptive execution
-    a salt of ``files_per_value`` does the splitting.  ``layout="local"`` does not
-    shuffle: each task writes a file per value it holds, which suits few values
-    and large input splits.
+    values that are heavy under ``policy`` are salted instead.  ``layout="local"``
+    does not shuffle: each task writes a file per value it holds, which suits few
+    values and large input splits.
     """
     if mode not in ("append", "overwrite", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    rows = _arrange(df, by, layout, files_per_value)
+    rows = _arrange(df, by, layout, policy)
     if written is not None:
         rows = counted(rows, written)
     writer = rows.write.partitionBy(*by)
@@ -51,15 +51,20 @@ def write_partitioned(
         writer.mode("append").parquet(path)
 
 
-def _arrange(df, by, layout, files_per_value) -> DataFrame:
+def _arrange(
+    df: DataFrame, by: Sequence[str], layout: str, policy: SkewPolicy
+) -> DataFrame:
     if layout == "local":
         return df
     if layout != "rebalance":
         raise ValueError(f"layout must be rebalance or local, not {layout!r}")
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *by)
-    salt = row_salt(F.lit(files_per_value), *by)
-    return df.withColumn("_salt", salt).repartition(*by, "_salt").drop("_salt")
+    heavy = heavy_keys(df, by[0], policy)
+    if not heavy:
+        return df.repartition(*by)
+    salted = add_salt(df, by[0], heavy, "salt")
+    return salted.repartition(*by, "salt").drop("salt")
 
 
 def _marker(spark: SparkSession, path: str):

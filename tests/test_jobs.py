@@ -30,9 +30,12 @@ def landed(spark, tmp_path):
     }
 
 
-def test_simple_etl(spark, landed, tmp_path, rows):
+@pytest.mark.parametrize("exact", [False, True])
+def test_simple_etl(spark, landed, tmp_path, rows, exact):
     out = str(tmp_path / "out")
-    result = simple_etl.run_simple_etl(spark, landed["sales"], out)
+    result = simple_etl.run_simple_etl(
+        spark, landed["sales"], out, exact_counts=exact
+    )
     raw = read_csv(spark, landed["sales"])
     kept = raw.filter("order_id is not null").count()
     assert 0 < kept < N

@@ -7,12 +7,17 @@ from pyspark.sql import Observation, functions as F
 from millrace import schemas
 from millrace.functions.routing import ROUTES
 from millrace.operators.clean import clean_sales
+from millrace.operators.skew import SkewPolicy
 from millrace.sinks import catalog
 from millrace.sinks.formats import write_drop
 from millrace.sinks.partitioned import is_committed, read_committed, write_partitioned
 from millrace.sources import files
 
 
+# Without adaptive execution, splits values with more than about 1,000 rows.
+SMALL_CELLS = SkewPolicy(min_bytes=0, min_hits=50, cell_rows=1000)
+
+
 def sales(spark, regions, product="Pen"):
     data = [
         (str(i), product, "Office", "2", "1.50", "3.00", "c", "2024-01-15T10:30:00Z", r)
@@ -65,7 +70,7 @@ def test_a_hot_region_is_written_by_many_tasks(spark, tmp_path, adaptive):
             F.concat(F.lit("r"), F.col("id") % 40)
         ).alias("region"),
     )
-    write_partitioned(df, path)
+    write_partitioned(df, path, policy=SMALL_CELLS)
     hot = [f for f in parquet_files(path) if "region=hot" in f]
     assert len(hot) >= 4
     biggest = max(other.read.parquet(f).count() for f in hot)
@@ -80,11 +85,19 @@ def test_copies_of_one_row_spread_without_adaptive_execution(spark, tmp_path):
     df = other.range(0, 8000, numPartitions=8).select(
         F.lit("same").alias("v"), F.lit("r").alias("region")
     )
-    write_partitioned(df, path)
+    write_partitioned(df, path, policy=SMALL_CELLS)
     assert len(parquet_files(path)) > 1
     assert other.read.parquet(path).count() == 8000
 
 
+def test_small_regions_are_one_file_without_adaptive_execution(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    path = str(tmp_path / "out")
+    write_partitioned(sales(other, [f"r{i % 5}" for i in range(1000)]), path)
+    assert len(parquet_files(path)) == 5
+
+
 def test_append_adds_and_overwrite_replaces_touched_folders(spark, tmp_path):
     path = str(tmp_path / "out")
     write_partitioned(sales(spark, ["a", "b"]), path)

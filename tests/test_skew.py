@@ -45,7 +45,7 @@ def test_heavy_rows_spread_over_salts(spark, plan):
     assert "salt_left" in text
     cells = dict(heavy_keys(left(other), "k", EAGER))
     assert cells["hot"] == 50
-    salted = left(other).withColumn("s", skew.row_salt(F.lit(50), "k", "v"))
+    salted = skew.add_salt(left(other), "k", list(cells.items()), "s")
     per_salt = salted.filter("k = 'hot'").groupBy("s").count()
     assert per_salt.agg(F.max("count")).first()[0] <= 500
 

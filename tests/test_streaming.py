@@ -34,6 +34,18 @@ def test_each_file_once(spark, tmp_path, rows, max_files):
     assert final.count() == first + 50
 
 
+def test_a_rewritten_file_is_not_read_again(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    for order in ("1", "2"):
+        (folder / "sales_1.csv").write_text(
+            ",".join(schemas.SALES_COLUMNS) + f"\n{order},p,c,1,1,1,u,t,r\n"
+        )
+        ingest_new_files(spark, str(folder), out, checkpoint)
+    assert [r["order_id"] for r in spark.read.parquet(out).collect()] == ["1"]
+
+
 @pytest.fixture
 def tables(tmp_path):
     return HistoryTables(
