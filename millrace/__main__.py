@@ -15,17 +15,19 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from millrace.operators import generate
+from millrace.operators.metrics import preview
 from millrace.plans.pipeline import run_pipeline
 from millrace.plans.simple_etl import run_simple_etl
 from millrace.session import build_session
 from millrace.sinks.formats import write_drop
+from millrace.sinks.partitioned import read_committed
 from millrace.sources.landing import list_landing, manifest
 from millrace.streaming.changes import HistoryTables, apply_new_changes
 from millrace.streaming.incremental import ingest_new_files
 
 
 def _simple_etl(spark: SparkSession, args) -> dict:
-    return run_simple_etl(
+    result = run_simple_etl(
         spark,
         args.source_path,
         args.output_path,
@@ -36,6 +38,11 @@ def _simple_etl(spark: SparkSession, args) -> dict:
         drop_source_total=args.drop_source_total,
         exact_counts=args.exact_counts,
     )
+    if args.preview:
+        written = read_committed(spark, args.output_path)
+        written.printSchema()
+        preview(written).show(truncate=False)
+    return result
 
 
 def _pipeline(spark: SparkSession, args) -> dict:
@@ -109,6 +116,7 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--multiline", action="store_true")
     etl.add_argument("--drop-source-total", action="store_true")
     etl.add_argument("--exact-counts", action="store_true")
+    etl.add_argument("--preview", action="store_true")
 
     steps = job("pipeline", _pipeline, "--sales-path", "--users-path", "--work-path")
     steps.add_argument("--resume", action="store_true")

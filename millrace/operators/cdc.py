@@ -99,19 +99,19 @@ def scd2_history(
         return skew.beside(df, 1, F.col("valid_from"), first, key, order, name)
 
     if collapse_unchanged:
-        log = with_next_time(log, "next_time").filter(
-            "next_time is null or next_time > valid_from"
+        log = with_next_time(log, "_next_time").filter(
+            "_next_time is null or _next_time > valid_from"
         )
         state = F.struct("operation", *attributes)
         last = F.max_by(state, F.struct(*order))
-        log = skew.beside(log, -1, state, last, key, order, "before")
-        repeats = F.col("before").isNotNull() & F.expr(
-            "'DELETE' not in (operation, before.operation)"
+        log = skew.beside(log, -1, state, last, key, order, "_before")
+        repeats = F.col("_before").isNotNull() & F.expr(
+            "'DELETE' not in (operation, _before.operation)"
         )
         for attribute in attributes:
-            before = F.col("before")[attribute]
+            before = F.col("_before")[attribute]
             repeats = repeats & F.col(attribute).eqNullSafe(before)
-        log = log.filter(~repeats).drop("before", "next_time")
+        log = log.filter(~repeats).drop("_before", "_next_time")
 
     return (
         with_next_time(log, "valid_to")
@@ -135,18 +135,18 @@ def _last_at_heavy_instants(
     its shuffle and leaves one row per instant, so the pile never meets in one
     task.
     """
-    at = (F.col(key) == F.col("heavy_key")) & (
-        F.unix_micros("valid_from") == F.col("micros")
+    at = (F.col(key) == F.col("_heavy_key")) & (
+        F.unix_micros("valid_from") == F.col("_micros")
     )
     last = (
         log.join(F.broadcast(instants), at)
-        .groupBy("heavy_key", "micros")
-        .agg(F.max(F.struct(*tie)).alias("last_tie"))
+        .groupBy("_heavy_key", "_micros")
+        .agg(F.max(F.struct(*tie)).alias("_last_tie"))
     )
     return (
         log.join(F.broadcast(last), at, "left")
-        .filter(F.col("last_tie").isNull() | (F.col("last_tie") == F.struct(*tie)))
-        .drop("heavy_key", "micros", "last_tie")
+        .filter(F.col("_last_tie").isNull() | (F.col("_last_tie") == F.struct(*tie)))
+        .drop("_heavy_key", "_micros", "_last_tie")
     )
 
 

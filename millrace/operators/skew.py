@@ -79,8 +79,8 @@ def heavy_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_POLICY):
 def _cells_table(df: DataFrame, key: str, heavy) -> DataFrame:
     schema = T.StructType(
         [
-            T.StructField("heavy_key", df.schema[key].dataType),
-            T.StructField("cells", T.IntegerType()),
+            T.StructField("_heavy_key", df.schema[key].dataType),
+            T.StructField("_cells", T.IntegerType()),
         ]
     )
     return F.broadcast(df.sparkSession.createDataFrame(heavy, schema))
@@ -97,18 +97,18 @@ def add_salt(df: DataFrame, key: str, heavy, name: str) -> DataFrame:
         for f in df.schema.fields
         if not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.col("cells"))
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.col("_cells"))
     return (
         df.join(
             _cells_table(df, key, heavy),
-            F.col(key).eqNullSafe(F.col("heavy_key")),
+            F.col(key).eqNullSafe(F.col("_heavy_key")),
             "left",
         )
         .withColumn(
             name,
-            F.when(F.col("cells").isNotNull(), spread.cast("int")).otherwise(F.lit(0)),
+            F.when(F.col("_cells").isNotNull(), spread.cast("int")).otherwise(F.lit(0)),
         )
-        .drop("heavy_key", "cells")
+        .drop("_heavy_key", "_cells")
     )
 
 
@@ -136,26 +136,26 @@ def skew_join(
     if not heavy:
         return left.join(right, on, how)
 
-    salted = add_salt(left, left_key, heavy, "salt_left")
+    salted = add_salt(left, left_key, heavy, "_salt_left")
     copies = (
         right.join(
             _cells_table(right, right_key, heavy),
-            F.col(right_key) == F.col("heavy_key"),
+            F.col(right_key) == F.col("_heavy_key"),
             "left",
         )
         .withColumn(
-            "salt_right",
-            F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1)),
+            "_salt_right",
+            F.explode(F.sequence(F.lit(0), F.coalesce("_cells", F.lit(1)) - 1)),
         )
-        .drop("heavy_key", "cells")
+        .drop("_heavy_key", "_cells")
     )
     joined = salted.join(
         copies,
         (salted[left_key] == copies[right_key])
-        & (salted["salt_left"] == copies["salt_right"]),
+        & (salted["_salt_left"] == copies["_salt_right"]),
         how,
     )
-    return joined.drop("salt_left", "salt_right")
+    return joined.drop("_salt_left", "_salt_right")
 
 
 @dataclass(frozen=True)
@@ -175,22 +175,22 @@ def heavy_slices(
 ) -> Slices | None:
     """Cut points at every full cell of each heavy key, from one sample."""
     sample = _sample(
-        df.select(F.col(key).alias("key"), F.unix_micros(ts).alias("micros")), policy
+        df.select(F.col(key).alias("key"), F.unix_micros(ts).alias("_micros")), policy
     )
     if sample is None:
         return None
-    by_key = Window.partitionBy("key").orderBy("micros")
+    by_key = Window.partitionBy("key").orderBy("_micros")
     cuts = (
         sample.withColumn("position", F.row_number().over(by_key))
         .filter(F.col("position") % policy.min_hits == 0)
-        .select("key", "micros")
+        .select("key", "_micros")
         .collect()
     )
     if not cuts:
         return None
     points = {}
     for cut in cuts:
-        points.setdefault(cut["key"], Counter())[cut["micros"]] += 1
+        points.setdefault(cut["key"], Counter())[cut["_micros"]] += 1
     instants = []
     rows = []
     for value, micros in points.items():
@@ -201,16 +201,16 @@ def heavy_slices(
         rows.append((value, [b[0] for b in blocks], blocks))
 
     spark = df.sparkSession
-    key_field = T.StructField("heavy_key", df.schema[key].dataType)
+    key_field = T.StructField("_heavy_key", df.schema[key].dataType)
     longs = T.ArrayType(T.LongType())
     cut_schema = T.StructType(
         [
             key_field,
-            T.StructField("starts", longs),
-            T.StructField("blocks", T.ArrayType(longs)),
+            T.StructField("_starts", longs),
+            T.StructField("_blocks", T.ArrayType(longs)),
         ]
     )
-    instant_schema = T.StructType([key_field, T.StructField("micros", T.LongType())])
+    instant_schema = T.StructType([key_field, T.StructField("_micros", T.LongType())])
     return Slices(
         spark.createDataFrame(rows, cut_schema),
         spark.createDataFrame(instants, instant_schema) if instants else None,
@@ -218,27 +218,27 @@ def heavy_slices(
 
 
 def add_slice(df: DataFrame, key: str, ts: str, cuts: DataFrame) -> DataFrame:
-    """Add ``slice``: 0 for ordinary keys, rising with ``ts`` for heavy ones.
+    """Add ``_slice``: 0 for ordinary keys, rising with ``ts`` for heavy ones.
 
     Two short scans, first over the block starts and then inside one block, find
     the slice among n cut points in about 2 * sqrt(n) comparisons.
     """
     micros = F.unix_micros(ts)
-    block = F.size(F.filter("starts", lambda s: s <= micros))
+    block = F.size(F.filter("_starts", lambda s: s <= micros))
     inside = F.size(
         F.filter(
-            F.coalesce(F.get("blocks", block - 1), F.array().cast("array<bigint>")),
+            F.coalesce(F.get("_blocks", block - 1), F.array().cast("array<bigint>")),
             lambda s: s <= micros,
         )
     )
     number = block.cast("long") * F.lit(1 << 20) + inside + 1
     return (
-        df.join(F.broadcast(cuts), F.col(key) == F.col("heavy_key"), "left")
+        df.join(F.broadcast(cuts), F.col(key) == F.col("_heavy_key"), "left")
         .withColumn(
-            "slice",
-            F.when(F.col("heavy_key").isNotNull(), number).otherwise(F.lit(0)),
+            "_slice",
+            F.when(F.col("_heavy_key").isNotNull(), number).otherwise(F.lit(0)),
         )
-        .drop("heavy_key", "starts", "blocks")
+        .drop("_heavy_key", "_starts", "_blocks")
     )
 
 
@@ -253,29 +253,29 @@ def beside(
 ) -> DataFrame:
     """Add ``value`` of the key's next (1) or previous (-1) row as ``name``.
 
-    ``value`` must not be null.  If ``df`` has a ``slice`` column, the window runs
+    ``value`` must not be null.  If ``df`` has a ``_slice`` column, the window runs
     inside each slice, and the rows at its end look up the neighbouring slice in a
     table with one row per slice.  ``edge`` aggregates a slice to the value of the
     row its neighbour sees: the first row for 1, the last for -1.
     """
     shift = F.lead if step > 0 else F.lag
-    sliced = "slice" in df.columns
-    groups = [key, "slice"] if sliced else [key]
+    sliced = "_slice" in df.columns
+    groups = [key, "_slice"] if sliced else [key]
     within = Window.partitionBy(*groups).orderBy(*order)
     out = df.withColumn(name, shift(value).over(within))
     if not sliced:
         return out
 
-    along = Window.partitionBy(key).orderBy("slice")
+    along = Window.partitionBy(key).orderBy("_slice")
     edges = (
-        df.filter("slice > 0")
-        .groupBy(key, "slice")
-        .agg(edge.alias("edge"))
-        .withColumn("edge", shift("edge").over(along))
-        .filter("edge is not null")
+        df.filter("_slice > 0")
+        .groupBy(key, "_slice")
+        .agg(edge.alias("_edge"))
+        .withColumn("_edge", shift("_edge").over(along))
+        .filter("_edge is not null")
     )
     return (
-        out.join(F.broadcast(edges), [key, "slice"], "left")
-        .withColumn(name, F.coalesce(name, "edge"))
-        .drop("edge")
+        out.join(F.broadcast(edges), [key, "_slice"], "left")
+        .withColumn(name, F.coalesce(name, "_edge"))
+        .drop("_edge")
     )

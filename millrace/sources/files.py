@@ -69,7 +69,7 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line"),
     )
     first_lines = (
-        lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
+        lines.filter((F.col("start") == 0) & _not_blank())
         .groupBy("path")
         .agg(F.min_by(F.xxhash64("value"), "line").alias("digest"))
         .persist()
@@ -82,9 +82,13 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
     return first_lines.join(F.broadcast(headers), "digest").select("path", "header")
 
 
+def _not_blank():
+    return F.btrim("value", F.lit(" \t")) != ""
+
+
 def _first_line(spark: SparkSession, file: str) -> str:
     lines = spark.read.text(file).filter(
-        (F.col("_metadata.file_block_start") == 0) & (F.trim("value") != "")
+        (F.col("_metadata.file_block_start") == 0) & _not_blank()
     )
     return lines.first()["value"]
 

@@ -98,7 +98,7 @@ def rebuild_buckets(
     buckets: list[int],
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> None:
-    """Rebuild the history of some buckets from the log."""
+    """Rebuild the history of some buckets, which must have changes, from the log."""
     # Naming the folders keeps the others from being listed.
     folders = [f"{tables.log}/key_bucket={bucket}" for bucket in buckets]
     log = spark.read.option("basePath", tables.log).parquet(*folders)

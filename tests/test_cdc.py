@@ -141,7 +141,7 @@ def test_sliced_history_is_the_same(spark, seed, collapse):
     log = log_of(spark, changes).repartition(3)
     slices = skew.heavy_slices(log, "order_id", "updated_at", EAGER)
     assert slices.cuts.count() >= 1
-    assert slices.instants.filter("heavy_key = 'hot'").count() >= 1
+    assert slices.instants.filter("_heavy_key = 'hot'").count() >= 1
     df = cdc.scd2_history(log, collapse_unchanged=collapse, policy=EAGER)
     assert versions(df) == replay(changes, collapse)
 
@@ -151,11 +151,11 @@ def test_slices_bound_the_groups(spark):
     log = log_of(spark, [("hot", "UPDATE", m, "x") for m in range(1000)])
     cuts = skew.heavy_slices(log, "order_id", "updated_at", EAGER).cuts
     sliced = skew.add_slice(log, "order_id", "updated_at", cuts)
-    groups = sliced.groupBy("slice").agg(
+    groups = sliced.groupBy("_slice").agg(
         F.count("*").alias("n"), F.min("updated_at").alias("a"), F.max("updated_at").alias("b")
-    ).orderBy("slice").collect()
+    ).orderBy("_slice").collect()
     assert max(g["n"] for g in groups) <= 5
-    assert min(g["slice"] for g in groups) > 0
+    assert min(g["_slice"] for g in groups) > 0
     assert all(x["b"] < y["a"] for x, y in zip(groups, groups[1:]))
 
 

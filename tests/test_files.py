@@ -89,7 +89,7 @@ def test_drifted_headers(spark, folder, rows):
         "extra%20__csv": 'colour,"order_id"\nred,4\nblue,5\n',
         "foreign__csv": "x,y\n1,2\n3,4\n",
         "empty__csv": "",
-        "late__csv": "\n  \nquantity,order_id\n9,6\n",
+        "late__csv": "\n \t \nquantity,order_id\n9,6\n",
     })
     df = files.read_drifted(spark, path)
     assert df.columns == list(schemas.SALES_COLUMNS)

@@ -88,11 +88,13 @@ def command(capsys, *argv):
 
 def test_simple_etl_from_the_command_line(spark, landed, tmp_path, capsys):
     out = str(tmp_path / "out")
-    done = command(
-        capsys, "simple-etl", "--source-path", landed["sales"], "--output-path", out,
-        "--drop-source-total",
-    )
+    main(["simple-etl", "--source-path", landed["sales"], "--output-path", out,
+          "--drop-source-total", "--preview"])
+    printed = capsys.readouterr().out.strip().splitlines()
+    done = json.loads(printed[-1])
     assert (done["job"], done["rows_read"]) == ("simple-etl", N)
+    assert " |-- revenue: double (nullable = true)" in printed
+    assert sum(line.startswith("|") for line in printed) == 1 + 5
     assert "total_price" not in spark.read.parquet(out).columns
 
 

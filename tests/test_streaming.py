@@ -5,6 +5,7 @@ import pytest
 from millrace import schemas
 from millrace.operators import cdc, generate
 from millrace.operators.clean import clean_sales
+from millrace.operators.skew import SkewPolicy
 from millrace.sinks.formats import write_drop
 from millrace.sources.files import read_changes, read_csv
 from millrace.streaming.changes import HistoryTables, apply_new_changes, rebuild_buckets
@@ -116,6 +117,26 @@ def test_a_key_whose_only_version_vanishes(spark, tmp_path, tables):
     assert left == ["zz"]
 
 
+def test_heavy_keys_in_change_files(spark, tmp_path, tables, rows):
+    """A key with most of the changes, many of them at one instant."""
+    changes = []
+    for i in range(300):
+        key = "hot" if i % 3 else f"k{i % 20}"
+        second = 7 if i % 4 == 0 else i % 50
+        changes.append(
+            (key, ("UPDATE", "DELETE")[i % 7 == 0], f"2024-01-01T00:00:{second:02}Z", i)
+        )
+    folder = tmp_path / "in"
+    write_changes(folder, "cdc_1.csv", *changes[:200])
+    write_changes(folder, "cdc_2.csv", *changes[200:])
+    policy = SkewPolicy(min_bytes=0, min_hits=10, cell_rows=10)
+    apply_new_changes(spark, str(folder), tables, policy=policy)
+    history = rows(spark.read.parquet(tables.history), *COLUMNS)
+    rebuild_buckets(spark, tables, range(4))
+    assert rows(spark.read.parquet(tables.history), *COLUMNS) == history
+    assert len(history) > 40
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path, tables):
     folder = tmp_path / "in"
     t = "2024-01-01T00:00:00Z"
