@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from millrace.plans.oracles import ORACLES
+from millrace.plans.queries import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -27,10 +29,12 @@ def sql():
 
 
 def test_every_query_has_an_oracle():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= registry.queries().keys()
+    assert ORACLES.keys() <= registry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches_sql(spark, sql, name):
     df = registry.queries()[name](spark, SF)
     cursor = sql.execute(registry.oracle_sql()[name])
