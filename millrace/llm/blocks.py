@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
@@ -107,3 +108,17 @@ def merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
+
+
+def pieces(batch, column: str = "text", size: int = BLOCK_BYTES):
+    """Slices of an Arrow batch whose ``column`` has about ``size`` bytes, one row at least."""
+    array = batch.column(column)
+    if not len(array):
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(array):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

@@ -5,11 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.repeats import op1_substring_dedup
+from millrace.llm.setsketch import op5_minhash_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op5_minhash_near_dedup,
     )
 }
 
