@@ -4,13 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.jumphash import op3_jump_sharding
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
+from millrace.llm.winnowing import op2_benchmark_decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op2_benchmark_decontamination,
+        op3_jump_sharding,
         op5_minhash_near_dedup,
     )
 }
