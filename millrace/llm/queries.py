@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.jumphash import op3_jump_sharding
+from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
 from millrace.llm.winnowing import op2_benchmark_decontamination
@@ -15,8 +16,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op2_benchmark_decontamination,
         op3_jump_sharding,
+        op4_line_dedup,
         op5_minhash_near_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": OP4_SQL,
+}
