@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.jumphash import op3_jump_sharding
+from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
@@ -18,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_jump_sharding,
         op4_line_dedup,
         op5_minhash_near_dedup,
+        op9_quality_rules,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
+    "op9_quality_rules": OP9_SQL,
 }
