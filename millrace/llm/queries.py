@@ -10,6 +10,7 @@ from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
+from millrace.llm.toxicity import op7_toxicity
 from millrace.llm.winnowing import op2_benchmark_decontamination
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_line_dedup,
         op5_minhash_near_dedup,
         op6_bpe_codec,
+        op7_toxicity,
         op9_quality_rules,
     )
 }
