@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.bpe import op6_bpe_codec
+from millrace.llm.chat import op8_chat_formatting
 from millrace.llm.jumphash import op3_jump_sharding
 from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_minhash_near_dedup,
         op6_bpe_codec,
         op7_toxicity,
+        op8_chat_formatting,
         op9_quality_rules,
     )
 }
