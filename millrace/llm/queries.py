@@ -9,6 +9,7 @@ from millrace.llm.chat import op8_chat_formatting
 from millrace.llm.jumphash import op3_jump_sharding
 from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
+from millrace.llm.recount import op10_token_counts
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
 from millrace.llm.toxicity import op7_toxicity
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_toxicity,
         op8_chat_formatting,
         op9_quality_rules,
+        op10_token_counts,
     )
 }
 
