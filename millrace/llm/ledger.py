@@ -95,32 +95,44 @@ def _letterless(block: WordBlock) -> np.ndarray:
     return total[block.starts[1:]] - total[block.starts[:-1]]
 
 
-def _measure_rows(batches):
-    for batch in batches:
-        for part in pieces(batch):
-            texts = [text or "" for text in part.column("text").to_pylist()]
-            block = WordBlock(texts)
-            lines = np.array([_line_counts(text) for text in texts], np.int64).reshape(-1, 4)
-            chars = [len(text) - sum(map(text.count, SPACES)) for text in texts]
-            symbols = [sum(map(text.count, SYMBOLS)) for text in texts]
-            columns = (block.counts, chars, symbols, lines[:, 0], lines[:, 1], _repeat_words(block), _letterless(block), lines[:, 2], lines[:, 3])
-            arrays = [pa.array(column, pa.int64()) for column in columns]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], ["doc_id", *MEASURES])
+def _measure_rows(keep):
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch):
+                texts = [text or "" for text in part.column("text").to_pylist()]
+                block = WordBlock(texts)
+                lines = np.array([_line_counts(text) for text in texts], np.int64).reshape(-1, 4)
+                chars = [len(text) - sum(map(text.count, SPACES)) for text in texts]
+                symbols = [sum(map(text.count, SYMBOLS)) for text in texts]
+                columns = (block.counts, chars, symbols, lines[:, 0], lines[:, 1], _repeat_words(block), _letterless(block), lines[:, 2], lines[:, 3])
+                measured = pa.StructArray.from_arrays([pa.array(column, pa.int64()) for column in columns], MEASURES)
+                yield pa.RecordBatch.from_arrays([*map(part.column, keep), measured], [*keep, "measured"])
+
+    return run
+
+
+def with_ledger(docs: DataFrame, keep: list[str], name: str) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the ledger of each text as the struct ``name``."""
+    # numbered names, so that no column of docs can clash with another
+    kept = [f"c{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)], F.col("text").cast("string").alias("text"))
+    kinds = [f"{k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(keep, kept, strict=True)]
+    measured = rows.mapInArrow(_measure_rows(kept), ", ".join([*kinds, f"measured struct<{', '.join(f'{m}: long' for m in MEASURES)}>"]))
+    found = measured.select(*kept, "measured.*")
+    failed = F.lit(0).cast("long")
+    for i, rule in enumerate(RULES.values()):
+        failed = failed.bitwiseOR(F.when(F.expr(rule), 1 << i).otherwise(0).cast("long"))
+    ledger = F.struct(*MEASURES, failed.alias("failed")).alias(name)
+    return found.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], ledger)
 
 
 def quality_ledger(docs: DataFrame) -> DataFrame:
     """``doc_id``, the measurements, and ``failed``, the bits of the rules that failed."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    measured = rows.mapInArrow(_measure_rows, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
-    bits = [F.when(F.expr(rule), 1 << i).otherwise(0).cast("long") for i, rule in enumerate(RULES.values())]
-    failed = bits[0]
-    for bit in bits[1:]:
-        failed = failed.bitwiseOR(bit)
-    return measured.withColumn("failed", failed)
+    return with_ledger(docs, ["doc_id"], "ledger").select(F.col("doc_id").cast("long").alias("doc_id"), "ledger.*")
 
 
-def fails(policy: Policy) -> Column:
-    return F.col("failed").bitwiseAND(F.lit(policy.mask).cast("long")) != 0
+def fails(policy: Policy, failed: str = "failed") -> Column:
+    return F.col(failed).bitwiseAND(F.lit(policy.mask).cast("long")) != 0
 
 
 def ablations(ledger: DataFrame, policy: Policy = POLICY) -> DataFrame:

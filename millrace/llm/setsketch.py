@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.blocks import BLOCK_BYTES, WordBlock, pieces, ship
 from millrace.llm.components import components, stored
+from millrace.llm.native import row_key
 
 ship(__name__)
 
@@ -177,12 +178,15 @@ def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document."""
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document.
+
+    Also ``row_key``, the content of ``doc_id`` and ``text`` in 16 bytes, and ``group``, a name of
+    the component that stays apart where all ids are null; it is null for an empty set.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("row_key", F.md5(name.cast("binary")))
+    rows = rows.withColumn("row_key", row_key("doc_id", "text"))
     sketched = stored(
-        rows.mapInArrow(_sketch_rows, "doc_id long, row_key string, n_shingles long, set_key binary, sketch binary"), "sketches"
+        rows.mapInArrow(_sketch_rows, "doc_id long, row_key binary, n_shingles long, set_key binary, sketch binary"), "sketches"
     )
     classes = stored(
         sketched.filter("set_key is not null")
@@ -224,12 +228,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = classes.select("key", "first_id").join(roots, F.col("key") == F.col("node"), "left")
     placed = placed.select("key", "first_id", F.coalesce("root", "key").alias("root"))
     ids = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_set = placed.join(ids, "root").select(F.col("key").alias("set_key"), "component_id")
-    out = sketched.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
+    of_set = placed.join(ids, "root").select(F.col("key").alias("set_key"), "component_id", F.col("root").alias("group"))
+    out = sketched.select("doc_id", "n_shingles", "row_key", "set_key").join(of_set, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), "row_key", "group")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
