@@ -5,13 +5,15 @@
    registers of a union are the larger ones, and equal registers grow with the Jaccard index.
 2. Documents of equal sets form one class.  26 bands of 5 registers make the candidates: a pair
    at 0.85 shares no band with probability 2e-7.
-3. In a bucket every class is paired with the first one, not with all.  Pairs that the joint
-   likelihood of their registers leaves possible are confirmed on full sets.
-4. What remains open is settled exactly: where a bucket still holds classes of more than one
-   component, those outside its largest component are paired with the classes of the others.
-   After that no pair that shares a bucket is undecided, so no link is lost to the short cut.
+3. A bucket is named by its smallest class; buckets of one name make a cluster, in which every
+   class is there once however many bands it shares.  Members that the joint likelihood of their
+   registers leaves possible go on to the full sets.
+4. A cluster's sets are compared in blocks of bounded size: those outside the largest component
+   with all others.  A block returns the links that connect its members, one for each merge, and
+   never its pairs; two members of one cluster always meet in a block, so no link between
+   components is lost.
 
-Texts are moved only to build the sets of candidates.  Links and components stay distributed.
+Texts are moved once, to build the sets of candidates.  Links and components stay distributed.
 
 Defined cases: null, empty and wordless texts have an empty set, no link, and are their own
 component; texts of one or two words have one shingle, all their words; repeated rows are copies
@@ -37,6 +39,9 @@ PERCENT = 85
 BANDS, ROWS = 26, 5
 BASE, RATE, TOP = 1.001, 20.0, 65535
 
+# Classes and shingles that a block holds at most, about, on either side.
+MOST_SKETCHES, MOST_SHINGLES = 2048, 1 << 20
+
 # A pair is dropped unread if its registers are e^-18 times as likely at the threshold as at best.
 SLACK = 18.0
 
@@ -92,12 +97,6 @@ def _sketch_rows(batches):
             )
 
 
-def _differences(batch):
-    """Counts of registers that are larger, smaller and equal, pair by pair."""
-    one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("sketch", "sketch_b"))
-    return (one > two).sum(axis=1), (one < two).sum(axis=1), (one == two).sum(axis=1)
-
-
 def joint_likelihood(n_a, n_b, above, below, equal, at):
     """Log likelihood of the Jaccard values ``at`` (one column each), sizes being known."""
     u = (n_a / (n_a + n_b))[:, None]
@@ -115,36 +114,70 @@ def joint_likelihood(n_a, n_b, above, below, equal, at):
     )
 
 
-def _possible_pairs(batches):
-    """Pairs whose registers do not rule out the threshold."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        n_a, n_b = (batch.column(c).to_numpy().astype(np.float64) for c in ("n", "n_b"))
-        counts = _differences(batch)
-        most = np.minimum(n_a, n_b) / np.maximum(n_a, n_b)
+def possible(n, sketches, n_b, sketch_b) -> np.ndarray:
+    """Which sets may reach the threshold with the set ``b``, by their registers."""
+    most = np.minimum(n, n_b) / np.maximum(n, n_b)
+    keep = 100 * np.minimum(n, n_b) >= PERCENT * np.maximum(n, n_b)
+    where = np.flatnonzero(keep)
+    if len(where):
+        n, most, part = n[where], most[where], sketches[where]
+        counts = (part > sketch_b).sum(axis=1), (part < sketch_b).sum(axis=1), (part == sketch_b).sum(axis=1)
         goal = np.minimum(most, PERCENT / 100)[:, None]
-        below = joint_likelihood(n_a, n_b, *counts, goal * np.linspace(0, 1, 41)[None, :])
-        above = joint_likelihood(n_a, n_b, *counts, goal + (most[:, None] - goal) * np.linspace(0, 1, 9)[None, :])
-        keep = (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)) & (above.max(axis=1) >= below.max(axis=1) - SLACK)
-        yield batch.filter(pa.array(keep)).select(["a", "b"])
+        less = joint_likelihood(n, n_b, *counts, goal * np.linspace(0, 1, 21)[None, :])
+        more = joint_likelihood(n, n_b, *counts, goal + (most[:, None] - goal) * np.linspace(0, 1, 9)[None, :])
+        keep[where] = more.max(axis=1) >= less.max(axis=1) - SLACK
+    return keep
+
+
+def _blocks(batches):
+    """The rows of each ``cluster``, ``i``, ``j`` from batches that are sorted by them."""
+    waiting, last = [], None
+    for batch in batches:
+        names = list(zip(*(batch.column(c).to_pylist() for c in ("cluster", "i", "j")), strict=True))
+        start = 0
+        for row, name in enumerate(names):
+            if name != last:
+                if row > start:
+                    waiting.append(batch.slice(start, row - start))
+                if waiting:
+                    yield pa.Table.from_batches(waiting)
+                waiting, last, start = [], name, row
+        if len(names) > start:
+            waiting.append(batch.slice(start))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _possible_rows(batches):
+    """The members of each block that may reach the threshold with another one."""
+    for block in _blocks(batches):
+        n = block["n"].to_numpy().astype(np.float64)
+        sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint16).reshape(len(n), -1)
+        keep = np.zeros(len(n), bool)
+        for row in range(len(n) - 1):
+            near = possible(n[row + 1 :], sketches[row + 1 :], n[row], sketches[row])
+            keep[row + 1 :] |= near
+            keep[row] |= near.any()
+        found = block.filter(pa.array(keep)).select(["cluster", "key"])
+        yield from found.combine_chunks().to_batches()
 
 
 def _member_sets(batches):
-    """For every pair partner of a document, the document's set; its own entry comes without one."""
+    """Each document's set, once for every block it is in."""
 
     def batch(entries):
-        arrays = [pa.array(column, pa.binary()) for column in zip(*entries, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["a", "b", "content"])
+        clusters, i, j, keys, contents = zip(*entries, strict=True)
+        arrays = [pa.array(clusters, pa.binary()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(keys, pa.binary()), pa.array(contents, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["cluster", "i", "j", "key", "content"])
 
     for rows in batches:
         for part in pieces(rows):
             sets = shingle_sets(part.column("text").to_pylist())
             entries, size = [], 0
-            for key, others, found in zip(part.column("key").to_pylist(), part.column("others").to_pylist(), sets, strict=True):
+            for key, places, found in zip(part.column("key").to_pylist(), part.column("places").to_pylist(), sets, strict=True):
                 packed = found.tobytes()
-                for other in others:
-                    entries.append((other or key, key if other else None, packed))
+                for place in places:
+                    entries.append((place["cluster"], place["i"], place["j"], key, packed))
                     size += len(packed)
                     if size > 4 * BLOCK_BYTES:
                         yield batch(entries)
@@ -153,28 +186,81 @@ def _member_sets(batches):
                 yield batch(entries)
 
 
+def spanning_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links at the threshold that connect all that links connect, one for each merge.
+
+    Every set outside the largest component of the first few is compared with all others, by
+    counting common shingles.  Links within that component alone are not looked for.
+    """
+    n = np.array([len(s) for s in sets])
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), n)
+    holders = owner[np.argsort(shingle, kind="stable")]
+    ends = np.cumsum(np.bincount(shingle))
+    starts = np.concatenate(([0], ends[:-1]))
+    first = np.concatenate(([0], np.cumsum(n)))
+    label = np.arange(len(sets))
+    links = []
+
+    def compare(one: int) -> None:
+        own = shingle[first[one] : first[one + 1]]
+        width = ends[own] - starts[own]
+        shift = np.repeat(starts[own] - (np.cumsum(width) - width), width)
+        both = np.bincount(holders[np.arange(width.sum()) + shift], minlength=len(sets))
+        near = np.flatnonzero(100 * both >= PERCENT * (n[one] + n - both))
+        for other in near[np.unique(label[near], return_index=True)[1]].tolist():
+            if label[other] != label[one]:
+                links.append((one, other))
+                label[label == label[other]] = label[one]
+
+    few = min(4, len(sets))
+    for one in range(few):
+        compare(one)
+    names, counts = np.unique(label, return_counts=True)
+    anchor = int(np.flatnonzero(label == names[np.argmax(counts)])[0])
+    for one in range(few, len(sets)):
+        if label[one] != label[anchor]:
+            compare(one)
+    return links
+
+
 def _confirmed(batches):
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("content"), batch.column("content_b"), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-
-def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold.  Each text is read from one row of its class."""
-    plain = F.lit(None).cast("binary")
-    sides = pairs.select(F.col("b").alias("key"), F.col("a").alias("other")).union(pairs.select("a", plain).distinct())
-    wanted = sides.groupBy("key").agg(F.collect_list(F.coalesce("other", F.lit(b""))).alias("others"))
-    wanted = stored(wanted.join(classes.select("key", "row_key"), "key"), "wanted")
-    # copies of one row have one row_key; the first of them is enough
-    texts = rows.join(wanted, "row_key").select("key", "others", "text")
-    sets = texts.mapInArrow(_member_sets, "a binary, b binary, content binary")
-    own = sets.filter("b is null").select("a", "content").dropDuplicates(["a"])
-    members = sets.filter("b is not null").select("a", "b", F.col("content").alias("content_b"))
-    return members.join(own, "a").mapInArrow(_confirmed, "a binary, b binary").distinct()
+    for block in _blocks(batches):
+        keys = block["key"].to_pylist()
+        # a document that is there twice brings its set twice
+        rows = list({key: row for row, key in enumerate(keys)}.values())
+        content = block["content"].combine_chunks()
+        links = spanning_links([np.frombuffer(content[row].as_buffer(), np.uint64) for row in rows])
+        if links:
+            pairs = [sorted((keys[rows[x]], keys[rows[y]])) for x, y in links]
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs, strict=True)], ["a", "b"])
+
+
+def _in_blocks(members: DataFrame, weight: str, most: int) -> DataFrame:
+    """Members with the blocks ``i``, ``j`` of their cluster, so that every two members meet in one.
+
+    A cluster whose weights exceed ``most`` is cut into chunks by a hash of the key, and a block is a
+    pair of chunks; all others are one block.
+    """
+    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(weight) / most).cast("int").alias("chunks"))
+    cut = members.join(sizes, "cluster").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
+    others = F.sequence(F.lit(0), F.col("chunks") - 1)
+    placed = cut.withColumn("other", F.explode(others))
+    return placed.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunk", "chunks", "other")
+
+
+def _links(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Confirmed links (``a``, ``b``) that connect the classes within each cluster."""
+    order = ["cluster", "i", "j"]
+    sketched = members.join(classes.select("key", "n", "sketch"), "key").withColumn("one", F.lit(1))
+    sketched = _in_blocks(sketched, "one", MOST_SKETCHES).select(*order, "key", "n", "sketch")
+    near = sketched.repartition(*order).sortWithinPartitions(*order).mapInArrow(_possible_rows, "cluster binary, key binary")
+    near = stored(near.distinct(), "possible")
+    wanted = _in_blocks(near.join(classes.select("key", "n", "row_key"), "key"), "n", MOST_SHINGLES)
+    wanted = wanted.groupBy("key", "row_key").agg(F.collect_list(F.struct(*order)).alias("places"))
+    texts = rows.join(stored(wanted, "wanted"), "row_key").select("key", "places", "text")
+    sets = texts.mapInArrow(_member_sets, "cluster binary, i int, j int, key binary, content binary")
+    return sets.repartition(*order).sortWithinPartitions(*order).mapInArrow(_confirmed, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -194,36 +280,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("row_key").alias("row_key"), F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch")),
         "classes",
     )
-    bands = classes.select("key", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))).alias("band", "part"))
+    # the registers of a band, as they lie in the sketch
+    parts = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
+    bands = classes.select("key", F.posexplode(parts).alias("band", "part"))
     bands = bands.select("key", F.xxhash64("band", "part").alias("bucket"))
-    full = bands.groupBy("bucket").agg(F.count("*").alias("n_keys"), F.min("key").alias("first")).filter("n_keys > 1")
-    members = stored(bands.join(full, "bucket"), "buckets")
-    sketches = classes.select("key", "n", "sketch")
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        one = sketches.withColumnRenamed("key", "a")
-        two = sketches.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "n_b", "sketch", "sketch_b").mapInArrow(_possible_pairs, "a binary, b binary")
-
-    star = members.filter("key != first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
-    star = stored(possible(star), "pairs")
-    links = stored(_verify(rows, classes, star), "links")
-    roots = components(links)
-
-    # classes of a bucket that the star has left in different components
-    shared = members.filter("n_keys > 2").join(roots, members["key"] == roots["node"], "left")
-    shared = shared.select("bucket", "key", F.coalesce("root", "key").alias("root"))
-    sizes = shared.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("n_roots"))
-    largest = largest.filter("n_roots > 1").select("bucket", F.col("top.root").alias("main"))
-    open_ = stored(shared.join(largest, "bucket"), "open")
-    outside = open_.filter("root != main").select("bucket", F.col("key").alias("x"), F.col("root").alias("x_root"))
-    rest = outside.join(open_.drop("main"), "bucket").filter("x_root != root")
-    rest = rest.select(F.least("x", "key").alias("a"), F.greatest("x", "key").alias("b")).distinct()
-    rest = stored(possible(rest.join(star, ["a", "b"], "left_anti")), "rest")
-    if not rest.isEmpty():
-        links = stored(links.union(_verify(rows, classes, rest)), "links")
-        roots = components(links)
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("n_keys"), F.min("key").alias("cluster")).filter("n_keys > 1")
+    members = stored(bands.join(shared, "bucket").select("cluster", "key").distinct(), "clusters")
+    roots = components(stored(_links(rows, classes, members), "links"))
 
     placed = classes.select("key", "first_id").join(roots, F.col("key") == F.col("node"), "left")
     placed = placed.select("key", "first_id", F.coalesce("root", "key").alias("root"))
