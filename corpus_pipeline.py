@@ -12,40 +12,34 @@ from millrace.llm.bpe import digests, word_bpe_path
 from millrace.llm.components import stored
 from millrace.llm.ledger import BASE, POLICY, fails, with_ledger
 from millrace.llm.lineruns import drop_repeated_lines
-from millrace.llm.native import row_key
+from millrace.llm.native import fresh, row_key
 from millrace.llm.setsketch import near_duplicates
 from millrace.llm.winnowing import find_benchmark_spans
 
 
-def _fresh(docs: DataFrame, name: str) -> str:
-    """``name``, or one like it that ``docs`` does not have."""
-    while name in docs.columns:
-        name = f"_{name}"
-    return name
-
-
 def _columns(docs: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that fail no rule of the base and of the current policy."""
-    name = _fresh(docs, "_quality")
+    name = fresh(docs, "_quality")
     ledger = with_ledger(docs, docs.columns, name)
     return ledger.filter(~fails(BASE, f"{name}.failed") & ~fails(POLICY, f"{name}.failed")).select(*_columns(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without later copies of line runs; one that loses all its lines goes."""
-    found = drop_repeated_lines(docs)
-    return found.filter((F.size("_removed") == 0) | (F.size("_removed") < F.col("_n_lines"))).select(*_columns(docs))
+    count, removed = fresh(docs, "_n_lines"), fresh(docs, "_removed")
+    found = drop_repeated_lines(docs, count=count, removed=removed)
+    return found.filter((F.size(removed) == 0) | (F.size(removed) < F.col(count))).select(*_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the smallest id; those without words are in no group and stay."""
     found = near_duplicates(docs).filter("group is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
-    key = _fresh(docs, "_key")
+    key = fresh(docs, "_key")
     kept = found.groupBy("group").agg(first).select(F.col("first.row_key").alias(key))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # the key holds all of id and text, so rows that share it are repeats
@@ -56,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no window of a benchmark item."""
     _, hits, _ = find_benchmark_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    key = _fresh(docs, "_key")
+    key = fresh(docs, "_key")
     hit = hits.select(F.col("key").alias(key)).distinct()
     return docs.withColumn(key, row_key("doc_id", "text")).join(hit, key, "left_anti").select(*_columns(docs))
 

@@ -2,7 +2,7 @@
 
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body) -> Column:
@@ -19,6 +19,14 @@ def row_key(*columns: str) -> Column:
     """16 bytes that name a row by the content of the columns; nulls count as a value."""
     parts = []
     for name in columns:
-        value = F.col(name).cast("string")
+        value = F.col(name).cast("long" if name == "doc_id" else "string").cast("string")
         parts += [F.coalesce(F.length(value).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(value, F.lit(""))]
     return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or one like it that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
