@@ -24,7 +24,7 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm.blocks import BLOCK_BYTES, WordBlock, block_count, block_of, merged, ship, sliding
 
@@ -170,21 +170,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bloc
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = rows.withColumn("block", block_of(block_count(rows, block_bytes)))
+    # A group of these windows has one row for each block at most, and needs no second shuffle.
+    alike, same = Window.partitionBy("anchor"), Window.partitionBy("k1", "k2")
     anchors = blocks.groupBy("block").applyInArrow(
         _anchor_rows(window, gram), "block int, anchor long, n long, least long, most long"
     )
-    settled = anchors.groupBy("anchor").agg(F.sum("n").alias("total"), F.min("least").alias("low"), F.max("most").alias("high"))
-    settled = settled.filter("total > 1").select("anchor", (F.col("low") == F.col("high")).alias("agree"))
-    shared = anchors.select("block", "anchor").join(settled, "anchor")
+    agree = F.min("least").over(alike) == F.max("most").over(alike)
+    shared = anchors.select("block", "anchor", F.sum("n").over(alike).alias("total"), agree.alias("agree")).filter("total > 1")
     windows = (
         blocks.groupBy("block")
         .cogroup(shared.filter("not agree").select("block", "anchor").groupBy("block"))
         .applyInArrow(_window_rows(window, gram), "block int, k1 long, k2 long, n long")
     )
-    twice = windows.groupBy("k1", "k2").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
-    proofs = shared.filter("agree").select("block", F.lit(0).alias("kind"), F.col("anchor").alias("k1"), F.lit(0).cast("long").alias("k2")).unionByName(
-        windows.join(twice, ["k1", "k2"]).select("block", F.lit(1).alias("kind"), "k1", "k2")
-    )
+    twice = windows.select("block", "k1", "k2", F.sum("n").over(same).alias("total")).filter("total > 1")
+    proofs = shared.filter("agree").select("block", F.lit(0).alias("kind"), F.col("anchor").alias("k1"), F.lit(0).cast("long").alias("k2"))
+    proofs = proofs.unionByName(twice.select("block", F.lit(1).alias("kind"), "k1", "k2"))
     return (
         blocks.groupBy("block")
         .cogroup(proofs.groupBy("block"))
