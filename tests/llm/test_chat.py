@@ -1,0 +1,112 @@
+"""Operator 8: quotations of known conversations are followed back."""
+
+from collections import Counter
+from hashlib import sha256
+
+import pytest
+from conftest import SF  # noqa: F401
+from conftest_llm import same
+
+from millrace.llm.chat import build_conversations, op8_chat_formatting, parse
+
+SCHEMA = "msg_id long, text string, depth int, key string, position string"
+
+
+def build(spark, rows):
+    found = build_conversations(spark.createDataFrame([(i, t, 7, "k", "p") for i, t in rows], SCHEMA)).collect()
+    return {(r.msg_id, r.conversation_id, r.parent_id, r.depth, r.position, r.own_text) for r in found}
+
+
+def test_parse():
+    own, quotes = parse("On Monday Ann wrote:\n> hello\n> > deeper\n>> more\n> there\nmy answer\n")
+    assert own == "my answer"
+    assert quotes == ["hello\nthere", "deeper\nmore"]
+    assert parse(None) == ("", [])
+    assert parse("plain > text") == ("plain > text", [])
+
+
+def test_replies(spark):
+    rows = [
+        (1, "Hello all"),
+        (2, "> hello   ALL\nhi back"),
+        (3, ">> Hello all\n> hi back\nthird"),
+        (4, "Bob wrote:\n> Hello all\nanother branch"),
+        (5, "first line\nsecond line\nthird line"),
+        (6, "> second line\n> third line\nonly a part is quoted"),
+        (7, "> nobody said this\norphan"),
+        (8, None),
+        (9, ""),
+        (10, "> Hello all"),
+    ]
+    assert build(spark, rows) == {
+        (1, 1, None, 0, 0, "Hello all"),
+        (2, 1, 1, 1, 1, "hi back"),
+        (4, 1, 1, 1, 2, "another branch"),
+        (10, 1, 1, 1, 3, ""),
+        (3, 1, 2, 2, 4, "third"),
+        (5, 5, None, 0, 0, "first line\nsecond line\nthird line"),
+        (6, 5, 5, 1, 1, "only a part is quoted"),
+        (7, 7, None, 0, 0, "orphan"),
+        (8, 8, None, 0, 0, ""),
+        (9, 9, None, 0, 0, ""),
+    }
+
+
+def test_equal_texts_are_told_apart_by_what_they_answer(spark):
+    rows = [(1, "a"), (2, "b"), (3, "> a\nyes"), (4, "> b\nyes"), (5, ">> b\n> yes\nwhy"), (6, ">> a\n> yes\nwhy")]
+    parents = {r[0]: r[2] for r in build(spark, rows)}
+    assert parents == {1: None, 2: None, 3: 1, 4: 2, 5: 4, 6: 3}
+
+
+def test_ties_cycles_repeats_and_nulls(spark):
+    rows = [(5, "same"), (4, "same"), (6, "> same\nreply"), (1, "> later\nearly"), (9, "later"), (7, "> 7\n7"), (2, "x"), (2, "x"), (None, "null"), (None, "> x\nnull")]
+    found = build(spark, rows)
+    assert {(r[0], r[2]) for r in found} == {(5, None), (4, None), (6, 4), (1, None), (9, None), (7, None), (2, None), (None, None)}
+    assert Counter((r[1], r[4]) for r in found if r[0] == 2) == {(2, 0): 1, (2, 1): 1}
+    assert {r[1] for r in found if r[0] is None} == {None}
+
+
+def test_long_chain(spark):
+    rows = [(0, "turn 0")] + [(i, f"> turn {i - 1}\nturn {i}") for i in range(1, 40)]
+    assert {(r[0], r[1], r[3], r[4]) for r in build(spark, rows)} == {(i, 0, i, i) for i in range(40)}
+
+
+def test_empty(spark):
+    assert build(spark, []) == set()
+
+
+def brute_force(turns):
+    """Every turn answers the first message with the text before it, in the same surroundings."""
+    by_conv = {}
+    for t in sorted(turns, key=lambda t: (t.conv_id, t.turn)):
+        by_conv.setdefault(t.conv_id, []).append(t)
+    name = lambda t: f"{t.conv_id:020d}/{t.turn:020d}"
+    normal = lambda text: " ".join(text.casefold().split())
+    chains = {}
+    for conv in by_conv.values():
+        for i, t in enumerate(conv):
+            chains[name(t)] = [normal(x.text) for x in conv[max(i - 2, 0) : i + 1]][::-1]
+    known = {}
+    for m, chain in sorted(chains.items()):
+        for n in range(1, len(chain) + 1):
+            known.setdefault(tuple(chain[:n]), m)
+    parent = {m: p if (p := known.get(tuple(c[1:]))) and p < m else None for m, c in chains.items()}
+    out = {}
+    for m in parent:
+        root, depth = m, 0
+        while parent[root]:
+            root, depth = parent[root], depth + 1
+        out[m] = root, parent[m], depth
+    place = Counter()
+    rows = []
+    texts = {name(t): t.text for t in turns}
+    for m, (root, up, depth) in sorted(out.items(), key=lambda x: (x[1][0], x[1][2], x[0])):
+        rows.append((m, root, up, depth, place[root], sha256(texts[m].strip().encode()).hexdigest()))
+        place[root] += 1
+    return rows
+
+
+@pytest.mark.parametrize("folder", [SF])
+def test_query(spark, folder):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").collect()
+    same([tuple(r) for r in op8_chat_formatting(spark, folder).collect()], brute_force(turns))
