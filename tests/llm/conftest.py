@@ -1,11 +1,9 @@
 """Documents of the smallest tables, and awkward ones, as plain rows and as DataFrames."""
 
-import os
 import random
 
 import pytest
-
-SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+from conftest_llm import SF
 
 # Columns that clash with names the operators use inside.
 SCHEMA = (

@@ -1,4 +1,8 @@
-"""Shared comparison."""
+"""What the tests of this folder share."""
+
+import os
+
+SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
 def same(found, expected):

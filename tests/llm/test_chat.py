@@ -4,8 +4,8 @@ from collections import Counter
 from hashlib import sha256
 
 import pytest
-from conftest import SF  # noqa: F401
-from conftest_llm import same
+
+from conftest_llm import SF, same
 
 from millrace.llm.chat import build_conversations, op8_chat_formatting, parse
 

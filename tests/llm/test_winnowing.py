@@ -5,8 +5,8 @@ from collections import defaultdict
 from string import ascii_lowercase, ascii_uppercase
 
 import pytest
-from conftest import SF  # noqa: F401
-from conftest_llm import same
+
+from conftest_llm import SF, same
 
 from millrace.llm.winnowing import decontaminate
 
