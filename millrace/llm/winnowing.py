@@ -32,6 +32,11 @@ BROADCAST_ROWS = 1 << 19
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def part(words: Column, start: Column, n) -> Column:
+    """``n`` words from ``start`` on (from 0).  ``slice`` would copy the whole array each time."""
+    return F.transform(F.sequence(start, start + n - 1), lambda i: F.get(words, i))
+
+
 def words_of(text: Column) -> Column:
     words = F.array_remove(F.split(ascii_lower(text), SEPARATORS), "")
     return F.coalesce(words, F.array().cast("array<string>"))
@@ -45,15 +50,17 @@ def _minima(words: Column, length: int) -> Column:
         heads = F.slice(ws, F.lit(1), F.greatest(F.size(ws) - (gram - 1), F.lit(0)))
         return F.transform(heads, lambda w, i: F.xxhash64(w, *[F.get(ws, i + j) for j in range(1, gram)]))
 
-    values, done = let(words, hashes), 1
-    while done < length - gram + 1:
-        step = min(done, length - gram + 1 - done)
-
-        def halved(ms, step=step):
+    def smaller_of(step):
+        def pairs(ms):
             heads = F.slice(ms, F.lit(1), F.greatest(F.size(ms) - step, F.lit(0)))
             return F.transform(heads, lambda m, i: F.least(m, F.get(ms, i + step)))
 
-        values, done = let(values, halved), done + step
+        return pairs
+
+    values, done = let(words, hashes), 1
+    while done < length - gram + 1:
+        step = min(done, length - gram + 1 - done)
+        values, done = let(values, smaller_of(step)), done + step
     return values
 
 
@@ -70,7 +77,7 @@ def fingerprints(words: Column, length: int) -> Column:
             def one(s, j):
                 n = F.coalesce(F.get(starts, j + 1), F.size(ms)) - s
                 return F.struct(
-                    F.get(ms, s).alias("print"), s.alias("start"), n.alias("n"), F.slice(words, s + 1, n + (length - 1)).alias("span")
+                    F.get(ms, s).alias("print"), s.alias("start"), n.alias("n"), part(words, s, n + (length - 1)).alias("span")
                 )
 
             return F.transform(starts, one)
@@ -84,8 +91,8 @@ def fingerprints(words: Column, length: int) -> Column:
 def _windows(items: DataFrame, window: int) -> DataFrame:
     """``length``, ``window`` (words joined by spaces) and ``item_id`` of every distinct item window."""
     sized = items.withColumn("length", F.least(F.size("words"), F.lit(window))).filter("length > 0")
-    starts = F.sequence(F.lit(1), F.size("words") - F.col("length") + 1)
-    parts = F.transform(starts, lambda i: F.array_join(F.slice("words", i, F.col("length")), " "))
+    starts = F.sequence(F.lit(0), F.size("words") - F.col("length"))
+    parts = F.transform(starts, lambda i: F.array_join(part(F.col("words"), i, F.col("length")), " "))
     return sized.select("item_id", "length", F.explode(parts).alias("window")).distinct()
 
 
@@ -127,12 +134,12 @@ def find_benchmark_spans(
         else:
             places = runs.select("key", "print", "start", "n").join(prints, "print", "left_semi")
             places = places.groupBy("key").agg(F.collect_set(F.struct("start", "n")).alias("places"))
-            span = F.slice("words", F.col("place.start") + 1, F.col("place.n") + (length - 1))
+            span = part(F.col("words"), F.col("place.start"), F.col("place.n") + (length - 1))
             near = texts.join(places, "key").select("key", "words", F.explode("places").alias("place"))
             near = near.select("key", "place.start", "place.n", span.alias("span"))
         each = near.select("key", "start", "span", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
         each = each.select(
-            "key", (F.col("start") + F.col("i")).alias("start"), F.array_join(F.slice("span", F.col("i") + 1, F.lit(length)), " ").alias("window")
+            "key", (F.col("start") + F.col("i")).alias("start"), F.array_join(part(F.col("span"), F.col("i"), length), " ").alias("window")
         )
         found = each.join(known.select("window", "items"), "window").select("key", "start", (F.col("start") + length).alias("end"), "items")
         hits = found if hits is None else hits.unionByName(found)
@@ -148,7 +155,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     per_doc = hits.groupBy("key").agg(
         _covered(F.collect_set(F.struct("start", "end"))).alias("n_hit"), F.array_sort(F.collect_set("items")).alias("sets")
     )
-    per_doc = per_doc.withColumn("mix", F.md5(F.array_join("sets", ",").cast("binary")))
+    per_doc = stored(per_doc.withColumn("mix", F.md5(F.array_join("sets", ",").cast("binary"))), "hits")
     mixes = per_doc.select("mix", "sets").dropDuplicates(["mix"]).select("mix", F.explode("sets").alias("items"))
     mixes = mixes.join(sets, "items").select("mix", F.explode_outer("item_ids").alias("item_id"))
     mixes = mixes.groupBy("mix").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
