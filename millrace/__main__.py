@@ -12,8 +12,9 @@ import json
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, types as T
 
+from millrace import schemas
 from millrace.operators import generate
 from millrace.operators.metrics import preview
 from millrace.plans.pipeline import run_pipeline
@@ -37,9 +38,17 @@ def _simple_etl(spark: SparkSession, args) -> dict:
         multiline=args.multiline,
         drop_source_total=args.drop_source_total,
         exact_counts=args.exact_counts,
+        source_format=args.format,
+        glob=args.glob,
+        recursive=not args.flat,
+        batch=args.batch,
+        table=args.table,
     )
     if args.preview:
-        written = read_committed(spark, args.output_path)
+        schema = schemas.CLEAN_SALES
+        if args.drop_source_total:
+            schema = T.StructType([f for f in schema if f.name != "total_price"])
+        written = read_committed(spark, args.output_path, schema)
         written.printSchema()
         preview(written).show(truncate=False)
     return result
@@ -58,6 +67,8 @@ def _ingest(spark: SparkSession, args) -> dict:
         args.output_path,
         args.checkpoint_path,
         max_files=args.max_files,
+        source_format=args.format,
+        archive_path=args.archive_path,
     )
     return {"output_path": args.output_path}
 
@@ -79,13 +90,13 @@ def _generate(spark: SparkSession, args) -> dict:
     ids = spark.range(args.rows)
     name = args.dataset
     if name == "sales":
-        df = generate.sales(ids, args.seed, null_rate=args.null_rate)
+        df = generate.sales(ids, args.seed, args.users, args.null_rate)
     elif name == "users":
         df = generate.users(ids, args.seed)
     elif name == "transactions":
-        df = generate.transactions(ids, args.seed)
+        df = generate.transactions(ids, args.seed, args.users)
     else:
-        df = generate.changes(ids, args.mode, args.seed, base_rows=args.base_rows)
+        df = generate.changes(ids, args.mode, args.seed, args.users, args.base_rows)
         name = f"cdc_{args.mode}"
     return {"path": write_drop(df, name, args.output_dir, datetime.now())}
 
@@ -117,12 +128,19 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("--drop-source-total", action="store_true")
     etl.add_argument("--exact-counts", action="store_true")
     etl.add_argument("--preview", action="store_true")
+    etl.add_argument("--format", default="csv", choices=("csv", "json"))
+    etl.add_argument("--glob")
+    etl.add_argument("--flat", action="store_true", help="leave folders below out")
+    etl.add_argument("--batch", help="name of a batch_id folder, to ingest more later")
+    etl.add_argument("--table", help="register the output, or refresh it")
 
     steps = job("pipeline", _pipeline, "--sales-path", "--users-path", "--work-path")
     steps.add_argument("--resume", action="store_true")
 
     new = job("ingest", _ingest, "--source-path", "--output-path", "--checkpoint-path")
     new.add_argument("--max-files", type=int)
+    new.add_argument("--format", default="csv", choices=("csv", "json"))
+    new.add_argument("--archive-path")
 
     log = job("apply-changes", _changes, "--source-path", "--table-path")
     log.add_argument("--buckets", type=int, default=256)
@@ -134,6 +152,7 @@ def _parser() -> argparse.ArgumentParser:
     )
     data.add_argument("--rows", type=int, default=1000)
     data.add_argument("--seed", type=int, default=1)
+    data.add_argument("--users", type=int, default=1000)
     data.add_argument("--null-rate", type=float, default=0.0)
     data.add_argument("--mode", default="full", choices=("full", "incremental"))
     data.add_argument("--base-rows", type=int)

@@ -11,9 +11,14 @@ def digest(seed: int, label: str, id_column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(label), id_column))
 
 
+DRAW_DIGITS = 15
+
+
 def draw(seed: int, label: str, id_column, below: int) -> Column:
-    """An integer in [0, below)."""
-    head = F.substring(digest(seed, label, id_column), 1, 8)
+    """An integer in [0, below), from 60 bits of the digest."""
+    if not 0 < below <= 16**DRAW_DIGITS:
+        raise ValueError(f"below must lie in 1..2^60, not {below}")
+    head = F.substring(digest(seed, label, id_column), 1, DRAW_DIGITS)
     return F.conv(head, 16, 10).cast("bigint") % F.lit(below)
 
 

@@ -30,6 +30,9 @@ MERCHANTS = ("Birch and Daughters", "Corner Goods", "Harbour Supply", "Tallow Lt
 
 DAY = 24 * 60 * 60
 
+# Rates are kept to twelve decimals.
+RATE_STEPS = 10**12
+
 
 def _sales_columns(seed: int, id_column: str, order_key: Column, users: int) -> dict:
     quantity = draw(seed, "quantity", id_column, 20) + 1
@@ -64,7 +67,7 @@ def sales(
     """Orders with 1-20 units at 1.00-500.00; ``null_rate`` of the ids missing."""
     columns = _sales_columns(seed, "id", F.col("id"), users)
     if null_rate:
-        missing = draw(seed, "missing", "id", 10_000) < int(null_rate * 10_000)
+        missing = draw(seed, "missing", "id", RATE_STEPS) < round(null_rate * RATE_STEPS)
         columns["order_id"] = F.when(~missing, columns["order_id"])
     return _select(ids, columns, schemas.SALES_COLUMNS)
 

@@ -1,6 +1,7 @@
 """The same results in DuckDB SQL, for checking."""
 
 from millrace.functions.routing import ROUTES
+from millrace.functions.synth import DRAW_DIGITS
 from millrace.operators import generate as g
 from millrace.plans.queries import SEED
 
@@ -120,7 +121,7 @@ def _digest(label: str, key: str, seed: int = SEED) -> str:
 
 
 def _draw(label: str, key: str, below, seed: int = SEED) -> str:
-    head = f"CAST('0x' || substr({_digest(label, key, seed)}, 1, 8) AS BIGINT)"
+    head = f"CAST('0x' || substr({_digest(label, key, seed)}, 1, {DRAW_DIGITS}) AS BIGINT)"
     return f"({head} % {below})"
 
 
@@ -144,7 +145,10 @@ def _moment(start: str, seconds: str) -> str:
     )
 
 
-def _generated_sales(seed: int, users: int = 1500) -> dict[str, str]:
+BUYERS = "(SELECT count(*) FROM customer)"
+
+
+def _generated_sales(seed: int, users: str = BUYERS) -> dict[str, str]:
     quantity = f"({_draw('quantity', 'id', 20, seed)} + 1)"
     cents = f"({_draw('unit_price', 'id', 49_901, seed)} + 100)"
     product = f"[{_draw('product', 'id', len(g.PRODUCTS), seed)} + 1]"
@@ -173,7 +177,7 @@ def _ids(name: str, key: str) -> str:
 
 def _g1() -> str:
     columns = _generated_sales(SEED)
-    missing = f"{_draw('missing', 'id', 10_000)} < 100"
+    missing = f"{_draw('missing', 'id', g.RATE_STEPS)} < {g.RATE_STEPS // 100}"
     columns["order_id"] = f"CASE WHEN NOT {missing} THEN {columns['order_id']} END"
     return _select(columns, _ids("orders", "o_orderkey"))
 
@@ -201,7 +205,7 @@ def _g3() -> str:
     return _select(
         {
             "txn_id": _uuid("transaction", "id"),
-            "user_id": _uuid("user", _draw("payer", "id", 1500)),
+            "user_id": _uuid("user", _draw("payer", "id", BUYERS)),
             "amount": f"CAST({_draw('amount', 'id', 199_501)} + 500 AS DOUBLE) / 100",
             "currency": _pick("currency", g.CURRENCIES),
             "status": f"CASE WHEN {tenth} < 7 THEN 'completed' "
@@ -331,6 +335,7 @@ FROM transactions t JOIN users u ON t.user_id = u.user_id
 JOIN lines ON txn_id = order_id""",
     "k4_catalog": CLEAN_SALES,
     "j1_simple_etl": CLEAN_SALES,
+    "j1_json": CLEAN_SALES,
     "g1_sales": _g1(),
     "g2_users": _g2(),
     "g3_transactions": _g3(),

@@ -1,11 +1,13 @@
 """Raw -> clean -> enriched -> daily, one written table per stage."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace import schemas
 from millrace.operators.clean import clean_sales
 from millrace.operators.marts import daily_region, duplicate_keys, enrich
-from millrace.sinks.partitioned import is_committed, read_committed, write_partitioned
+from millrace.sinks.partitioned import clear_marker, is_committed, read_committed, write_partitioned
 from millrace.sources.files import read_csv, read_users
 
 STAGES = ("raw", "clean", "enriched", "daily")
@@ -22,7 +24,9 @@ def run_pipeline(
 
     A stage reads only tables whose write finished, so a failed stage stops the
     run.  ``resume`` then goes on after the last finished stage instead of
-    starting over.
+    starting over.  A stage counts as finished if its table was made from the
+    inputs given now, which are noted beside it.  A fresh run first takes the marks
+    off all stages, so none of an older run can pass for one of its own.
     """
     paths = {stage: f"{work_path.rstrip('/')}/{stage}" for stage in STAGES}
     write = {
@@ -47,15 +51,48 @@ def run_pipeline(
             paths["daily"],
         ),
     }
+    both = json.dumps([sales_path, users_path])
+    inputs = {"raw": json.dumps([sales_path]), "clean": json.dumps([sales_path]), "enriched": both, "daily": both}
+    note = {stage: f"{work_path.rstrip('/')}/_{stage}_inputs" for stage in STAGES}
+    if not resume:
+        for stage in STAGES:
+            clear_marker(spark, paths[stage])
     fresh = False
     for stage in STAGES:
-        if resume and not fresh and is_committed(spark, paths[stage]):
+        if not fresh and is_committed(spark, paths[stage]) and _read_text(spark, note[stage]) == inputs[stage]:
             continue
+        if not fresh:
+            for later in STAGES[STAGES.index(stage) :]:
+                clear_marker(spark, paths[later])
         fresh = True
         write[stage]()
+        _write_text(spark, note[stage], inputs[stage])
     return paths
 
 
+def _file(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, place = _file(spark, path)
+    out = files.create(place, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    files, place = _file(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -1,5 +1,6 @@
 """One query per operator, each over whole tables of a star-schema folder."""
 
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -42,13 +43,16 @@ def s1_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s2_schema_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Old orders with the columns reversed, new ones without total_price."""
+    """Headers in another order, with blanks, in capitals, and without total_price."""
     raw = _raw(spark, sf_dir)
-    old = F.coalesce(F.col("order_timestamp") < "1998", F.lit(False))
+    day = F.coalesce(F.col("order_timestamp"), F.lit("~"))
+    old, mid = day < "1998", (day >= "1994") & (day < "1998")
     folder = scratch_dir(spark, "drifted")
     reversed_columns = [F.col(c) for c in reversed(schemas.SALES_COLUMNS)]
     for part in (
-        raw.filter(old).select(*reversed_columns),
+        raw.filter(day < "1994").select(*reversed_columns),
+        raw.filter(mid & (day < "1996")).toDF(*[f" {c}  " for c in schemas.SALES_COLUMNS]),
+        raw.filter(mid & (day >= "1996")).toDF(*[c.upper() for c in schemas.SALES_COLUMNS]),
         raw.filter(~old).drop("total_price"),
     ):
         part.write.mode("append").option("header", True).option("escape", '"').csv(
@@ -247,23 +251,36 @@ def k3_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k4_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = schemas.CLEAN_SALES
-    catalog.register_table(
-        spark,
-        "millrace_sales",
-        Landing.clean(spark, sf_dir),
-        schema,
-        partition_by=["region"],
-    )
-    return spark.sql("SELECT * FROM millrace_sales")
+    """Register part of the regions, append the others, refresh, read all."""
+    sales = clean.clean_sales(_raw(spark, sf_dir))
+    first = F.coalesce(F.col("region").isin("ASIA", "EUROPE"), F.lit(False))
+    path = scratch_dir(spark, "catalog")
+    name = f"millrace_sales_{path.rpartition('-')[2]}"
+    for part in (sales.filter(first), sales.filter(~first)):
+        partitioned.write_partitioned(part, path)
+        catalog.register_table(spark, name, path, schemas.CLEAN_SALES, ["region"])
+    return spark.table(name)
 
 
 # Jobs
 
 
 def j1_simple_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "simple-etl")
-    run_simple_etl(spark, Landing.sales(spark, sf_dir), path)
+    """From a landing folder with two drops of sales, and one of users."""
+    folder, path = scratch_dir(spark, "landing"), scratch_dir(spark, "simple-etl")
+    raw = _raw(spark, sf_dir)
+    old = F.coalesce(F.col("order_timestamp") < "1995", F.lit(False))
+    write_drop(raw.filter(old), "sales", folder, datetime(2024, 1, 15))
+    write_drop(raw.filter(~old), "sales", folder, datetime(2024, 1, 16))
+    write_drop(tables.users(spark, sf_dir), "users", folder, datetime(2024, 1, 16))
+    run_simple_etl(spark, folder, path)
+    return partitioned.read_committed(spark, path, schemas.CLEAN_SALES)
+
+
+def j1_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, path = scratch_dir(spark, "landing-json"), scratch_dir(spark, "simple-etl")
+    _raw(spark, sf_dir).write.json(f"{folder}/sales_1.json")
+    run_simple_etl(spark, folder, path, source_format="json")
     return partitioned.read_committed(spark, path, schemas.CLEAN_SALES)
 
 
@@ -274,7 +291,9 @@ def m1_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         Landing.users(spark, sf_dir),
         scratch_dir(spark, "pipeline"),
     )
-    return _plain_sum(partitioned.read_committed(spark, paths["daily"]))
+    return _plain_sum(
+        partitioned.read_committed(spark, paths["daily"], schemas.DAILY_REGION)
+    )
 
 
 def m2_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,16 +331,25 @@ def q1_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def c1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over a growing folder: orders before 1998, then the rest."""
+    """A first load and three runs over a growing folder, the last one of old files.
+
+    The first load is the sales job's.  The files of the third run have time stamps
+    from ten days before the others, as restored or copied files do.
+    """
     raw = _raw(spark, sf_dir)
-    old = F.coalesce(F.col("order_timestamp") < "1998", F.lit(False))
+    day = F.coalesce(F.col("order_timestamp"), F.lit(""))
+    parts = [raw.filter((day >= low) & (day < high)) for low, high in (("", "1994"), ("1994", "1996"), ("1996", "1998"), ("1998", "~"))]
     base = scratch_dir(spark, "incremental")
-    for part, day in ((raw.filter(old), 15), (raw.filter(~old), 16)):
-        write_drop(part, "sales", f"{base}/landing", datetime(2024, 1, day))
+    first = write_drop(parts[0], "sales", f"{base}/first", datetime(2024, 1, 14))
+    run_simple_etl(spark, first, f"{base}/clean", batch="first")
+    for number, part in enumerate(parts[1:], 1):
+        drop = write_drop(part, "sales", f"{base}/landing", datetime(2024, 1, 14 + number))
+        if number == 3:
+            files.set_modified(spark, drop, time.time() - 10 * 24 * 3600)
         ingest_new_files(
             spark, f"{base}/landing/sales_*.csv", f"{base}/clean", f"{base}/checkpoint"
         )
-    return spark.read.schema(schemas.CLEAN_SALES).parquet(f"{base}/clean")
+    return partitioned.read_committed(spark, f"{base}/clean", schemas.CLEAN_SALES)
 
 
 def c2_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,9 +402,13 @@ def _ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     return tables.table(spark, sf_dir, name).select(F.col(key).alias("id"))
 
 
+def _buyers(spark: SparkSession, sf_dir: str) -> int:
+    return tables.table(spark, sf_dir, "customer").count()
+
+
 def g1_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _ids(spark, sf_dir, "orders", "o_orderkey")
-    return generate.sales(ids, SEED, users=1500, null_rate=0.01)
+    return generate.sales(ids, SEED, users=_buyers(spark, sf_dir), null_rate=0.01)
 
 
 def g2_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -385,18 +417,19 @@ def g2_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def g3_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _ids(spark, sf_dir, "orders", "o_orderkey")
-    return generate.transactions(ids, SEED, users=1500)
+    return generate.transactions(ids, SEED, users=_buyers(spark, sf_dir))
 
 
 def g4_changes_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _ids(spark, sf_dir, "orders", "o_orderkey")
-    return generate.changes(ids, "full", SEED, users=1500)
+    return generate.changes(ids, "full", SEED, users=_buyers(spark, sf_dir))
 
 
 def g4_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _ids(spark, sf_dir, "events", "event_id")
     orders = tables.table(spark, sf_dir, "orders").count()
-    return generate.changes(ids, "incremental", SEED, users=1500, base_rows=orders)
+    buyers = _buyers(spark, sf_dir)
+    return generate.changes(ids, "incremental", SEED, users=buyers, base_rows=orders)
 
 
 QUERIES = {
@@ -427,6 +460,7 @@ QUERIES = {
         k3_formats,
         k4_catalog,
         j1_simple_etl,
+        j1_json,
         g1_sales,
         g2_users,
         g3_transactions,

@@ -70,3 +70,12 @@ CLEAN_SALES = T.StructType(
     ]
 )
 ENRICHED_SALES = T.StructType(CLEAN_SALES.fields + USERS.fields[1:])
+DAILY_REGION = T.StructType(
+    [
+        T.StructField("order_date", T.DateType()),
+        T.StructField("region", T.StringType()),
+        T.StructField("order_count", T.LongType()),
+        T.StructField("units", T.LongType()),
+        T.StructField("revenue", T.DecimalType(28, 4)),
+    ]
+)

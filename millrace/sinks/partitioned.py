@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 from millrace.operators.metrics import counted
 from millrace.operators.skew import DEFAULT_POLICY, SkewPolicy, add_salt, heavy_keys
 
+# Folder level that tells the runs that added to a table apart.
+BATCH = "batch_id"
+
 
 def write_partitioned(
     df: DataFrame,
@@ -38,11 +41,11 @@ def write_partitioned(
     writer = rows.write.partitionBy(*by)
     if mode == "overwrite":
         # A dynamic overwrite leaves no marker of its own.
-        _set_marker(df.sparkSession, path, False)
+        clear_marker(df.sparkSession, path)
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
             path
         )
-        _set_marker(df.sparkSession, path, True)
+        set_marker(df.sparkSession, path)
     elif mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             path
@@ -63,8 +66,11 @@ def _arrange(
     heavy = heavy_keys(df, by[0], policy)
     if not heavy:
         return df.repartition(*by)
-    salted = add_salt(df, by[0], heavy, "salt")
-    return salted.repartition(*by, "salt").drop("salt")
+    salt = "_salt"
+    while salt in df.columns:
+        salt = f"_{salt}"
+    salted = add_salt(df, by[0], heavy, salt)
+    return salted.repartition(*by, salt).drop(salt)
 
 
 def _marker(spark: SparkSession, path: str):
@@ -74,12 +80,14 @@ def _marker(spark: SparkSession, path: str):
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), marker
 
 
-def _set_marker(spark: SparkSession, path: str, present: bool) -> None:
+def set_marker(spark: SparkSession, path: str) -> None:
     files, marker = _marker(spark, path)
-    if present:
-        files.create(marker, True).close()
-    else:
-        files.delete(marker, False)
+    files.create(marker, True).close()
+
+
+def clear_marker(spark: SparkSession, path: str) -> None:
+    files, marker = _marker(spark, path)
+    files.delete(marker, False)
 
 
 def is_committed(spark: SparkSession, path: str) -> bool:
@@ -95,8 +103,20 @@ def is_committed(spark: SparkSession, path: str) -> bool:
 def read_committed(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Read Parquet written by a finished job; filters on folders prune files."""
+    """Read Parquet written by a finished job; filters on folders prune files.
+
+    With a ``schema`` only its columns come back: folders may have more levels, as
+    those of ``ingest_new_files`` do.
+    """
     if not is_committed(spark, path):
         raise FileNotFoundError(f"no finished write at {path}")
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    found = spark.read.schema(schema).parquet(path)
+    return found if found.columns == schema.names else found.select(_in_order(found, schema))
+
+
+def _in_order(df: DataFrame, schema: T.StructType) -> list[str]:
+    """The columns of ``schema`` as ``df`` has them: partition columns come last."""
+    names = set(schema.names)
+    return [f"`{c}`" for c in df.columns if c in names]

@@ -1,12 +1,16 @@
 """Readers for the landing datasets.  No reader infers types from data."""
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace import schemas
 
+# File names of each format below a folder of drops, compressed or not.
+FILES = {"csv": "*.csv*", "json": "*.json*", "parquet": "*.parquet"}
+
 
 def read_csv(
     spark: SparkSession,
@@ -14,9 +18,11 @@ def read_csv(
     schema: T.StructType = schemas.RAW_SALES,
     multiline: bool = False,
     glob: str | None = None,
-    recursive: bool = False,
+    recursive: bool = True,
 ) -> DataFrame:
-    """All CSV files under ``path``, headers checked against ``schema``.
+    """All CSV files under ``path``, in its folders too, headers checked against ``schema``.
+
+    Raises ``FileNotFoundError`` if there is no file.
 
     Spark binds CSV columns by position.  A file with another header order would
     be read into the wrong columns, so this reader fails on it; ``read_drifted``
@@ -33,7 +39,25 @@ def read_csv(
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path)
+    return _found(reader.csv(path), path)
+
+
+def _found(df: DataFrame, path) -> DataFrame:
+    """``df``, a scan; raises if Spark has listed no file for it."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    if len(leaves.apply(0).relation().location().inputFiles()) == 0:
+        raise FileNotFoundError(f"no files to read under {path}")
+    return df
+
+
+def read_sales_json(
+    spark: SparkSession, path, glob: str | None = None, recursive: bool = True
+) -> DataFrame:
+    """Line-delimited JSON sales, every value as text like those from CSV."""
+    reader = spark.read.schema(schemas.RAW_SALES).option("recursiveFileLookup", recursive)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return _found(reader.json(path), path)
 
 
 def read_changes(spark: SparkSession, path, **options) -> DataFrame:
@@ -41,56 +65,94 @@ def read_changes(spark: SparkSession, path, **options) -> DataFrame:
 
 
 def read_users(spark: SparkSession, path) -> DataFrame:
-    """Line-delimited JSON users."""
-    return spark.read.schema(schemas.USERS).json(path)
+    """Line-delimited JSON users: a file, a drop, or the ``.json`` files of a folder of drops."""
+    reader = spark.read.schema(schemas.USERS).option("recursiveFileLookup", True)
+    if not is_file(spark, path):
+        reader = reader.option("pathGlobFilter", FILES["json"])
+    return _found(reader.json(path), path)
+
+
+def is_file(spark: SparkSession, path) -> bool:
+    """Whether ``path`` names one file and neither a folder nor several paths."""
+    if not isinstance(path, str):
+        return False
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(place) and files.getFileStatus(place).isFile()
 
 
 def read_transactions(spark: SparkSession, path) -> DataFrame:
     return spark.read.schema(schemas.TRANSACTIONS).parquet(path)
 
 
+def set_modified(spark: SparkSession, path: str, at: float) -> None:
+    """Set the time stamp of the files of one drop, in seconds since 1970."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.listStatus(place):
+        files.setTimes(found.getPath(), int(at * 1000), -1)
+
+
 def inline_table(spark: SparkSession, rows, schema=schemas.RAW_SALES) -> DataFrame:
     """A small table from rows at hand, with an explicit schema."""
     return spark.createDataFrame(rows, schema)
 
 
-def csv_headers(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, header)`` of each CSV file: its first line that is not blank.
-
-    One scan of the text finds the first line's digest per file.  A digest has a
-    fixed width, so this is a hash aggregation in the scan stage that sends one
-    row per file.  The text of each distinct header then comes from one of its
-    files.
+HEADER_BYTES = 8 << 10
+HEADER_READERS = 32
+
+
+def _header_of(spark: SparkSession, uri: str) -> str | None:
+    """The first line of a file that is not blank, from as many bytes as that takes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    try:
+        content = codec.createInputStream(stream) if codec else stream
+        head = b""
+        while True:
+            more = bytes(content.readNBytes(HEADER_BYTES))
+            head += more
+            lines = head.replace(b"\r\n", b"\n").replace(b"\r", b"\n").split(b"\n")
+            whole = lines if len(more) < HEADER_BYTES else lines[:-1]
+            for line in whole:
+                text = line.decode("utf-8", "replace").removeprefix("\ufeff")
+                if text.strip(" \t"):
+                    return text
+            if len(more) < HEADER_BYTES:
+                return None
+    finally:
+        stream.close()
+
+
+def csv_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``(path, header)`` of each CSV file under ``path``: its first line that is not blank.
+
+    Spark lists the files.  Some threads of the driver then read the first kilobytes
+    of each, since no scan of Spark's stops inside a file.  Files without any line
+    are left out.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    first_lines = (
-        lines.filter((F.col("start") == 0) & _not_blank())
-        .groupBy("path")
-        .agg(F.min_by(F.xxhash64("value"), "line").alias("digest"))
-        .persist()
-    )
-    texts = [
-        (row["digest"], _first_line(spark, _plain(row["path"])))
-        for row in first_lines.groupBy("digest").agg(F.min("path").alias("path")).collect()
-    ]
-    headers = spark.createDataFrame(texts, "digest long, header string")
-    return first_lines.join(F.broadcast(headers), "digest").select("path", "header")
+    reader = spark.read.option("recursiveFileLookup", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    uris = _found(reader.text(path), path).inputFiles()
+    with ThreadPoolExecutor(HEADER_READERS) as threads:
+        headers = list(threads.map(lambda uri: _header_of(spark, uri), uris))
+    rows = [(uri, header) for uri, header in zip(uris, headers, strict=True) if header is not None]
+    return spark.createDataFrame(rows, "path string, header string")
 
 
-def _not_blank():
-    return F.btrim("value", F.lit(" \t")) != ""
+def column_names(header: str) -> list[str]:
+    """Column names of a header line, without outer blanks and in lower case."""
+    return [name.strip().lower() for name in next(csv.reader([header]), [])]
 
 
-def _first_line(spark: SparkSession, file: str) -> str:
-    lines = spark.read.text(file).filter(
-        (F.col("_metadata.file_block_start") == 0) & _not_blank()
-    )
-    return lines.first()["value"]
+def unrecognised(headers: DataFrame, required: str = "order_id") -> DataFrame:
+    """The files among ``headers`` whose header does not have the column ``required``."""
+    lines = [r["header"] for r in headers.select("header").distinct().collect()]
+    foreign = [line for line in lines if required not in column_names(line)]
+    return headers.filter(F.col("header").isin(foreign)) if foreign else headers.limit(0)
 
 
 def read_drifted(
@@ -98,34 +160,48 @@ def read_drifted(
     path: str,
     schema: T.StructType = schemas.RAW_SALES,
     headers: DataFrame | None = None,
+    required: str = "order_id",
+    set_aside: bool = False,
+    glob: str | None = None,
 ) -> DataFrame:
-    """CSV files whose headers differ in order or in the columns they have.
+    """CSV files whose headers differ in order, spelling or the columns they have.
+
+    Names match without regard to case and outer blanks; cells lose outer blanks
+    and are null if nothing is left.  Columns a file lacks are null, columns
+    ``schema`` lacks are dropped.  A file without ``required`` is an error, or with
+    ``set_aside`` left out; ``unrecognised`` lists such files.
 
-    One scan per distinct header, not per file.  Columns a file lacks are null,
-    columns ``schema`` lacks are dropped.  ``headers`` takes a stored result of
-    ``csv_headers`` and saves the pass over the text.  With several headers the
-    file paths go through the driver, which lists the files of any scan anyway.
+    There is one scan for each distinct header, not for each file.  ``headers``
+    takes a stored result of ``csv_headers``.  With several headers the paths go
+    through the driver, which holds the list of files of any scan anyway.
     """
     if headers is None:
-        headers = csv_headers(spark, path)
-    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
-    groups = {header: [path] for header in distinct}
-    if len(distinct) > 1:
-        groups = {header: [] for header in distinct}
-        for row in headers.collect():
-            groups[row["header"]].append(_plain(row["path"]))
+        headers = csv_headers(spark, path, glob)
+    found = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    foreign = [r for r in found if required not in column_names(r["header"])]
+    if foreign and not set_aside:
+        examples = sorted(min(r["paths"]) for r in foreign)[:5]
+        raise ValueError(f"files without a column {required!r}, such as {examples}")
 
     wanted = [f.name for f in schema.fields]
     table = spark.createDataFrame([], schema)
-    for header, files in groups.items():
-        columns = next(csv.reader([header]))
-        rows = read_csv(spark, files, schemas.text_schema(columns))
-        known = [c for c in columns if c in wanted]
-        missing = [F.lit(None).cast("string").alias(c) for c in wanted if c not in known]
-        table = table.unionByName(rows.select(*known, *missing))
-    return table.select(*wanted)
-
-
-def _plain(uri: str) -> str:
-    """A file URI as listed by Spark, as a path Spark can read."""
-    return unquote(uri)
+    for header, paths in found:
+        names = column_names(header)
+        if required not in names:
+            continue
+        places = [f"c{i}" for i in range(len(names))]
+        files = path if len(found) == 1 else [unquote(p) for p in paths]
+        # all of these files have this very header, so binding by position is right
+        reader = spark.read.schema(schemas.text_schema(places)).option("header", True)
+        reader = reader.option("escape", '"').option("recursiveFileLookup", True)
+        if glob and len(found) == 1:
+            reader = reader.option("pathGlobFilter", glob)
+        rows = reader.csv(files)
+        columns = []
+        for name in wanted:
+            cell = F.lit(None).cast("string")
+            if name in names:
+                cell = F.nullif(F.btrim(F.col(f"c{names.index(name)}")), F.lit(""))
+            columns.append(cell.alias(name))
+        table = table.unionByName(rows.select(*columns))
+    return table

@@ -10,12 +10,20 @@ def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, parts, length)`` of the entries at the top of ``folder``.
 
     An entry is a file, or a drop written by Spark: a folder of part files under
-    one name.  Contents are never read, as the content column is pruned.  Empty
-    files are not listed, and a missing folder lists as empty.
+    one name.  Contents are never read, as the content column is pruned.  Spark's
+    scans leave empty files out; those at the top come from the file system's own
+    listing of that one folder.  A missing folder lists as empty.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = path.getFileSystem(conf).makeQualified(path).toString()
+    system = path.getFileSystem(conf)
+    root = system.makeQualified(path).toString()
+    top = system.listStatus(path) if system.exists(path) else []
+    empty = [
+        (entry.getPath().getName(), 1, 0)
+        for entry in top
+        if entry.isFile() and entry.getLen() == 0 and not entry.getPath().getName().startswith(("_", "."))
+    ]
     try:
         files = (
             spark.read.format("binaryFile")
@@ -27,11 +35,14 @@ def list_landing(spark: SparkSession, folder: str) -> DataFrame:
             raise
         files = spark.createDataFrame([], "path string, length long")
     inside = F.substr("path", F.lit(len(root) + 2))
-    return (
+    listed = (
         files.select(F.substring_index(inside, "/", 1).alias("file_name"), "length")
         .groupBy("file_name")
         .agg(F.count(F.lit(1)).alias("parts"), F.sum("length").alias("length"))
     )
+    return listed.union(
+        spark.createDataFrame(empty, "file_name string, parts long, length long")
+    )
 
 
 def manifest(listing: DataFrame, target: str) -> DataFrame:

@@ -13,7 +13,7 @@ from millrace.operators import cdc
 from millrace.operators.metrics import observed
 from millrace.operators.skew import DEFAULT_POLICY, SkewPolicy
 from millrace.sinks.partitioned import write_partitioned
-from millrace.streaming.incremental import new_csv_files
+from millrace.streaming.incremental import new_files
 
 # Changes at one time are ordered by run, then file name, then place in the file.
 TIE = ("batch_id", "source_file", "source_start", "line")
@@ -43,7 +43,7 @@ def apply_new_changes(
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> None:
     """Read change files that arrived since the last run and update the history."""
-    changes = new_csv_files(
+    changes = new_files(
         spark, source_path, schemas.RAW_CHANGES, max_files
     ).select(
         "*",

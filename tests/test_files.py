@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 
 from millrace import schemas
@@ -91,7 +93,9 @@ def test_drifted_headers(spark, folder, rows):
         "empty__csv": "",
         "late__csv": "\n \t \nquantity,order_id\n9,6\n",
     })
-    df = files.read_drifted(spark, path)
+    with pytest.raises(ValueError, match="foreign.csv"):
+        files.read_drifted(spark, path)
+    df = files.read_drifted(spark, path, set_aside=True)
     assert df.columns == list(schemas.SALES_COLUMNS)
     assert rows(df, "order_id", "region", "category") == [
         ("1", "us-east", "Office"),
@@ -100,9 +104,52 @@ def test_drifted_headers(spark, folder, rows):
         ("4", None, None),
         ("5", None, None),
         ("6", None, None),
-        (None, None, None),
-        (None, None, None),
     ]
+    left = files.unrecognised(files.csv_headers(spark, path)).collect()
+    assert [(r["path"].rpartition("/")[2], r["header"]) for r in left] == [("foreign.csv", "x,y")]
+
+
+def test_headers_with_blanks_and_capitals(spark, folder, rows):
+    path = folder(**{
+        "a__csv": "order_id , product_name ,region\n1, Pen ,eu\n2,  ,\n",
+        "b__csv": 'ORDER_ID,Region,"PRODUCT_NAME"\n3,us,Cup\n',
+        "c__csv": "\ufeffRegion,order_id,ORDER_ID\r\nus,4,5\r\n",
+    })
+    df = files.read_drifted(spark, path)
+    assert rows(df, "order_id", "product_name", "region") == [
+        ("1", "Pen", "eu"), ("2", None, None), ("3", "Cup", "us"), ("4", None, "us"),
+    ]
+
+
+def test_no_file_is_an_error(spark, tmp_path):
+    (tmp_path / "empty" / "below").mkdir(parents=True)
+    (tmp_path / "empty" / "notes.txt").write_text("x")
+    for read in (files.read_csv, files.read_sales_json, files.read_drifted):
+        with pytest.raises(FileNotFoundError):
+            read(spark, str(tmp_path / "empty"), glob="*.csv")
+    with pytest.raises(FileNotFoundError):
+        files.read_users(spark, str(tmp_path / "empty"))
+
+
+def test_headers_of_odd_files(spark, folder):
+    """Longer than one read, after blank lines, compressed, without a line."""
+    body = "\n".join(line(str(i)) for i in range(60_000))
+    wide = HEADER + "," + ",".join(f"more{i}" for i in range(3000))
+    path = folder(a__csv=f"{HEADER}\n{body}\n", b__csv=f"\n\n{wide}\r\n{body}\n", c__csv="", d__csv=HEADER)
+    with gzip.open(f"{path}/e.csv.gz", "wt") as file:
+        file.write(f"{HEADER}\n{body}\n")
+    found = {r["path"].rpartition("/")[2]: r["header"] for r in files.csv_headers(spark, path).collect()}
+    assert found == {"a.csv": HEADER, "b.csv": wide, "d.csv": HEADER, "e.csv.gz": HEADER}
+
+
+def test_headers_take_few_bytes(spark, folder):
+    """Bytes that Spark's file system has read, against the size of the file."""
+    body = "\n".join(line(str(i)) for i in range(60_000))
+    path = folder(a__csv=f"{HEADER}\n{body}\n", b__csv=f"{HEADER},more\n{body}\n")
+    statistics = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    before = statistics.getLong("bytesRead")
+    assert files.csv_headers(spark, path).count() == 2
+    assert statistics.getLong("bytesRead") - before < len(body) / 10
 
 
 def test_drifted_reader_on_one_header_reads_the_folder(spark, folder, rows, plan):

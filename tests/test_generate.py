@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.functions.synth import draw
 from millrace.operators import generate
 
 N = 5000
@@ -112,3 +113,25 @@ def test_changes_incremental(spark, ids):
 def test_bad_arguments(ids, mode, base):
     with pytest.raises(ValueError):
         generate.changes(ids, mode, base_rows=base)
+
+
+def test_draws_above_32_bits(spark):
+    below = 10**11
+    low, high, n = spark.range(20_000).select(draw(1, "x", "id", below).alias("v")).agg(F.min("v"), F.max("v"), F.count_distinct("v")).first()
+    assert 0 <= low < below * 0.001 and below * 0.999 < high < below and n > 19_990
+    for wrong in (0, -1, 16**15 + 1):
+        with pytest.raises(ValueError):
+            draw(1, "x", "id", wrong)
+
+
+@pytest.mark.parametrize("rate", [0.00005, 0.57, 1.0])
+def test_null_rates_are_not_cut_off(spark, rate):
+    n = 200_000
+    found = generate.sales(spark.range(n), null_rate=rate).filter("order_id is null").count()
+    assert found == pytest.approx(n * rate, abs=4 * (n * rate * (1 - rate)) ** 0.5)
+    assert found > 0
+
+
+def test_more_users_than_the_default(spark):
+    buyers = generate.sales(spark.range(20_000), users=10**6).select("customer_id").distinct().count()
+    assert buyers > 19_000

@@ -39,7 +39,7 @@ def test_simple_etl(spark, landed, tmp_path, rows, exact):
     raw = read_csv(spark, landed["sales"])
     kept = raw.filter("order_id is not null").count()
     assert 0 < kept < N
-    assert result == {"rows_read": N, "rows_written": kept}
+    assert result == {"rows_read": N, "rows_read_exact": exact, "rows_written": kept}
     back = spark.read.schema(schemas.CLEAN_SALES).parquet(out)
     assert rows(back, *schemas.CLEAN_SALES.names) == rows(clean_sales(raw))
     assert sorted(d for d in os.listdir(out) if "=" in d) == sorted(
@@ -64,7 +64,7 @@ def test_simple_etl_with_nothing_to_keep(spark, tmp_path, layout, lines):
     (folder / "a.csv").write_text("\n".join([header, *[",p" + "," * 7] * lines]) + "\n")
     out = str(tmp_path / "out")
     result = simple_etl.run_simple_etl(spark, str(folder), out, layout=layout)
-    assert result == {"rows_read": lines, "rows_written": 0}
+    assert result == {"rows_read": lines, "rows_read_exact": False, "rows_written": 0}
     assert is_committed(spark, out)
 
 
@@ -75,7 +75,7 @@ def test_simple_etl_on_drifted_files(spark, tmp_path):
     (folder / "b.csv").write_text("order_id,quantity,unit_price\n2,3,1.5\n")
     out = str(tmp_path / "out")
     result = simple_etl.run_simple_etl(spark, str(folder), out, drifted=True)
-    assert result == {"rows_read": 2, "rows_written": 2}
+    assert result == {"rows_read": 2, "rows_read_exact": False, "rows_written": 2}
     revenue = {r["order_id"]: r["revenue"] for r in spark.read.parquet(out).collect()}
     assert revenue == {"1": None, "2": 4.5}
 
@@ -181,6 +181,63 @@ def test_resume_rebuilds_everything_after_the_gap(spark, landed, tmp_path):
     assert os.path.getmtime(f"{work}/daily/_SUCCESS") > stamp
 
 
+def test_resume_does_not_pass_off_an_older_run(spark, landed, tmp_path):
+    """A failed fresh run leaves no stage of the run before it marked."""
+    work = str(tmp_path / "w")
+    run_pipeline(spark, landed["sales"], landed["users"], work)
+    missing = str(tmp_path / "missing")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_pipeline(spark, missing, landed["users"], work)
+    assert not any(is_committed(spark, f"{work}/{s}") for s in STAGES)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run_pipeline(spark, missing, landed["users"], work, resume=True)
+
+
+def test_resume_with_other_inputs_runs_again(spark, landed, tmp_path):
+    work = str(tmp_path / "w")
+    run_pipeline(spark, landed["sales"], landed["users"], work)
+    stamps = {s: os.path.getmtime(f"{work}/{s}/_SUCCESS") for s in STAGES}
+    more = write_drop(generate.users(spark.range(60)), "users", str(tmp_path), AT)
+    run_pipeline(spark, landed["sales"], more, work, resume=True)
+    after = {s: os.path.getmtime(f"{work}/{s}/_SUCCESS") for s in STAGES}
+    assert [s for s in STAGES if after[s] != stamps[s]] == ["enriched", "daily"]
+
+
+def test_simple_etl_on_a_landing_folder(spark, tmp_path, capsys):
+    """What ``generate`` writes, ``simple-etl`` reads: all drops, and only the sales."""
+    landing, out = tmp_path / "landing", str(tmp_path / "out")
+    for rows in (100, 50):
+        command(capsys, "generate", "sales", "--output-dir", landing / f"day{rows}", "--rows", rows, "--users", 9)
+    command(capsys, "generate", "users", "--output-dir", landing, "--rows", 5)
+    done = command(capsys, "simple-etl", "--source-path", landing, "--output-path", out, "--table", "landed_sales")
+    assert (done["rows_read"], done["rows_written"]) == (150, 150)
+    assert spark.table("landed_sales").count() == 150
+    command(capsys, "simple-etl", "--source-path", landing / "day50", "--output-path", out, "--table", "landed_sales")
+    assert spark.table("landed_sales").count() == 200
+    spark.sql("DROP TABLE landed_sales")
+
+
+def test_a_source_without_files_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for options in ({}, {"drifted": True}, {"source_format": "json"}):
+        with pytest.raises(FileNotFoundError):
+            simple_etl.run_simple_etl(spark, str(tmp_path / "in"), str(tmp_path / "out"), **options)
+
+
+def test_json_sales(spark, landed, tmp_path, rows):
+    raw = read_csv(spark, landed["sales"])
+    raw.write.json(str(tmp_path / "in" / "sales_1.json"))
+    (tmp_path / "in" / "sales_2.json").write_text('{"order_id": 7, "quantity": 2, "unit_price": 1.5, "other": [1]}\n')
+    out = str(tmp_path / "out")
+    result = simple_etl.run_simple_etl(spark, str(tmp_path / "in"), out, source_format="json")
+    assert result["rows_read"] == N + 1
+    back = spark.read.schema(schemas.CLEAN_SALES).parquet(out)
+    one = clean_sales(raw.limit(0).unionByName(raw.limit(1).selectExpr(
+        "'7' order_id", "cast(null as string) product_name", "cast(null as string) category", "'2' quantity", "'1.5' unit_price",
+        "cast(null as string) total_price", "cast(null as string) customer_id", "cast(null as string) order_timestamp", "cast(null as string) region")))
+    assert rows(back, *schemas.CLEAN_SALES.names) == rows(clean_sales(raw).unionByName(one))
+
+
 def test_users_must_be_unique(spark, landed, tmp_path):
     twice = generate.users(spark.range(50))
     users = write_drop(twice.union(twice.limit(1)), "users", str(tmp_path), AT)

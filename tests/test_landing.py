@@ -65,6 +65,15 @@ def test_manifest_of_files_and_drops(spark, tmp_path, plan):
     assert "content" not in plan(listing).split("ReadSchema")[1].splitlines()[0]
 
 
+def test_empty_files_are_listed(spark, tmp_path):
+    for name, text in (("sales_1.csv", "x"), ("sales_2.csv", ""), ("users_1.json", ""), ("_SUCCESS", ""), (".hidden", "")):
+        (tmp_path / name).write_text(text)
+    found = manifest(list_landing(spark, str(tmp_path)), "/t").collect()
+    assert [(r["file_name"], r["parts"], r["length"]) for r in found] == [
+        ("sales_1.csv", 1, 1), ("sales_2.csv", 1, 0), ("users_1.json", 1, 0),
+    ]
+
+
 @pytest.mark.parametrize("target", ["/out", "/out/"])
 def test_missing_folder_is_empty(spark, tmp_path, target):
     assert manifest(list_landing(spark, str(tmp_path / "nowhere")), target).count() == 0

@@ -1,3 +1,5 @@
+import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Observation, functions as F
 
 from millrace import schemas
@@ -45,3 +47,13 @@ def test_filled(spark):
     counts = {r["column"]: r["filled"] for r in metrics.filled(raw(spark)).collect()}
     assert counts["order_id"] == 3
     assert counts["region"] == 5
+
+
+def test_a_failing_observation_is_raised(spark):
+    class Broken:
+        @property
+        def get(self):
+            return spark.sparkContext._jvm.java.util.ArrayList().get(3)
+
+    with pytest.raises(Py4JJavaError):
+        metrics.observed(Broken())

@@ -188,3 +188,40 @@ def test_sql_over_frames(spark):
         {"s": sales(spark, ["a", "b", "a"])},
     )
     assert {r["region"]: r["n"] for r in out.collect()} == {"a": 2, "b": 1}
+
+
+def test_registering_leaves_other_tables_alone(spark, tmp_path):
+    path = str(tmp_path / "it's here")
+    write_partitioned(sales(spark, ["a"]), path)
+    sales(spark, ["x", "y"]).write.saveAsTable("mine")
+    with pytest.raises(ValueError, match="mine"):
+        catalog.register_table(spark, "mine", path, schemas.CLEAN_SALES, ["region"])
+    assert spark.table("mine").count() == 2
+    spark.sql("DROP TABLE mine")
+    catalog.register_table(spark, "there", path, schemas.CLEAN_SALES, ["region"])
+    with pytest.raises(ValueError, match="there"):
+        catalog.register_table(spark, "there", str(tmp_path / "other"), schemas.CLEAN_SALES, ["region"])
+    assert spark.table("there").count() == 1
+    spark.sql("DROP TABLE there")
+
+
+def test_sql_replaces_no_view(spark):
+    spark.range(7).createOrReplaceTempView("s")
+    views = len(spark.catalog.listTables())
+    frames = {"s": sales(spark, ["a", "b"])}
+    assert catalog.query(spark, "SELECT count(*) AS n FROM s", frames).first()["n"] == 2
+    assert catalog.query(spark, "WITH t AS (SELECT * FROM s) SELECT count(*) AS n FROM t", frames).first()["n"] == 2
+    assert spark.table("s").count() == 7
+    assert len(spark.catalog.listTables()) == views
+    spark.catalog.dropTempView("s")
+
+
+def test_a_column_named_salt_stays(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    df = other.range(500).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as region", "id as salt", "id as _salt")
+    path = str(tmp_path / "out")
+    write_partitioned(df, path, policy=SkewPolicy(min_bytes=0, min_hits=10, cell_rows=10))
+    found = spark.read.parquet(path)
+    assert sorted(r["salt"] for r in found.collect()) == list(range(500))
+    assert sorted(found.columns) == ["_salt", "region", "salt"]

@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import datetime
 
 import pytest
@@ -6,7 +8,9 @@ from millrace import schemas
 from millrace.operators import cdc, generate
 from millrace.operators.clean import clean_sales
 from millrace.operators.skew import SkewPolicy
+from millrace.plans.simple_etl import run_simple_etl
 from millrace.sinks.formats import write_drop
+from millrace.sinks.partitioned import read_committed
 from millrace.sources.files import read_changes, read_csv
 from millrace.streaming.changes import HistoryTables, apply_new_changes, rebuild_buckets
 from millrace.streaming.incremental import ingest_new_files
@@ -47,6 +51,55 @@ def test_a_rewritten_file_is_not_read_again(spark, tmp_path):
     assert [r["order_id"] for r in spark.read.parquet(out).collect()] == ["1"]
 
 
+def sales_file(folder, name, order, age_days=0):
+    folder.mkdir(exist_ok=True)
+    file = folder / name
+    file.write_text(",".join(schemas.SALES_COLUMNS) + f"\n{order},p,c,1,1,1,u,t,r\n")
+    at = time.time() - age_days * 86400
+    os.utime(file, (at, at))
+
+
+def test_old_files_are_not_skipped(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    for run, age in enumerate((0, 10, 400)):
+        sales_file(tmp_path / "in", f"sales_{run}.csv", run, age)
+        ingest_new_files(spark, str(tmp_path / "in"), out, checkpoint)
+        assert read_committed(spark, out, schemas.CLEAN_SALES).count() == run + 1
+
+
+def test_rows_of_the_sales_job_stay_visible(spark, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "check")
+    sales_file(tmp_path / "first", "sales_0.csv", "a")
+    run_simple_etl(spark, str(tmp_path / "first"), out, batch="first")
+    sales_file(tmp_path / "in", "sales_1.csv", "b")
+    ingest_new_files(spark, str(tmp_path / "in"), out, checkpoint)
+    sales_file(tmp_path / "more", "sales_2.csv", "c")
+    ingest_new_files(spark, str(tmp_path / "more"), out, str(tmp_path / "other-check"))
+    found = read_committed(spark, out, schemas.CLEAN_SALES)
+    assert sorted(r["order_id"] for r in found.collect()) == ["a", "b", "c"]
+    assert set(found.columns) == set(schemas.CLEAN_SALES.names)
+
+
+@pytest.mark.parametrize("by", [["region"], []])
+def test_another_layout_is_refused(spark, tmp_path, by):
+    out = str(tmp_path / "out")
+    sales_file(tmp_path / "in", "sales_0.csv", "a")
+    clean_sales(read_csv(spark, str(tmp_path / "in"))).write.partitionBy(*by).parquet(out)
+    with pytest.raises(ValueError, match="batch_id|partitioned"):
+        ingest_new_files(spark, str(tmp_path / "in"), out, str(tmp_path / "check"))
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_json_files_and_an_archive(spark, tmp_path):
+    out, checkpoint, done = (str(tmp_path / n) for n in ("out", "check", "done"))
+    (tmp_path / "in").mkdir()
+    for run in range(3):
+        (tmp_path / "in" / f"sales_{run}.json").write_text(f'{{"order_id": {run}, "region": "r"}}\n')
+        ingest_new_files(spark, str(tmp_path / "in"), out, checkpoint, source_format="json", archive_path=done)
+    found = read_committed(spark, out, schemas.CLEAN_SALES)
+    assert sorted(r["order_id"] for r in found.collect()) == ["0", "1", "2"]
+
+
 @pytest.fixture
 def tables(tmp_path):
     return HistoryTables(
