@@ -78,13 +78,14 @@ def scd2_history(
     last by tie counts.  ``collapse_unchanged`` joins a version to an equal one
     that it directly follows.
 
-    A key with a large share of the log is cut along time and each part windowed
-    on its own.  Where ``changes`` is derived, ``probe`` names a log to look for
-    such keys in.
+    A change without a time has no place in a history and is left out; null is a
+    key like any other.  A key with a large share of the log is cut along time and
+    each part windowed on its own.  Where ``changes`` is derived, ``probe`` names a
+    log to look for such keys in.
     """
     attributes = _attributes(changes, key, tie)
     order = ["valid_from", *tie]
-    log = changes.withColumnRenamed("updated_at", "valid_from")
+    log = changes.withColumnRenamed("updated_at", "valid_from").filter("valid_from is not null")
 
     slices = skew.heavy_slices(
         changes if probe is None else probe, key, "updated_at", policy
@@ -93,10 +94,11 @@ def scd2_history(
         if slices.instants is not None:
             log = _last_at_heavy_instants(log, key, tie, slices.instants)
         log = skew.add_slice(log, key, "valid_from", slices.cuts)
+    log, keys = skew.join_columns(log, key, bool(slices and slices.null_key))
 
     def with_next_time(df, name):
         first = F.min("valid_from")
-        return skew.beside(df, 1, F.col("valid_from"), first, key, order, name)
+        return skew.beside(df, 1, F.col("valid_from"), first, keys, order, name)
 
     if collapse_unchanged:
         log = with_next_time(log, "_next_time").filter(
@@ -104,7 +106,7 @@ def scd2_history(
         )
         state = F.struct("operation", *attributes)
         last = F.max_by(state, F.struct(*order))
-        log = skew.beside(log, -1, state, last, key, order, "_before")
+        log = skew.beside(log, -1, state, last, keys, order, "_before")
         repeats = F.col("_before").isNotNull() & F.expr(
             "'DELETE' not in (operation, _before.operation)"
         )
@@ -135,9 +137,10 @@ def _last_at_heavy_instants(
     its shuffle and leaves one row per instant, so the pile never meets in one
     task.
     """
-    at = (F.col(key) == F.col("_heavy_key")) & (
+    at = F.col(key).eqNullSafe(F.col("_heavy_key")) & (
         F.unix_micros("valid_from") == F.col("_micros")
     )
+    # one row for each instant, of the tie columns alone
     last = (
         log.join(F.broadcast(instants), at)
         .groupBy("_heavy_key", "_micros")
@@ -165,11 +168,11 @@ def scd2_incremental(
     """
     touched = batch.select(F.col(key).alias("touched_key")).distinct()
     rebuilt = scd2_history(
-        skew.skew_join(log, touched, key, "touched_key", "left_semi", policy),
+        log.join(touched, F.col(key).eqNullSafe(F.col("touched_key")), "left_semi"),
         key,
         tie,
         policy=policy,
         probe=log,
     )
-    kept = skew.skew_join(history, touched, key, "touched_key", "left_anti", policy)
+    kept = history.join(touched, F.col(key).eqNullSafe(F.col("touched_key")), "left_anti")
     return rebuilt.unionByName(kept)

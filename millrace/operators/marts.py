@@ -2,8 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.skew import DEFAULT_POLICY, SkewPolicy, skew_join
-
 
 def daily_region(sales: DataFrame) -> DataFrame:
     """Orders, units and revenue per day and region.
@@ -24,14 +22,11 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def enrich(
-    sales: DataFrame, users: DataFrame, policy: SkewPolicy = DEFAULT_POLICY
-) -> DataFrame:
+def enrich(sales: DataFrame, users: DataFrame) -> DataFrame:
     """Add the buyer's attributes; every sale is kept.
 
     ``users`` must be unique on ``user_id`` (see ``duplicate_keys``), else sales
-    would be multiplied.
+    would be multiplied.  A buyer with very many sales, and sales without a buyer,
+    are split by adaptive execution's skew join.
     """
-    return skew_join(sales, users, "customer_id", "user_id", "left", policy).drop(
-        "user_id"
-    )
+    return sales.join(users, F.col("customer_id") == F.col("user_id"), "left").drop("user_id")

@@ -1,9 +1,10 @@
 """Keeping one hot key from becoming one slow task.
 
-Hash partitioning sends all rows of a key to one task.  Where a key may hold a
-large share of a table, a bounded sample of the key column finds the heavy keys
-first; only those are then split, by a salt for joins and by slices of the
-ordering column for windows.  The sample steers the plan, never the result:
+Hash partitioning sends all rows of a key to one task.  For joins adaptive
+execution splits such a partition by itself.  For windows it cannot, so where a
+key may hold a large share of a table, a bounded sample of the key column finds
+the heavy keys, and those are cut along the ordering column.  For writing without
+adaptive execution they get a salt.  The sample steers the plan, never the result:
 every row is still processed, and a heavy key the sample misses is merely slow.
 
 Small inputs skip the sample, so they get Catalyst's ordinary plan.
@@ -20,26 +21,24 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 class SkewPolicy:
     """When to look for heavy keys, and how finely to split them.
 
-    The sample is thinned so that ``cell_rows`` rows of a key give ``min_hits``
-    hits, and further if that were more than ``sample_rows`` rows in all.  A key
-    with more hits than that is heavy and is split into cells of so many hits.
-    So there are at most ``sample_rows / min_hits`` heavy keys and as many
-    cells, which bounds everything collected or broadcast here.
+    The sample is thinned so that a cell of ``cell_rows`` rows of a key gives
+    ``min_hits`` hits.  A key with more hits than that is heavy and is split into
+    cells of so many hits.  On inputs that could hold more than ``most_cells`` such
+    cells, at ``row_bytes`` a row at least, cells are larger: that bounds
+    everything collected or broadcast here.
     """
 
     min_bytes: int = 256 << 20
-    sample_rows: int = 4_000_000
     min_hits: int = 100
     cell_rows: int = 1_000_000
-    broadcast_bytes: int = 10 << 20
+    most_cells: int = 40_000
+    row_bytes: int = 16
 
 
 DEFAULT_POLICY = SkewPolicy()
 
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a result; joins multiply it up."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+# Catalyst's estimate for an input it knows nothing of is near the largest long.
+UNKNOWN_BYTES = 1 << 60
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -51,16 +50,17 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def _sample(df: DataFrame, policy: SkewPolicy) -> DataFrame | None:
-    """A sample to find heavy keys in, or None if all of ``df`` fits one task.
+    """A sample to find heavy keys in, or None if ``df`` is small.
 
-    Counting a Parquet scan reads file footers only.
+    Runs nothing, but for inputs that Spark does not know the size of, such as
+    tables from RDDs: those it counts.
     """
-    if input_bytes(df) < policy.min_bytes:
-        return None
-    rows = df.count()
-    if rows <= policy.cell_rows:
+    size = input_bytes(df)
+    if size < policy.min_bytes:
         return None
-    fraction = min(policy.min_hits / policy.cell_rows, policy.sample_rows / rows)
+    most_rows = size // policy.row_bytes if size < UNKNOWN_BYTES else df.count()
+    cell = max(policy.cell_rows, most_rows // policy.most_cells)
+    fraction = policy.min_hits / cell
     return df.sample(fraction, seed=11) if fraction < 1 else df
 
 
@@ -112,52 +112,6 @@ def add_salt(df: DataFrame, key: str, heavy, name: str) -> DataFrame:
     )
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    policy: SkewPolicy = DEFAULT_POLICY,
-    probe: DataFrame | None = None,
-) -> DataFrame:
-    """Equi join of a table that may be skewed with one unique on its key.
-
-    ``how`` is inner, left, left_semi or left_anti.  Heavy keys of ``left`` get
-    a salt and their rows in ``right`` one copy per salt value.  A small
-    ``right`` needs none of that: Catalyst broadcasts it after its size check.
-    Where ``left`` is itself a join, ``probe`` names the table its key comes
-    from, so that looking for heavy keys does not run that join.
-    """
-    on = left[left_key] == right[right_key]
-    heavy = []
-    if plan_bytes(right) > policy.broadcast_bytes:
-        heavy = heavy_keys(left if probe is None else probe, left_key, policy)
-    if not heavy:
-        return left.join(right, on, how)
-
-    salted = add_salt(left, left_key, heavy, "_salt_left")
-    copies = (
-        right.join(
-            _cells_table(right, right_key, heavy),
-            F.col(right_key) == F.col("_heavy_key"),
-            "left",
-        )
-        .withColumn(
-            "_salt_right",
-            F.explode(F.sequence(F.lit(0), F.coalesce("_cells", F.lit(1)) - 1)),
-        )
-        .drop("_heavy_key", "_cells")
-    )
-    joined = salted.join(
-        copies,
-        (salted[left_key] == copies[right_key])
-        & (salted["_salt_left"] == copies["_salt_right"]),
-        how,
-    )
-    return joined.drop("_salt_left", "_salt_right")
-
-
 @dataclass(frozen=True)
 class Slices:
     """Heavy keys cut along the order column; all of it bounded by the policy.
@@ -168,12 +122,17 @@ class Slices:
 
     cuts: DataFrame
     instants: DataFrame | None
+    null_key: bool = False
 
 
 def heavy_slices(
     df: DataFrame, key: str, ts: str, policy: SkewPolicy = DEFAULT_POLICY
 ) -> Slices | None:
-    """Cut points at every full cell of each heavy key, from one sample."""
+    """Cut points at every full cell of each heavy key, null included, from one sample.
+
+    This is the one job that runs while a plan is built.  Ranking the sample by key
+    is one task for each key, of ``most_cells * min_hits`` rows at most.
+    """
     sample = _sample(
         df.select(F.col(key).alias("key"), F.unix_micros(ts).alias("_micros")), policy
     )
@@ -181,7 +140,8 @@ def heavy_slices(
         return None
     by_key = Window.partitionBy("key").orderBy("_micros")
     cuts = (
-        sample.withColumn("position", F.row_number().over(by_key))
+        sample.filter("_micros is not null")
+        .withColumn("position", F.row_number().over(by_key))
         .filter(F.col("position") % policy.min_hits == 0)
         .select("key", "_micros")
         .collect()
@@ -214,6 +174,7 @@ def heavy_slices(
     return Slices(
         spark.createDataFrame(rows, cut_schema),
         spark.createDataFrame(instants, instant_schema) if instants else None,
+        None in points,
     )
 
 
@@ -233,21 +194,34 @@ def add_slice(df: DataFrame, key: str, ts: str, cuts: DataFrame) -> DataFrame:
     )
     number = block.cast("long") * F.lit(1 << 20) + inside + 1
     return (
-        df.join(F.broadcast(cuts), F.col(key) == F.col("_heavy_key"), "left")
+        df.join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("_heavy_key")), "left")
         .withColumn(
             "_slice",
-            F.when(F.col("_heavy_key").isNotNull(), number).otherwise(F.lit(0)),
+            F.when(F.col("_starts").isNotNull(), number).otherwise(F.lit(0)),
         )
         .drop("_heavy_key", "_starts", "_blocks")
     )
 
 
+def join_columns(df: DataFrame, key: str, null_key: bool) -> tuple[DataFrame, list[str]]:
+    """``df`` and columns that group like ``key`` and match in a plain join.
+
+    Where null is a heavy key, two helper columns stand for it, so that windows and
+    joins agree on one partitioning.
+    """
+    if not null_key:
+        return df, [key]
+    filler = F.lit("0").try_cast(df.schema[key].dataType)
+    helpers = {"_key": F.coalesce(F.col(key), filler), "_key_is_null": F.col(key).isNull()}
+    return df.withColumns(helpers), list(helpers)
+
+
 def beside(
     df: DataFrame,
     step: int,
     value: Column,
     edge: Column,
-    key: str,
+    keys: list[str],
     order: list[str],
     name: str,
 ) -> DataFrame:
@@ -256,26 +230,27 @@ def beside(
     ``value`` must not be null.  If ``df`` has a ``_slice`` column, the window runs
     inside each slice, and the rows at its end look up the neighbouring slice in a
     table with one row per slice.  ``edge`` aggregates a slice to the value of the
-    row its neighbour sees: the first row for 1, the last for -1.
+    row its neighbour sees: the first row for 1, the last for -1.  That table has no
+    hint: its rows may be wide, and ``df`` is partitioned for the join already.
     """
     shift = F.lead if step > 0 else F.lag
     sliced = "_slice" in df.columns
-    groups = [key, "_slice"] if sliced else [key]
+    groups = [*keys, "_slice"] if sliced else keys
     within = Window.partitionBy(*groups).orderBy(*order)
     out = df.withColumn(name, shift(value).over(within))
     if not sliced:
         return out
 
-    along = Window.partitionBy(key).orderBy("_slice")
+    along = Window.partitionBy(*keys).orderBy("_slice")
     edges = (
         df.filter("_slice > 0")
-        .groupBy(key, "_slice")
+        .groupBy(*groups)
         .agg(edge.alias("_edge"))
         .withColumn("_edge", shift("_edge").over(along))
         .filter("_edge is not null")
     )
     return (
-        out.join(F.broadcast(edges), [key, "_slice"], "left")
+        out.join(edges, groups, "left")
         .withColumn(name, F.coalesce(name, "_edge"))
         .drop("_edge")
     )

@@ -10,7 +10,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace import schemas
-from millrace.operators.skew import skew_join
 from millrace.session import scratch_dir
 from millrace.sinks.formats import write_drop
 
@@ -45,13 +44,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
         .select("c_custkey", "c_acctbal", "r_name")
     )
-    orders = skew_join(
-        table(spark, sf_dir, "orders"), buyers, "o_custkey", "c_custkey"
-    )
+    orders = table(spark, sf_dir, "orders").join(buyers, F.expr("o_custkey = c_custkey"))
     items = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
-    lines = skew_join(items, orders, "l_orderkey", "o_orderkey")
-    lines = skew_join(lines, parts, "l_partkey", "p_partkey", probe=items)
+    lines = items.join(orders, F.expr("l_orderkey = o_orderkey"))
+    lines = lines.join(parts, F.expr("l_partkey = p_partkey"))
 
     units = F.col("l_quantity").cast("int").cast("string")
     columns = {

@@ -15,13 +15,13 @@ T0 = datetime.datetime(2024, 1, 1)
 SCHEMA = "order_id string, operation string, updated_at timestamp, change_id long, v string"
 
 # Treats a key with more than a few changes as heavy.
-EAGER = SkewPolicy(min_bytes=0, min_hits=5, cell_rows=5, broadcast_bytes=-1)
+EAGER = SkewPolicy(min_bytes=0, min_hits=5, cell_rows=5)
 
 
 def log_of(spark, changes):
     """Changes are (key, operation, minute, value); their order breaks ties."""
     data = [
-        (k, op, T0 + datetime.timedelta(minutes=m), i, v)
+        (k, op, None if m is None else T0 + datetime.timedelta(minutes=m), i, v)
         for i, (k, op, m, v) in enumerate(changes)
     ]
     return spark.createDataFrame(data, SCHEMA)
@@ -30,7 +30,8 @@ def log_of(spark, changes):
 def replay(changes, collapse=False):
     """Versions as (key, value, from, to), by walking the log."""
     out = []
-    ordered = sorted(enumerate(changes), key=lambda c: (c[1][0], c[1][2], c[0]))
+    timed = [c for c in enumerate(changes) if c[1][2] is not None]
+    ordered = sorted(timed, key=lambda c: (c[1][0] or "", c[1][2], c[0]))
     for key, group in groupby(ordered, key=lambda c: c[1][0]):
         last = {}
         for _, (_, op, minute, value) in group:
@@ -94,9 +95,9 @@ def test_reinsert_leaves_a_gap(spark):
 
 
 CHANGE = st.tuples(
-    st.sampled_from("aab"),
+    st.sampled_from(["a", "a", "b", None]),
     st.sampled_from(["INSERT", "UPDATE", "UPDATE", "DELETE"]),
-    st.integers(0, 40),
+    st.one_of(st.integers(0, 40), st.integers(0, 40), st.none()),
     st.sampled_from(["x", "y", None]),
 )
 
@@ -113,37 +114,53 @@ def test_any_log(spark, changes, cut):
     expected = replay(changes)
     assert versions(history) == expected
 
-    state = sorted((r["order_id"], str(r["v"])) for r in cdc.current_state(log).collect())
-    assert state == sorted((k, str(v)) for k, v, _, to in expected if to is None)
+    assert versions(cdc.scd2_history(log, policy=EAGER)) == expected
+
+    timed = log.filter("updated_at is not null")
+    state = sorted((str(r["order_id"]), str(r["v"])) for r in cdc.current_state(timed).collect())
+    assert state == sorted((str(k), str(v)) for k, v, _, to in expected if to is None)
 
     before = cdc.scd2_history(log.filter(F.col("change_id") < cut))
     batch = log.filter(F.col("change_id") >= cut)
     assert versions(cdc.scd2_incremental(before, log, batch)) == expected
 
 
-def skewed_changes(seed, n=400):
-    """A third of the changes on one key, and a pile of them at one instant."""
+def skewed_changes(seed, n=400, hot_key="hot"):
+    """A third of the changes on one key, a pile of them at one instant, some without a time."""
     rng = random.Random(seed)
     out = []
     for _ in range(n):
         hot = rng.random() < 0.4
-        key = "hot" if hot else f"k{rng.randrange(60)}"
+        key = hot_key if hot else f"k{rng.randrange(60)}"
         minute = 77 if hot and rng.random() < 0.3 else rng.randrange(150)
+        if rng.random() < 0.1:
+            minute = None
         op = rng.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"])
         out.append((key, op, minute, rng.choice(["x", "y"])))
     return out
 
 
 @pytest.mark.parametrize("collapse", [False, True])
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_sliced_history_is_the_same(spark, seed, collapse):
-    changes = skewed_changes(seed)
+@pytest.mark.parametrize("seed, hot_key", [(1, "hot"), (2, "hot"), (3, None), (4, None)])
+def test_sliced_history_is_the_same(spark, seed, hot_key, collapse):
+    changes = skewed_changes(seed, hot_key=hot_key)
     log = log_of(spark, changes).repartition(3)
     slices = skew.heavy_slices(log, "order_id", "updated_at", EAGER)
     assert slices.cuts.count() >= 1
-    assert slices.instants.filter("_heavy_key = 'hot'").count() >= 1
+    assert slices.instants.filter(F.col("_heavy_key").eqNullSafe(F.lit(hot_key))).count() >= 1
+    assert slices.null_key == (hot_key is None)
     df = cdc.scd2_history(log, collapse_unchanged=collapse, policy=EAGER)
     assert versions(df) == replay(changes, collapse)
+    assert versions(cdc.scd2_history(log, collapse_unchanged=collapse)) == replay(changes, collapse)
+
+
+def test_slice_edges_are_not_hinted(spark):
+    log = log_of(spark, skewed_changes(5))
+    text = cdc.scd2_history(log, collapse_unchanged=True, policy=EAGER)._jdf.queryExecution().analyzed().toString()
+    lines = text.splitlines()
+    hinted = [lines[i + 1] for i, line in enumerate(lines) if "ResolvedHint" in line]
+    assert hinted and "_edge" in text
+    assert not any("_edge" in line for line in hinted)
 
 
 def test_slices_bound_the_groups(spark):
