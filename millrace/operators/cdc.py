@@ -163,16 +163,47 @@ def scd2_incremental(
 ) -> DataFrame:
     """History after ``batch``; ``log`` is the whole change log, batch included.
 
-    Versions of keys in the batch are rebuilt from the log, all others are kept,
-    so a late change lands where it belongs.
+    A key whose new changes all follow its old ones only has its open version closed
+    and new ones added.  A key with a late change is rebuilt from the log.  Of the
+    log two columns are read to tell them apart, and the rest for late keys only;
+    closed versions of all other keys pass through as they are.
     """
-    touched = batch.select(F.col(key).alias("touched_key")).distinct()
+    new = batch.filter("updated_at is not null")
+    touched = new.groupBy(F.col(key).alias("touched_key")).agg(
+        F.min("updated_at").alias("first_new"), F.count(F.lit(1)).alias("n_new")
+    )
+    same_key = F.col(key).eqNullSafe(F.col("touched_key"))
+    after = (
+        log.select(key, "updated_at")
+        .join(touched, same_key)
+        .filter("updated_at >= first_new")
+        .groupBy("touched_key")
+        .agg((F.count(F.lit(1)) > F.first("n_new")).alias("late"))
+    )
+    late = after.filter("late").select("touched_key")
+    prompt = after.filter("not late").select("touched_key")
+
+    known = history.join(after, same_key, "left")
+    kept = known.filter("late is null or not (late or is_current)").select(*history.columns)
     rebuilt = scd2_history(
-        log.join(touched, F.col(key).eqNullSafe(F.col("touched_key")), "left_semi"),
-        key,
-        tie,
-        policy=policy,
-        probe=log,
+        log.join(late, same_key, "left_semi"), key, tie, policy=policy, probe=log
+    )
+    first = history.filter("is_current").join(prompt, same_key, "left_semi")
+    onward = as_changes(first, log).unionByName(
+        new.join(prompt, same_key, "left_semi").select(*log.columns)
+    )
+    advanced = scd2_history(onward, key, tie, policy=policy, probe=batch)
+    return kept.unionByName(rebuilt).unionByName(advanced)
+
+
+def as_changes(versions: DataFrame, log: DataFrame) -> DataFrame:
+    """Open versions as changes with the columns of ``log``; they come before ties."""
+    known = {"operation": F.lit("UPDATE"), "updated_at": F.col("valid_from")}
+    return versions.select(
+        *[
+            known.get(f.name, F.col(f.name) if f.name in versions.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in log.schema.fields
+        ]
     )
-    kept = history.join(touched, F.col(key).eqNullSafe(F.col("touched_key")), "left_anti")
-    return rebuilt.unionByName(kept)

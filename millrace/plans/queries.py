@@ -389,7 +389,7 @@ def c4_change_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part, day in ((log.filter(~late), 15), (log.filter(late), 16)):
         write_drop(part, "cdc_full", f"{base}/landing", datetime(2024, 1, day))
         apply_new_changes(spark, f"{base}/landing/cdc_*.csv", history)
-    return spark.read.parquet(history.history).select(
+    return partitioned.read_committed(spark, history.history, schemas.CHANGE_HISTORY).select(
         "order_id", "product_name", "category", "unit_price",
         "valid_from", "valid_to", "is_current",
     )

@@ -79,3 +79,23 @@ DAILY_REGION = T.StructType(
         T.StructField("revenue", T.DecimalType(28, 4)),
     ]
 )
+
+# The change log of ``apply_new_changes`` and the history it keeps.
+CHANGE_LOG = T.StructType(
+    [f for f in RAW_CHANGES if f.name != "updated_at"]
+    + [
+        T.StructField("updated_at", T.TimestampType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("source_start", T.LongType()),
+        T.StructField("run", T.LongType()),
+        T.StructField("line", T.LongType()),
+    ]
+)
+CHANGE_HISTORY = T.StructType(
+    RAW_SALES.fields
+    + [
+        T.StructField("valid_from", T.TimestampType()),
+        T.StructField("valid_to", T.TimestampType()),
+        T.StructField("is_current", T.BooleanType()),
+    ]
+)

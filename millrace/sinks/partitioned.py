@@ -19,12 +19,14 @@ def write_partitioned(
     layout: str = "rebalance",
     policy: SkewPolicy = DEFAULT_POLICY,
     written: Observation | None = None,
+    mark: bool = True,
 ) -> None:
     """Write one folder per value of ``by``.
 
     ``mode`` is ``append``, ``overwrite`` to replace only the folders that ``df``
     has rows for, which makes a re-run idempotent, or ``replace`` for the whole
-    path.  ``written`` counts the rows in the writing stage.
+    path.  ``written`` counts the rows in the writing stage.  Without ``mark`` an
+    overwrite leaves the table unmarked, for a caller with more to do before that.
 
     ``layout="rebalance"`` shuffles by ``by`` and lets adaptive execution cut the
     result into files of the advisory size, so a value with a third of the rows
@@ -45,7 +47,8 @@ def write_partitioned(
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
             path
         )
-        set_marker(df.sparkSession, path)
+        if mark:
+            set_marker(df.sparkSession, path)
     elif mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
             path

@@ -1,8 +1,10 @@
 import os
+import random
 import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import cdc, generate
@@ -12,7 +14,8 @@ from millrace.plans.simple_etl import run_simple_etl
 from millrace.sinks.formats import write_drop
 from millrace.sinks.partitioned import read_committed
 from millrace.sources.files import read_changes, read_csv
-from millrace.streaming.changes import HistoryTables, apply_new_changes, rebuild_buckets
+from millrace.streaming import changes as changes_module
+from millrace.streaming.changes import HistoryTables, apply_new_changes, compact_log, rebuild_buckets
 from millrace.streaming.incremental import ingest_new_files
 
 
@@ -165,9 +168,8 @@ def test_a_key_whose_only_version_vanishes(spark, tmp_path, tables):
     apply_new_changes(spark, str(folder), tables)
     write_changes(folder, "cdc_2.csv", ("a", "DELETE", t, 1))
     apply_new_changes(spark, str(folder), tables)
-    left = [r["order_id"] for r in spark.read.schema(
-        "order_id string, key_bucket int").parquet(tables.history).collect()]
-    assert left == ["zz"]
+    left = spark.read.schema(schemas.CHANGE_HISTORY).parquet(tables.history).filter("is_current")
+    assert [r["order_id"] for r in left.collect()] == ["zz"]
 
 
 def test_heavy_keys_in_change_files(spark, tmp_path, tables, rows):
@@ -224,3 +226,80 @@ def test_batches_without_usable_changes(spark, tmp_path, tables):
     write_changes(folder, "cdc_3.csv", ("a", "UPDATE", "2024-01-01T00:00:00Z", 1))
     apply_new_changes(spark, str(folder), tables)
     assert spark.read.parquet(tables.history).count() == 1
+
+
+def test_an_in_order_batch_leaves_closed_files_alone(spark, tmp_path, tables):
+    folder = tmp_path / "in"
+    for day in (1, 2):
+        write_changes(folder, f"cdc_{day}.csv", *[(f"k{i}", "UPDATE", f"2024-01-0{day}T00:00:00Z", day) for i in range(300)])
+        apply_new_changes(spark, str(folder), tables)
+    closed = {p: p.stat().st_mtime_ns for p in (tmp_path / "history" / "part=closed").rglob("*.parquet")}
+    assert closed
+    write_changes(folder, "cdc_3.csv", *[(f"k{i}", "UPDATE", "2024-01-03T00:00:00Z", 3) for i in range(200)])
+    apply_new_changes(spark, str(folder), tables)
+    assert all(p.exists() and p.stat().st_mtime_ns == at for p, at in closed.items())
+    history = read_committed(spark, tables.history, schemas.CHANGE_HISTORY)
+    assert history.filter("is_current").count() == 300
+    assert history.filter("not is_current").count() == 500
+
+
+KEYS = [f"k{i}" for i in range(7)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_batches_give_the_whole_history(spark, tmp_path, tables, rows, seed):
+    """In order, late, at equal times, deletes of deleted keys; some batches tried again."""
+    rng = random.Random(seed)
+    folder = tmp_path / "in"
+    for run in range(4):
+        late = run == 2
+        changes = [
+            (rng.choice(KEYS), rng.choice(["INSERT", "UPDATE", "DELETE"]),
+             f"2024-01-01T00:{0 if late else 10 * run:02}:{rng.randrange(8):02}Z", 100 * run + i)
+            for i in range(12)
+        ]
+        write_changes(folder, f"cdc_{run}.csv", *changes)
+        if run % 2:
+            _fail_after(spark, folder, tables, rng.choice(["write", "state", "drop"]))
+        apply_new_changes(spark, str(folder), tables)
+        if run == 2:
+            compact_log(spark, tables, batches=1)
+        log = cdc.usable(cdc.check_changes(read_changes(spark, str(folder)).withColumn("quantity_", F.col("quantity").cast("int"))))
+        whole = cdc.scd2_history(log, tie=["quantity_"])
+        found = read_committed(spark, tables.history, schemas.CHANGE_HISTORY)
+        assert rows(found, *COLUMNS) == rows(whole, *COLUMNS)
+
+
+def _fail_after(spark, folder, tables, step):
+    """Run the new batch up to a step, then fail as a lost driver would."""
+    names = {"write": "write_partitioned", "state": "_drop_others", "drop": "set_marker"}
+    original, seen = getattr(changes_module, names[step]), []
+
+    def stop(*args, **options):
+        if step == "write" and len(seen) < 2:
+            seen.append(1)
+            return original(*args, **options)
+        raise RuntimeError("lost")
+
+    setattr(changes_module, names[step], stop)
+    try:
+        with pytest.raises(Exception, match="lost"):
+            apply_new_changes(spark, str(folder), tables)
+    finally:
+        setattr(changes_module, names[step], original)
+
+
+def test_compaction(spark, tmp_path, tables, rows):
+    folder = tmp_path / "in"
+    for day in range(1, 5):
+        write_changes(folder, f"cdc_{day}.csv", *[(f"k{i}", "UPDATE", f"2024-01-0{day}T00:00:00Z", day) for i in range(20)])
+        apply_new_changes(spark, str(folder), tables)
+    before = rows(spark.read.parquet(tables.history), *COLUMNS)
+    assert compact_log(spark, tables, batches=4) == []
+    assert compact_log(spark, tables, batches=3) == [0, 1, 2, 3]
+    assert len(list((tmp_path / "log").rglob("batch_id=*"))) == 4
+    rebuild_buckets(spark, tables, range(4))
+    assert rows(spark.read.parquet(tables.history), *COLUMNS) == before
+    write_changes(folder, "cdc_9.csv", ("k1", "DELETE", "2023-01-01T00:00:00Z", 0), ("k1", "UPDATE", "2024-01-02T12:00:00Z", 9))
+    apply_new_changes(spark, str(folder), tables)
+    assert len(rows(spark.read.parquet(tables.history), *COLUMNS)) == len(before) + 1
