@@ -30,7 +30,7 @@ ELLIPSES = ("...", "…")
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
-    "n_letterless_words", "n_bullet_lines", "n_ellipsis_lines",
+    "n_letterless_words", "n_bullet_lines", "n_ellipsis_lines", "n_echoes",
 )
 
 # Rule and failure, over the measurements; a rule's bit is its place in this table.
@@ -40,10 +40,11 @@ RULES = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 30 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
     "letterless_words": "100 * n_letterless_words > 30 * n_words",
     "bullet_lines": "100 * n_bullet_lines > 90 * n_lines",
     "ellipsis_lines": "100 * n_ellipsis_lines > 30 * n_lines",
+    "echoes": "100 * n_echoes > 30 * n_words",
 }
 
 
@@ -60,7 +61,7 @@ class Policy:
 
 
 BASE = Policy("base", mask_of("short_text", "repeated_windows"))
-POLICY = Policy("2", mask_of(*RULES))
+POLICY = Policy("3", mask_of(*RULES))
 
 
 def _line_counts(text: str) -> tuple[int, int, int, int]:
@@ -95,6 +96,15 @@ def _letterless(block: WordBlock) -> np.ndarray:
     return total[block.starts[1:]] - total[block.starts[:-1]]
 
 
+def _echoes(block: WordBlock) -> np.ndarray:
+    """Words of each text that repeat the word before."""
+    same = np.zeros(len(block.ids) + 1, np.int64)
+    same[1:-1] = block.ids[1:] == block.ids[:-1]
+    same[block.starts] = 0
+    total = np.concatenate(([0], np.cumsum(same)))
+    return total[block.starts[1:]] - total[block.starts[:-1]]
+
+
 def _measure_rows(keep):
     def run(batches):
         for batch in batches:
@@ -104,7 +114,7 @@ def _measure_rows(keep):
                 lines = np.array([_line_counts(text) for text in texts], np.int64).reshape(-1, 4)
                 chars = [len(text) - sum(map(text.count, SPACES)) for text in texts]
                 symbols = [sum(map(text.count, SYMBOLS)) for text in texts]
-                columns = (block.counts, chars, symbols, lines[:, 0], lines[:, 1], _repeat_words(block), _letterless(block), lines[:, 2], lines[:, 3])
+                columns = (block.counts, chars, symbols, lines[:, 0], lines[:, 1], _repeat_words(block), _letterless(block), lines[:, 2], lines[:, 3], _echoes(block))
                 measured = pa.StructArray.from_arrays([pa.array(column, pa.int64()) for column in columns], MEASURES)
                 yield pa.RecordBatch.from_arrays([*map(part.column, keep), measured], [*keep, "measured"])
 
@@ -177,7 +187,8 @@ WITH cut AS (
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          len(list_filter(words, lambda w: NOT regexp_matches(w, '\p{{L}}')))::BIGINT AS n_letterless_words,
          len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•‣]')))::BIGINT AS n_bullet_lines,
-         len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$')))::BIGINT AS n_ellipsis_lines
+         len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$')))::BIGINT AS n_ellipsis_lines,
+         len(list_filter(words, lambda w, i: i > 1 AND w = words[i - 1]))::BIGINT AS n_echoes
   FROM cut LEFT JOIN inside USING (r)
 ), ledger AS (
   SELECT *, ({_BITS})::BIGINT AS failed FROM measured

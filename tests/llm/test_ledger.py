@@ -23,7 +23,7 @@ def brute_force(rows):
         m = (
             len(words), sum(map(len, plain)), sum(c in "#*$%&|<>" for c in text), len(lines), len(lines) - len(set(lines)), len(repeated),
             sum(not any(c.isalpha() for c in w) for w in plain), sum(x.strip(SPACE)[0] in "-*•‣" for x in lines),
-            sum(x.rstrip(SPACE).endswith(("...", "…")) for x in lines),
+            sum(x.rstrip(SPACE).endswith(("...", "…")) for x in lines), sum(a == b for a, b in zip(words, words[1:])),
         )
         failed = sum(1 << i for i, rule in enumerate(RULES.values()) if eval(rule, dict(zip(MEASURES, m, strict=True))))
         out.append((doc_id, *m, failed))
