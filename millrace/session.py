@@ -26,15 +26,27 @@ def build_session(app_name: str, master: str | None = None, **conf) -> SparkSess
     return builder.getOrCreate()
 
 
+_FOLDERS: dict[tuple[str, str], str] = {}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path for tables a run writes and reads back.
 
     The folder comes from ``spark.checkpoint.dir``, which on a cluster names
-    storage every executor sees.  Only a local session may do without it.
+    storage every executor sees.  Only a local session may do without it.  All
+    paths of an application lie in one folder, deleted when its driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
-    return f"{root.rstrip('/')}/millrace/{label}-{uuid.uuid4().hex}"
+    owner = spark.sparkContext.applicationId, root
+    if owner not in _FOLDERS:
+        folder = f"{root.rstrip('/')}/millrace/{owner[0]}-{uuid.uuid4().hex[:8]}"
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+        _FOLDERS[owner] = folder
+    return f"{_FOLDERS[owner]}/{label}-{uuid.uuid4().hex}"
