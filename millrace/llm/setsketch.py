@@ -8,10 +8,12 @@
 3. A bucket is named by its smallest class; buckets of one name make a cluster, in which every
    class is there once however many bands it shares.  Members that the joint likelihood of their
    registers leaves possible go on to the full sets.
-4. A cluster's sets are compared in blocks of bounded size: those outside the largest component
-   with all others.  A block returns the links that connect its members, one for each merge, and
-   never its pairs; two members of one cluster always meet in a block, so no link between
-   components is lost.
+4. A cluster's sets are compared in a block: those outside the largest component of the first
+   few with all others.  A cluster beyond ``MOST_SHINGLES`` is dealt over blocks of that size: first
+   each member meets a few pivots, then what that left outside the largest component meets all
+   members.  So a cluster that its pivots hold together costs in proportion to its size.  A block
+   returns the links that connect its members, one for each merge, and never its pairs; a link
+   between components is never lost, as one of its ends is outside and meets the other.
 
 Texts are moved once, to build the sets of candidates.  Links and components stay distributed.
 
@@ -39,8 +41,9 @@ PERCENT = 85
 BANDS, ROWS = 26, 5
 BASE, RATE, TOP = 1.001, 20.0, 65535
 
-# Classes and shingles that a block holds at most, about, on either side.
+# Classes of a block of sketches, and shingles of either side of a block of sets, about.
 MOST_SKETCHES, MOST_SHINGLES = 2048, 1 << 20
+PIVOTS = 4
 
 # A pair is dropped unread if its registers are e^-18 times as likely at the threshold as at best.
 SLACK = 18.0
@@ -165,10 +168,11 @@ def _possible_rows(batches):
 def _member_sets(batches):
     """Each document's set, once for every block it is in."""
 
+    kinds = {"cluster": pa.binary(), "i": pa.int32(), "j": pa.int32(), "asks": pa.bool_(), "key": pa.binary(), "content": pa.binary()}
+
     def batch(entries):
-        clusters, i, j, keys, contents = zip(*entries, strict=True)
-        arrays = [pa.array(clusters, pa.binary()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(keys, pa.binary()), pa.array(contents, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["cluster", "i", "j", "key", "content"])
+        columns = zip(*entries, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
 
     for rows in batches:
         for part in pieces(rows):
@@ -177,7 +181,7 @@ def _member_sets(batches):
             for key, places, found in zip(part.column("key").to_pylist(), part.column("places").to_pylist(), sets, strict=True):
                 packed = found.tobytes()
                 for place in places:
-                    entries.append((place["cluster"], place["i"], place["j"], key, packed))
+                    entries.append((place["cluster"], place["i"], place["j"], place["asks"], key, packed))
                     size += len(packed)
                     if size > 4 * BLOCK_BYTES:
                         yield batch(entries)
@@ -186,11 +190,12 @@ def _member_sets(batches):
                 yield batch(entries)
 
 
-def spanning_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links at the threshold that connect all that links connect, one for each merge.
+def spanning_links(sets: list[np.ndarray], asking: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links at the threshold, one for each merge of what they connect.
 
-    Every set outside the largest component of the first few is compared with all others, by
-    counting common shingles.  Links within that component alone are not looked for.
+    The sets in ``asking`` are compared with all others, by counting common shingles.  Without
+    it these are the first few and all outside the largest component of those; so the links
+    connect all that any link connects.
     """
     n = np.array([len(s) for s in sets])
     _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
@@ -213,6 +218,10 @@ def spanning_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
                 links.append((one, other))
                 label[label == label[other]] = label[one]
 
+    if asking is not None:
+        for one in asking:
+            compare(one)
+        return links
     few = min(4, len(sets))
     for one in range(few):
         compare(one)
@@ -226,41 +235,83 @@ def spanning_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 def _confirmed(batches):
     for block in _blocks(batches):
-        keys = block["key"].to_pylist()
-        # a document that is there twice brings its set twice
-        rows = list({key: row for row, key in enumerate(keys)}.values())
+        keys, asks = block["key"].to_pylist(), block["asks"].to_pylist()
+        # a set may come twice, from a repeated row or in both roles
+        rows = {}
+        for row in sorted(range(len(keys)), key=lambda row: not asks[row]):
+            rows.setdefault(keys[row], row)
+        rows = list(rows.values())
+        asking = None if None in asks else [at for at, row in enumerate(rows) if asks[row]]
         content = block["content"].combine_chunks()
-        links = spanning_links([np.frombuffer(content[row].as_buffer(), np.uint64) for row in rows])
+        links = spanning_links([np.frombuffer(content[row].as_buffer(), np.uint64) for row in rows], asking)
         if links:
             pairs = [sorted((keys[rows[x]], keys[rows[y]])) for x, y in links]
             yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs, strict=True)], ["a", "b"])
 
 
-def _in_blocks(members: DataFrame, weight: str, most: int) -> DataFrame:
-    """Members with the blocks ``i``, ``j`` of their cluster, so that every two members meet in one.
+PLACE = ["cluster", "i", "j"]
+
 
-    A cluster whose weights exceed ``most`` is cut into chunks by a hash of the key, and a block is a
-    pair of chunks; all others are one block.
+def _likely(classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Members of clusters, without those whose registers leave no other one possible.
+
+    A cluster of more than ``MOST_SKETCHES`` keeps all.
     """
-    sizes = members.groupBy("cluster").agg(F.ceil(F.sum(weight) / most).cast("int").alias("chunks"))
-    cut = members.join(sizes, "cluster").withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int"))
-    others = F.sequence(F.lit(0), F.col("chunks") - 1)
-    placed = cut.withColumn("other", F.explode(others))
-    return placed.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")}).drop("chunk", "chunks", "other")
-
-
-def _links(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """Confirmed links (``a``, ``b``) that connect the classes within each cluster."""
-    order = ["cluster", "i", "j"]
-    sketched = members.join(classes.select("key", "n", "sketch"), "key").withColumn("one", F.lit(1))
-    sketched = _in_blocks(sketched, "one", MOST_SKETCHES).select(*order, "key", "n", "sketch")
-    near = sketched.repartition(*order).sortWithinPartitions(*order).mapInArrow(_possible_rows, "cluster binary, key binary")
-    near = stored(near.distinct(), "possible")
-    wanted = _in_blocks(near.join(classes.select("key", "n", "row_key"), "key"), "n", MOST_SHINGLES)
-    wanted = wanted.groupBy("key", "row_key").agg(F.collect_list(F.struct(*order)).alias("places"))
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("n_keys"))
+    sized = members.join(sizes, "cluster")
+    small = sized.filter(F.col("n_keys") <= MOST_SKETCHES).join(classes.select("key", "n", "sketch"), "key")
+    small = small.select("cluster", F.lit(0).alias("i"), F.lit(0).alias("j"), "key", "n", "sketch")
+    near = small.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_possible_rows, "cluster binary, key binary")
+    return near.unionByName(sized.filter(F.col("n_keys") > MOST_SKETCHES).select("cluster", "key"))
+
+
+def _chunked(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with a chunk number, by key; a cluster's chunks have about ``MOST_SHINGLES`` shingles."""
+    sizes = rows.groupBy("cluster").agg(F.ceil(F.sum("n") / MOST_SHINGLES).cast("int").alias(f"{name}s"))
+    return rows.join(sizes, "cluster").withColumn(name, F.pmod(F.xxhash64("key"), f"{name}s").cast("int"))
+
+
+def _met(asking: DataFrame, members: DataFrame) -> DataFrame:
+    """Places where every chunk of ``asking`` meets every chunk of ``members`` of its cluster."""
+    asking, members = _chunked(asking, "x"), _chunked(members, "y")
+    of_x, of_y = (side.select("cluster", f"{name}s").distinct() for side, name in ((asking, "x"), (members, "y")))
+    one = asking.join(of_y, "cluster").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("ys") - 1)))
+    two = members.join(of_x, "cluster").withColumn("x", F.explode(F.sequence(F.lit(0), F.col("xs") - 1)))
+    columns = ["key", "row_key", "cluster", F.col("x").alias("i"), F.col("y").alias("j")]
+    return one.select(*columns, F.lit(True).alias("asks")).union(two.select(*columns, F.lit(False)))
+
+
+def _linked(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) found in the blocks of ``placed``; each text is read from one row of its class."""
+    wanted = placed.groupBy("key", "row_key").agg(F.collect_list(F.struct(*PLACE, "asks")).alias("places"))
     texts = rows.join(stored(wanted, "wanted"), "row_key").select("key", "places", "text")
-    sets = texts.mapInArrow(_member_sets, "cluster binary, i int, j int, key binary, content binary")
-    return sets.repartition(*order).sortWithinPartitions(*order).mapInArrow(_confirmed, "a binary, b binary").distinct()
+    sets = texts.mapInArrow(_member_sets, "cluster binary, i int, j int, asks boolean, key binary, content binary")
+    links = sets.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_confirmed, "a binary, b binary")
+    return stored(links.distinct(), "links")
+
+
+def _components(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of the classes that have a link within any cluster."""
+    near = _likely(classes, members).join(classes.select("key", "n", "row_key"), "key")
+    near = stored(near, "near")
+    sizes = near.groupBy("cluster").agg((F.sum("n") > MOST_SHINGLES).alias("large"))
+    sized = near.join(sizes, "cluster")
+    whole = sized.filter("not large").select("key", "row_key", "cluster", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("asks"))
+    large = sized.filter("large").drop("large")
+    picks = [F.min_by(F.struct("key", "row_key", "n"), F.xxhash64("key", F.lit(i))) for i in range(PIVOTS)]
+    pivots = large.groupBy("cluster").agg(F.array_distinct(F.array(*picks)).alias("pivots"))
+    pivots = pivots.select("cluster", F.explode("pivots").alias("pivot")).select("cluster", "pivot.*")
+    links = _linked(rows, whole.union(_met(pivots, large)))
+    roots = components(links)
+
+    # what the pivots of a large cluster have left outside its largest component
+    found = large.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
+    parts = found.groupBy("cluster", "root").agg(F.count("*").alias("n_keys"))
+    main = parts.groupBy("cluster").agg(F.max(F.struct("n_keys", "root")).alias("top")).select("cluster", F.col("top.root").alias("main"))
+    outside = stored(found.join(main, "cluster").filter("root != main").select("cluster", "key", "row_key", "n"), "outside")
+    if outside.isEmpty():
+        return roots
+    return components(links.union(_linked(rows, _met(outside, large))))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -286,7 +337,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = bands.select("key", F.xxhash64("band", "part").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n_keys"), F.min("key").alias("cluster")).filter("n_keys > 1")
     members = stored(bands.join(shared, "bucket").select("cluster", "key").distinct(), "clusters")
-    roots = components(stored(_links(rows, classes, members), "links"))
+    roots = _components(rows, classes, members)
 
     placed = classes.select("key", "first_id").join(roots, F.col("key") == F.col("node"), "left")
     placed = placed.select("key", "first_id", F.coalesce("root", "key").alias("root"))

@@ -62,13 +62,33 @@ def test_matches_brute_force(cases, case):
     same(digest(near_duplicates(docs)), brute_force(rows))
 
 
-def test_small_blocks(cases, monkeypatch):
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_small_blocks(cases, monkeypatch, pivots):
     monkeypatch.setattr(setsketch, "MOST_SKETCHES", 4)
     monkeypatch.setattr(setsketch, "MOST_SHINGLES", 100)
+    monkeypatch.setattr(setsketch, "PIVOTS", pivots)
     docs, rows = cases["awkward"]
     same(digest(near_duplicates(docs)), brute_force(rows))
 
 
+@pytest.mark.parametrize("most", [100, 1 << 20])
+def test_a_loose_group(spark, monkeypatch, most):
+    """Copies with several changed words each: some pairs reach the threshold, many do not."""
+    monkeypatch.setattr(setsketch, "MOST_SKETCHES", 8 if most == 100 else 2048)
+    monkeypatch.setattr(setsketch, "MOST_SHINGLES", most)
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for place in rng.choice(60, rng.integers(0, 4), replace=False):
+            words[place] = f"x{rng.integers(30)}"
+        rows.append((i, " ".join(words)))
+    found = digest(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    same(found, brute_force(rows))
+    assert 1 < len({r[2] for r in found}) < 40
+
+
 def test_empty(empty):
     assert near_duplicates(empty).collect() == []
 
