@@ -95,17 +95,23 @@ def _parents(parsed: DataFrame) -> DataFrame:
 
 
 def _trees(links: DataFrame) -> DataFrame:
-    """``msg_id``, ``root`` and ``depth``: every round doubles the way gone."""
+    """``msg_id``, ``root`` and ``depth``: every round doubles the way gone.
+
+    A message whose way has come to a root is settled and takes no part in further rounds.
+    """
+    settled, active = links.filter("depth = 0"), links.filter("depth > 0")
     while True:
-        up = links.select(F.col("msg_id").alias("over"), F.col("root").alias("over_root"), F.col("depth").alias("over_depth"))
-        further = links.join(up, links["root"] == up["over"])
-        links = stored(
-            further.select("msg_id", F.col("over_root").alias("root"), (F.col("depth") + F.col("over_depth")).alias("depth"), (F.col("over_depth") > 0).alias("moved")),
+        known = settled.unionByName(active)
+        up = known.select(F.col("msg_id").alias("over"), F.col("root").alias("over_root"), F.col("depth").alias("over_depth"))
+        further = active.join(up, active["root"] == up["over"])
+        moved = stored(
+            further.select("msg_id", F.col("over_root").alias("root"), (F.col("depth") + F.col("over_depth")).alias("depth"), (F.col("over_depth") == 0).alias("done")),
             "trees",
         )
-        if links.filter("moved").isEmpty():
-            return links.drop("moved")
-        links = links.drop("moved")
+        settled = settled.unionByName(moved.filter("done").drop("done"))
+        active = moved.filter("not done").drop("done")
+        if active.isEmpty():
+            return settled
 
 
 def build_conversations(messages: DataFrame) -> DataFrame:
