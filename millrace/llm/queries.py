@@ -9,6 +9,7 @@ from millrace.llm.chat import op8_chat_formatting
 from millrace.llm.jumphash import op3_jump_sharding
 from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
+from millrace.llm.oracles import OP1_SQL, OP2_SQL, OP5_SQL, OP8_SQL
 from millrace.llm.recount import op10_token_counts
 from millrace.llm.repeats import op1_substring_dedup
 from millrace.llm.setsketch import op5_minhash_near_dedup
@@ -32,6 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_benchmark_decontamination": OP2_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op5_minhash_near_dedup": OP5_SQL,
+    "op8_chat_formatting": OP8_SQL,
     "op9_quality_rules": OP9_SQL,
 }
