@@ -1,10 +1,11 @@
 """Operator 5: near-duplicates by SetSketch registers, banding, joint likelihood and full sets.
 
-1. A document's set is its distinct three-word shingles, as 64-bit hashes.  Register ``i`` holds
+1. A document's set is its distinct word shingles (five words, or as told), as 64-bit hashes.  Register ``i`` holds
    the least of exponentially distributed hash values of the set, truncated to powers of ``BASE``;
    registers of a union are the larger ones, and equal registers grow with the Jaccard index.
-2. Documents of equal sets form one class.  26 bands of 5 registers make the candidates: a pair
-   at 0.85 shares no band with probability 2e-7.
+2. Documents of equal sets form one class.  Bands of 5 registers make the candidates: 39 of them
+   for a Jaccard index of 0.8, 26 for 0.85, so that a pair at the threshold shares none with a
+   probability of 2.5e-7 at most.
 3. A bucket is named by its smallest class; buckets of one name make a cluster, in which every
    class is there once however many bands it shares.  Members that the joint likelihood of their
    registers leaves possible go on to the full sets.
@@ -18,13 +19,16 @@
 Texts are moved once, to build the sets of candidates.  Links and components stay distributed.
 
 Defined cases: null, empty and wordless texts have an empty set, no link, and are their own
-component; texts of one or two words have one shingle, all their words; repeated rows are copies
+component; texts shorter than a shingle have one, all their words; repeated rows are copies
 of each other; a null ``doc_id`` is never the smallest of a component, and a component of nulls
 alone keeps them all; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,9 +40,6 @@ from millrace.llm.native import row_key
 
 ship(__name__)
 
-SHINGLE = 3
-PERCENT = 85
-BANDS, ROWS = 26, 5
 BASE, RATE, TOP = 1.001, 20.0, 65535
 
 # Classes of a block of sketches, and shingles of either side of a block of sets, about.
@@ -48,11 +49,37 @@ PIVOTS = 4
 # A pair is dropped unread if its registers are e^-18 times as likely at the threshold as at best.
 SLACK = 18.0
 
-_SEEDS = np.random.default_rng(20).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64)
-_FACTORS, _SHIFTS = (_SEEDS[0] << np.uint64(1)) | np.uint64(1), _SEEDS[1]
+MOST_REGISTERS = 1024
+_SEEDS = np.random.default_rng(20).integers(1, 2**63, (MOST_REGISTERS, 2), dtype=np.uint64)
+_FACTORS, _SHIFTS = (_SEEDS[:, 0] << np.uint64(1)) | np.uint64(1), _SEEDS[:, 1]
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """What counts as near: words in a shingle, and the least Jaccard index in percent.
+
+    There are as many bands of ``rows`` registers as it takes for a pair at the threshold to
+    share none with a probability of ``miss`` at most.
+    """
+
+    shingle: int = 5
+    percent: int = 80
+    rows: int = 5
+    miss: float = 2.5e-7
+
+    @property
+    def bands(self) -> int:
+        alike = (self.percent / 100) ** self.rows
+        return 1 if alike >= 1 else math.ceil(math.log(self.miss) / math.log1p(-alike))
+
+    @property
+    def registers(self) -> int:
+        if self.bands * self.rows > MOST_REGISTERS:
+            raise ValueError(f"{self} needs more than {MOST_REGISTERS} registers")
+        return self.bands * self.rows
 
 
-def shingle_sets(texts, size: int = SHINGLE) -> list[np.ndarray]:
+def shingle_sets(texts, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     block = WordBlock(texts, lower=True)
     hashes = np.zeros(0, np.uint64)
@@ -72,32 +99,34 @@ def shingle_sets(texts, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def registers(found: np.ndarray) -> np.ndarray:
+def registers(found: np.ndarray, count: int) -> np.ndarray:
     """SetSketch registers of a set of hashes that is not empty."""
-    least = np.full(len(_FACTORS), 2**64 - 1, np.uint64)
+    factors, shifts = _FACTORS[:count], _SHIFTS[:count]
+    least = np.full(count, 2**64 - 1, np.uint64)
     for i in range(0, len(found), 2048):
-        part = found[i : i + 2048, None] * _FACTORS
-        part += _SHIFTS
+        part = found[i : i + 2048, None] * factors
+        part += shifts
         np.minimum(least, part.min(axis=0), out=least)
     uniform = (least.astype(np.float64) + 0.5) / 2.0**64
     spaced = np.floor(1.0 - np.log(-np.log1p(-uniform) / RATE) / np.log(BASE))
     return np.clip(spaced, 0, TOP).astype(np.uint16)
 
 
-def _sketch_rows(batches):
-    for batch in batches:
-        for part in pieces(batch):
-            sets = shingle_sets(part.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
+def _sketch_rows(like: Likeness):
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch):
+                sets = shingle_sets(part.column("text").to_pylist(), like.shingle)
+                columns = [
                     part.column("doc_id"),
                     part.column("row_key"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([registers(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                ],
-                ["doc_id", "row_key", "n_shingles", "set_key", "sketch"],
-            )
+                    pa.array([registers(s, like.registers).tobytes() if len(s) else None for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_key", "n_shingles", "set_key", "sketch"])
+
+    return run
 
 
 def joint_likelihood(n_a, n_b, above, below, equal, at):
@@ -117,15 +146,15 @@ def joint_likelihood(n_a, n_b, above, below, equal, at):
     )
 
 
-def possible(n, sketches, n_b, sketch_b) -> np.ndarray:
+def possible(n, sketches, n_b, sketch_b, percent: int) -> np.ndarray:
     """Which sets may reach the threshold with the set ``b``, by their registers."""
     most = np.minimum(n, n_b) / np.maximum(n, n_b)
-    keep = 100 * np.minimum(n, n_b) >= PERCENT * np.maximum(n, n_b)
+    keep = 100 * np.minimum(n, n_b) >= percent * np.maximum(n, n_b)
     where = np.flatnonzero(keep)
     if len(where):
         n, most, part = n[where], most[where], sketches[where]
         counts = (part > sketch_b).sum(axis=1), (part < sketch_b).sum(axis=1), (part == sketch_b).sum(axis=1)
-        goal = np.minimum(most, PERCENT / 100)[:, None]
+        goal = np.minimum(most, percent / 100)[:, None]
         less = joint_likelihood(n, n_b, *counts, goal * np.linspace(0, 1, 21)[None, :])
         more = joint_likelihood(n, n_b, *counts, goal + (most[:, None] - goal) * np.linspace(0, 1, 9)[None, :])
         keep[where] = more.max(axis=1) >= less.max(axis=1) - SLACK
@@ -151,46 +180,52 @@ def _blocks(batches):
         yield pa.Table.from_batches(waiting)
 
 
-def _possible_rows(batches):
+def _possible_rows(like: Likeness):
     """The members of each block that may reach the threshold with another one."""
-    for block in _blocks(batches):
-        n = block["n"].to_numpy().astype(np.float64)
-        sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint16).reshape(len(n), -1)
-        keep = np.zeros(len(n), bool)
-        for row in range(len(n) - 1):
-            near = possible(n[row + 1 :], sketches[row + 1 :], n[row], sketches[row])
-            keep[row + 1 :] |= near
-            keep[row] |= near.any()
-        found = block.filter(pa.array(keep)).select(["cluster", "key"])
-        yield from found.combine_chunks().to_batches()
-
-
-def _member_sets(batches):
-    """Each document's set, once for every block it is in."""
 
+    def run(batches):
+        for block in _blocks(batches):
+            n = block["n"].to_numpy().astype(np.float64)
+            sketches = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint16).reshape(len(n), -1)
+            keep = np.zeros(len(n), bool)
+            for row in range(len(n) - 1):
+                near = possible(n[row + 1 :], sketches[row + 1 :], n[row], sketches[row], like.percent)
+                keep[row + 1 :] |= near
+                keep[row] |= near.any()
+            found = block.filter(pa.array(keep)).select(["cluster", "key"])
+            yield from found.combine_chunks().to_batches()
+
+    return run
+
+
+def _member_sets(like: Likeness):
+    """Each document's set, once for every block it is in."""
     kinds = {"cluster": pa.binary(), "i": pa.int32(), "j": pa.int32(), "asks": pa.bool_(), "key": pa.binary(), "content": pa.binary()}
 
     def batch(entries):
         columns = zip(*entries, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
 
-    for rows in batches:
-        for part in pieces(rows):
-            sets = shingle_sets(part.column("text").to_pylist())
-            entries, size = [], 0
-            for key, places, found in zip(part.column("key").to_pylist(), part.column("places").to_pylist(), sets, strict=True):
-                packed = found.tobytes()
-                for place in places:
-                    entries.append((place["cluster"], place["i"], place["j"], place["asks"], key, packed))
-                    size += len(packed)
-                    if size > 4 * BLOCK_BYTES:
-                        yield batch(entries)
-                        entries, size = [], 0
-            if entries:
-                yield batch(entries)
-
-
-def spanning_links(sets: list[np.ndarray], asking: list[int] | None = None) -> list[tuple[int, int]]:
+    def run(batches):
+        for rows in batches:
+            for part in pieces(rows):
+                sets = shingle_sets(part.column("text").to_pylist(), like.shingle)
+                entries, size = [], 0
+                for key, places, found in zip(part.column("key").to_pylist(), part.column("places").to_pylist(), sets, strict=True):
+                    packed = found.tobytes()
+                    for place in places:
+                        entries.append((place["cluster"], place["i"], place["j"], place["asks"], key, packed))
+                        size += len(packed)
+                        if size > 4 * BLOCK_BYTES:
+                            yield batch(entries)
+                            entries, size = [], 0
+                if entries:
+                    yield batch(entries)
+
+    return run
+
+
+def spanning_links(sets: list[np.ndarray], percent: int, asking: list[int] | None = None) -> list[tuple[int, int]]:
     """Links at the threshold, one for each merge of what they connect.
 
     The sets in ``asking`` are compared with all others, by counting common shingles.  Without
@@ -212,7 +247,7 @@ def spanning_links(sets: list[np.ndarray], asking: list[int] | None = None) -> l
         width = ends[own] - starts[own]
         shift = np.repeat(starts[own] - (np.cumsum(width) - width), width)
         both = np.bincount(holders[np.arange(width.sum()) + shift], minlength=len(sets))
-        near = np.flatnonzero(100 * both >= PERCENT * (n[one] + n - both))
+        near = np.flatnonzero(100 * both >= percent * (n[one] + n - both))
         for other in near[np.unique(label[near], return_index=True)[1]].tolist():
             if label[other] != label[one]:
                 links.append((one, other))
@@ -233,26 +268,30 @@ def spanning_links(sets: list[np.ndarray], asking: list[int] | None = None) -> l
     return links
 
 
-def _confirmed(batches):
-    for block in _blocks(batches):
-        keys, asks = block["key"].to_pylist(), block["asks"].to_pylist()
-        # a set may come twice, from a repeated row or in both roles
-        rows = {}
-        for row in sorted(range(len(keys)), key=lambda row: not asks[row]):
-            rows.setdefault(keys[row], row)
-        rows = list(rows.values())
-        asking = None if None in asks else [at for at, row in enumerate(rows) if asks[row]]
-        content = block["content"].combine_chunks()
-        links = spanning_links([np.frombuffer(content[row].as_buffer(), np.uint64) for row in rows], asking)
-        if links:
-            pairs = [sorted((keys[rows[x]], keys[rows[y]])) for x, y in links]
-            yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs, strict=True)], ["a", "b"])
+def _confirmed(like: Likeness):
+    def run(batches):
+        for block in _blocks(batches):
+            keys, asks = block["key"].to_pylist(), block["asks"].to_pylist()
+            # a set may come twice, from a repeated row or in both roles
+            rows = {}
+            for row in sorted(range(len(keys)), key=lambda row: not asks[row]):
+                rows.setdefault(keys[row], row)
+            rows = list(rows.values())
+            asking = None if None in asks else [at for at, row in enumerate(rows) if asks[row]]
+            content = block["content"].combine_chunks()
+            sets = [np.frombuffer(content[row].as_buffer(), np.uint64) for row in rows]
+            links = spanning_links(sets, like.percent, asking)
+            if links:
+                pairs = [sorted((keys[rows[x]], keys[rows[y]])) for x, y in links]
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*pairs, strict=True)], ["a", "b"])
+
+    return run
 
 
 PLACE = ["cluster", "i", "j"]
 
 
-def _likely(classes: DataFrame, members: DataFrame) -> DataFrame:
+def _likely(classes: DataFrame, members: DataFrame, like: Likeness) -> DataFrame:
     """Members of clusters, without those whose registers leave no other one possible.
 
     A cluster of more than ``MOST_SKETCHES`` keeps all.
@@ -261,7 +300,7 @@ def _likely(classes: DataFrame, members: DataFrame) -> DataFrame:
     sized = members.join(sizes, "cluster")
     small = sized.filter(F.col("n_keys") <= MOST_SKETCHES).join(classes.select("key", "n", "sketch"), "key")
     small = small.select("cluster", F.lit(0).alias("i"), F.lit(0).alias("j"), "key", "n", "sketch")
-    near = small.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_possible_rows, "cluster binary, key binary")
+    near = small.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_possible_rows(like), "cluster binary, key binary")
     return near.unionByName(sized.filter(F.col("n_keys") > MOST_SKETCHES).select("cluster", "key"))
 
 
@@ -281,18 +320,18 @@ def _met(asking: DataFrame, members: DataFrame) -> DataFrame:
     return one.select(*columns, F.lit(True).alias("asks")).union(two.select(*columns, F.lit(False)))
 
 
-def _linked(rows: DataFrame, placed: DataFrame) -> DataFrame:
+def _linked(rows: DataFrame, placed: DataFrame, like: Likeness) -> DataFrame:
     """Links (``a``, ``b``) found in the blocks of ``placed``; each text is read from one row of its class."""
     wanted = placed.groupBy("key", "row_key").agg(F.collect_list(F.struct(*PLACE, "asks")).alias("places"))
     texts = rows.join(stored(wanted, "wanted"), "row_key").select("key", "places", "text")
-    sets = texts.mapInArrow(_member_sets, "cluster binary, i int, j int, asks boolean, key binary, content binary")
-    links = sets.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_confirmed, "a binary, b binary")
+    sets = texts.mapInArrow(_member_sets(like), "cluster binary, i int, j int, asks boolean, key binary, content binary")
+    links = sets.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(_confirmed(like), "a binary, b binary")
     return stored(links.distinct(), "links")
 
 
-def _components(rows: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+def _components(rows: DataFrame, classes: DataFrame, members: DataFrame, like: Likeness) -> DataFrame:
     """``node`` and ``root`` of the classes that have a link within any cluster."""
-    near = _likely(classes, members).join(classes.select("key", "n", "row_key"), "key")
+    near = _likely(classes, members, like).join(classes.select("key", "n", "row_key"), "key")
     near = stored(near, "near")
     sizes = near.groupBy("cluster").agg((F.sum("n") > MOST_SHINGLES).alias("large"))
     sized = near.join(sizes, "cluster")
@@ -301,7 +340,7 @@ def _components(rows: DataFrame, classes: DataFrame, members: DataFrame) -> Data
     picks = [F.min_by(F.struct("key", "row_key", "n"), F.xxhash64("key", F.lit(i))) for i in range(PIVOTS)]
     pivots = large.groupBy("cluster").agg(F.array_distinct(F.array(*picks)).alias("pivots"))
     pivots = pivots.select("cluster", F.explode("pivots").alias("pivot")).select("cluster", "pivot.*")
-    links = _linked(rows, whole.union(_met(pivots, large)))
+    links = _linked(rows, whole.union(_met(pivots, large)), like)
     roots = components(links)
 
     # what the pivots of a large cluster have left outside its largest component
@@ -311,10 +350,10 @@ def _components(rows: DataFrame, classes: DataFrame, members: DataFrame) -> Data
     outside = stored(found.join(main, "cluster").filter("root != main").select("cluster", "key", "row_key", "n"), "outside")
     if outside.isEmpty():
         return roots
-    return components(links.union(_linked(rows, _met(outside, large))))
+    return components(links.union(_linked(rows, _met(outside, large), like)))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document.
 
     Also ``row_key``, the content of ``doc_id`` and ``text`` in 16 bytes, and ``group``, a name of
@@ -323,7 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("row_key", row_key("doc_id", "text"))
     sketched = stored(
-        rows.mapInArrow(_sketch_rows, "doc_id long, row_key binary, n_shingles long, set_key binary, sketch binary"), "sketches"
+        rows.mapInArrow(_sketch_rows(like), "doc_id long, row_key binary, n_shingles long, set_key binary, sketch binary"), "sketches"
     )
     classes = stored(
         sketched.filter("set_key is not null")
@@ -332,12 +371,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     # the registers of a band, as they lie in the sketch
-    parts = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))
+    width = 2 * like.rows
+    parts = F.transform(F.sequence(F.lit(0), F.lit(like.bands - 1)), lambda i: F.substring("sketch", i * width + 1, F.lit(width)))
     bands = classes.select("key", F.posexplode(parts).alias("band", "part"))
     bands = bands.select("key", F.xxhash64("band", "part").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n_keys"), F.min("key").alias("cluster")).filter("n_keys > 1")
     members = stored(bands.join(shared, "bucket").select("cluster", "key").distinct(), "clusters")
-    roots = _components(rows, classes, members)
+    roots = _components(rows, classes, members, like)
 
     placed = classes.select("key", "first_id").join(roots, F.col("key") == F.col("node"), "left")
     placed = placed.select("key", "first_id", F.coalesce("root", "key").alias("root"))
@@ -350,5 +390,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Likeness(shingle=3, percent=85))
     return found.select("doc_id", "n_shingles", "component_id", "kept")

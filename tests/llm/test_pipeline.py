@@ -35,7 +35,7 @@ def keep_lines(rows, _):
 
 
 def keep_near(rows, _):
-    return [row for row, r in zip(rows, near([r[:2] for r in rows]), strict=True) if r[3]]
+    return [row for row, r in zip(rows, near([r[:2] for r in rows], 5, 80), strict=True) if r[3]]
 
 
 def keep_clean(rows, items):
