@@ -333,9 +333,11 @@ def _components(rows: DataFrame, classes: DataFrame, members: DataFrame, like: L
     """``node`` and ``root`` of the classes that have a link within any cluster."""
     near = _likely(classes, members, like).join(classes.select("key", "n", "row_key"), "key")
     near = stored(near, "near")
-    sizes = near.groupBy("cluster").agg((F.sum("n") > MOST_SHINGLES).alias("large"))
+    sizes = stored(near.groupBy("cluster").agg((F.sum("n") > MOST_SHINGLES).alias("large")), "sizes")
     sized = near.join(sizes, "cluster")
     whole = sized.filter("not large").select("key", "row_key", "cluster", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(None).cast("boolean").alias("asks"))
+    if sizes.filter("large").isEmpty():
+        return components(_linked(rows, whole, like))
     large = sized.filter("large").drop("large")
     picks = [F.min_by(F.struct("key", "row_key", "n"), F.xxhash64("key", F.lit(i))) for i in range(PIVOTS)]
     pivots = large.groupBy("cluster").agg(F.array_distinct(F.array(*picks)).alias("pivots"))
