@@ -109,11 +109,12 @@ def _covered(intervals: Column) -> Column:
 
 def find_benchmark_spans(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, broadcast_rows: int = BROADCAST_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """Documents with a ``key`` and their hits.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with a ``key``, their hits, and the sets of items that the hits name.
 
     The first table has ``key``, ``doc_id`` and ``n_words``, a row for each document.  The second
-    has ``key``, ``start``, ``end`` and ``items``, the key of the set of items with that window.
+    has ``key``, ``start``, ``end`` and ``items``, the name of the set of items with that window.
+    The third has ``items`` and ``item_ids``, a row for each set.
     """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = named.withColumn("key", row_key("doc_id", "text"))
