@@ -34,7 +34,7 @@ from millrace.llm.blocks import pieces, ship
 
 ship(__name__)
 
-MEMO = 400_000
+MEMO = 250_000
 
 # On ASCII text these three steps are Python's lower() and the blanks below.
 SIMPLE_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -203,9 +203,17 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     return rows.mapInArrow(_decode_rows(_content(encoded.sparkSession, tokenizer_path)), "doc_id long, ids array<int>, decoded string")
 
 
+def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """``doc_id``, ``ids`` and ``decoded``: both steps in one task, a piece of the texts at a time."""
+    content = _content(docs.sparkSession, tokenizer_path)
+    first, then = _encode_rows(content), _decode_rows(content)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(lambda batches: then(first(batches)), "doc_id long, ids array<int>, decoded string")
+
+
 def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Counts and digests of the ids and of the text they decode to."""
-    done = decode(encode(docs, tokenizer_path), tokenizer_path)
+    done = round_trip(docs, tokenizer_path)
     numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
     return done.select(
         "doc_id",
