@@ -5,10 +5,11 @@
 2. *Hash.*  Passages are normalised (case and white space).  A message can be quoted as its own
    text, as that with what it quotes itself, and so on down its levels; each of these chains gets a
    key, and so does each of its own lines.  A reply is looked up by the chain of all it quotes, so
-   equal short messages are told apart by what they answer.  If no message has that chain, the
-   quoted lines vote.
-3. *Join.*  The original of a key is the smallest id that has it.  The keys are reduced to it
-   before the join, so a text that a third of all messages repeat is one row.
+   equal short messages are told apart by what they answer.  If no smaller id has that chain, the
+   quoted lines vote, each for all messages with a smaller id that hold it.
+3. *Join.*  The original of a chain is the smallest id that has it, as the query's SQL says, not the
+   nearest one before the reply.  The chains are reduced to it before the join, so a text that a
+   third of all messages repeat is one row.
 4. *Order.*  Replies point to smaller ids only, so links make trees.  Pointer doubling finds root
    and depth; positions come from one global sort by root, depth and id.
 
@@ -33,6 +34,9 @@ from millrace.llm.ordering import numbered
 
 ship(__name__)
 
+# Lines that more messages hold are counted for sets of lines, not for single quotations.
+COMMON = 100
+
 QUOTE = re.compile(r"(?:> ?)+")
 ATTRIBUTION = re.compile(r"\b(?:wrote|schrieb|a écrit|escribió)\s?:$", re.IGNORECASE)
 
@@ -79,19 +83,51 @@ def _parsed_rows(batches):
             yield pa.RecordBatch.from_arrays([part.column("msg_id"), *arrays], ["msg_id", *out])
 
 
-def _parents(parsed: DataFrame) -> DataFrame:
+def _voted(parsed: DataFrame, asked: DataFrame, common: int) -> DataFrame:
+    """``msg_id`` and ``parent_id``: the smaller id that holds most of the quoted lines, then the smallest.
+
+    Equal quotations are counted once, and of the ids with the same number of lines only the smallest
+    goes on.  A line of up to ``common`` messages names them all; what such a candidate holds of the
+    commoner lines is looked up.  Candidates of the commoner lines alone are the same for all
+    quotations with the same ones of these, so they are counted once for each such set.
+    """
+    quote = F.unhex(F.md5(F.array_join(F.transform("quoted_lines", F.hex), "").cast("binary"))).alias("quote")
+    asked = stored(asked.select("msg_id", "quoted_lines", quote), "asked")
+    if asked.isEmpty():
+        return asked.select("msg_id", F.col("msg_id").alias("parent_id"))
+    quotes = asked.dropDuplicates(["quote"]).select("quote", F.explode("quoted_lines").alias("key"))
+    quotes = quotes.groupBy("quote", "key").agg(F.count("*").alias("n"))
+    held = parsed.filter("msg_id is not null").select(F.col("msg_id").alias("parent_id"), F.explode("own_lines").alias("key")).distinct()
+    held = stored(held.join(quotes.select("key").distinct(), "key", "left_semi"), "held")
+    holders = held.groupBy("key").agg((F.count("*") > common).alias("common"))
+    quotes = stored(quotes.join(holders, "key"), "quotes")
+    rare, often = quotes.filter("not common").drop("common"), quotes.filter("common").drop("common")
+    named = stored(rare.join(held, "key").groupBy("quote", "parent_id").agg(F.sum("n").alias("n")), "named")
+    more = named.select("quote", "parent_id").join(often, "quote").join(held, ["parent_id", "key"]).select("quote", "parent_id", "n")
+    votes = named.unionByName(more).groupBy("quote", "parent_id").agg(F.sum("n").alias("n"))
+    # the sets are named by their lines and how often each is quoted
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "n"))), lambda x: F.concat_ws(":", F.hex(x["key"]), x["n"].cast("string"))), " ")
+    sets = stored(often.groupBy("quote").agg(F.unhex(F.md5(lines.cast("binary"))).alias("set")), "sets")
+    in_sets = often.join(sets.groupBy("set").agg(F.min("quote").alias("quote")), "quote")
+    of_sets = in_sets.join(held, "key").groupBy("set", "parent_id").agg(F.sum("n").alias("n"))
+    of_sets = of_sets.groupBy("set", "n").agg(F.min("parent_id").alias("parent_id"))
+    firsts = votes.groupBy("quote", "n").agg(F.min("parent_id").alias("parent_id"))
+    firsts = firsts.unionByName(of_sets.join(sets, "set").select("quote", "n", "parent_id"))
+    earlier = asked.select("msg_id", "quote").join(firsts, "quote").filter("parent_id < msg_id")
+    # most lines first, then the smallest id: the largest count with the least id
+    best = earlier.groupBy("msg_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "parent_id")).alias("best"))
+    return best.select("msg_id", "best.parent_id")
+
+
+def _parents(parsed: DataFrame, common: int) -> DataFrame:
     """``msg_id`` and ``parent_id`` of the messages whose quotation has an original."""
     known = parsed.select(F.explode("known").alias("key"), "msg_id").groupBy("key").agg(F.min("msg_id").alias("parent_id"))
     asked = parsed.filter("quoted is not null and msg_id is not null").select("msg_id", F.col("quoted").alias("key"), "quoted_lines")
-    asked = asked.join(known, "key", "left").filter("parent_id is null or parent_id < msg_id")
-    whole = asked.filter("parent_id is not null").select("msg_id", "parent_id")
-    lines = parsed.select(F.explode("own_lines").alias("key"), "msg_id").groupBy("key").agg(F.min("msg_id").alias("parent_id"))
-    votes = asked.filter("parent_id is null").select("msg_id", F.explode("quoted_lines").alias("key")).join(lines, "key")
-    votes = votes.filter("parent_id < msg_id").groupBy("msg_id", "parent_id").agg(F.count("*").alias("n"))
-    # most lines first, then the smallest id: the largest count with the least id
-    best = votes.groupBy("msg_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "parent_id")).alias("best"))
-    found = whole.union(best.select("msg_id", "best.parent_id"))
-    return found.groupBy("msg_id").agg(F.min("parent_id").alias("parent_id"))
+    asked = asked.join(known, "key", "left")
+    whole = asked.filter("parent_id < msg_id").select("msg_id", "parent_id")
+    # a chain that only later messages have explains nothing
+    voted = _voted(parsed, asked.filter("parent_id is null or parent_id >= msg_id"), common)
+    return whole.union(voted).groupBy("msg_id").agg(F.min("parent_id").alias("parent_id"))
 
 
 def _trees(links: DataFrame) -> DataFrame:
@@ -114,11 +150,12 @@ def _trees(links: DataFrame) -> DataFrame:
             return settled
 
 
-def build_conversations(messages: DataFrame) -> DataFrame:
+def build_conversations(messages: DataFrame, common: int = COMMON) -> DataFrame:
     """Reply-ordered conversations of ``messages`` (``msg_id``, any ordered type, and ``text``).
 
     Returns ``msg_id``, ``conversation_id`` (the root's id), ``parent_id``, ``depth``, ``position``
-    in the conversation from 0, and ``own_text``, the text without quotations.
+    in the conversation from 0, and ``own_text``, the text without quotations.  ``common`` chooses how
+    lines are counted, not what is found.
     """
     kind = messages.schema["msg_id"].dataType.simpleString()
     rows = messages.select("msg_id", F.col("text").cast("string").alias("text"))
@@ -126,7 +163,7 @@ def build_conversations(messages: DataFrame) -> DataFrame:
         _parsed_rows, f"msg_id {kind}, own string, known array<binary>, quoted binary, own_lines array<binary>, quoted_lines array<binary>"
     )
     parsed = stored(parsed, "parsed")
-    parents = stored(_parents(parsed), "parents")
+    parents = stored(_parents(parsed, common), "parents")
     ids = parsed.select("msg_id").filter("msg_id is not null").distinct()
     links = ids.join(parents, "msg_id", "left")
     links = links.select("msg_id", F.coalesce("parent_id", "msg_id").alias("root"), F.when(F.col("parent_id").isNull(), 0).otherwise(1).cast("long").alias("depth"))

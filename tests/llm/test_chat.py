@@ -1,5 +1,6 @@
 """Operator 8: quotations of known conversations are followed back."""
 
+import random
 from collections import Counter
 from hashlib import sha256
 
@@ -66,6 +67,34 @@ def test_ties_cycles_repeats_and_nulls(spark):
     assert {r[1] for r in found if r[0] is None} == {None}
 
 
+def test_common_lines_vote_for_all_that_hold_them(spark):
+    rows = [(1, "hi\nregards"), (2, "hi\nb\nregards"), (3, "> b\n> regards\nto 2"), (4, "> hi\n> b\nto 2"), (5, "> hi\n> regards\n> c\nto 1")]
+    for common in (0, 1, 100):
+        found = build_conversations(spark.createDataFrame(rows, "msg_id long, text string"), common).collect()
+        assert {r.msg_id: r.parent_id for r in found} == {1: None, 2: None, 3: 2, 4: 2, 5: 1}
+
+
+def test_a_later_copy_of_the_quotation_does_not_stop_the_vote(spark):
+    rows = [(1, "a\nb\nc"), (2, "> b\n> c\nreply"), (3, "b\nc")]
+    assert {r[0]: r[2] for r in build(spark, rows)} == {1: None, 2: 1, 3: None}
+
+
+@pytest.mark.parametrize("common", [0, 3, 8, 1000])
+def test_votes_match_all_pairs(spark, common):
+    rng = random.Random(common)
+    line = lambda: "abcdefghijklmnop"[min(int(rng.expovariate(0.4)), 15)]
+    lines = {i: [line() for _ in range(rng.randrange(1, 6))] for i in range(40)}
+    quotes = {i: [line() for _ in range(rng.randrange(2, 6))] for i in range(40, 80)}
+    # the last line keeps the quotation from being a whole message
+    rows = [(i, "\n".join(x)) for i, x in lines.items()] + [(i, "\n".join(f"> {y}" for y in [*x, "unknown"])) for i, x in quotes.items()]
+    rows += [(100, "x"), (20, "> a\n> c\n> unknown")]
+    quotes[20] = ["a", "c"]
+    votes = {i: {m: sum(y in held for y in x) for m, held in lines.items() if m < i} for i, x in quotes.items()}
+    best = {i: min(((-n, m) for m, n in v.items() if n), default=(0, None))[1] for i, v in votes.items()}
+    found = build_conversations(spark.createDataFrame(rows, "msg_id long, text string"), common).collect()
+    assert {r.msg_id: r.parent_id for r in found if r.msg_id in best} == best
+
+
 def test_long_chain(spark):
     rows = [(0, "turn 0")] + [(i, f"> turn {i - 1}\nturn {i}") for i in range(1, 40)]
     assert {(r[0], r[1], r[3], r[4]) for r in build(spark, rows)} == {(i, 0, i, i) for i in range(40)}
