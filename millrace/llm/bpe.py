@@ -131,10 +131,15 @@ class ForcedBoundaryEncoder:
         return self.whole.normalizer.normalize_str(text).split(" ") if self.whole.normalizer else text.split(" ")
 
     def _split(self, text: str) -> list[str]:
-        """Fragments of a text; special tokens are fragments of their own."""
+        """Fragments of a text; special tokens are fragments of their own, behind a blank as their mark.
+
+        Plain fragments have no blank.  Normalising can make one spell a special token, as lower
+        case does, but the library looks for these in the raw text only.
+        """
         if self.cut is None or not any(map(text.__contains__, self.special)):
             return self._plain(text)
-        parts = [[part] if part in self.special else self._plain(part) for part in self.cut.split(text)]
+        # every other part is what the expression found
+        parts = [[" " + part] if i % 2 else self._plain(part) for i, part in enumerate(self.cut.split(text))]
         return [f for part in parts for f in part]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
@@ -153,8 +158,7 @@ class ForcedBoundaryEncoder:
         return [b"".join([memo[f] for f in part]) for part in split]
 
     def _fresh_memo(self) -> dict[str, bytes]:
-        # no fragment of plain text spells a special token: those are taken out first
-        return {"": b"", **self.special}
+        return {"": b"", **{" " + token: ids for token, ids in self.special.items()}}
 
 
 def _encode_rows(content):

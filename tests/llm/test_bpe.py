@@ -45,6 +45,13 @@ def test_odd_texts_and_a_small_memo(library):
             assert memoryview(ids).cast("i").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_in_other_case_are_plain_text(library):
+    encoder = ForcedBoundaryEncoder(open(word_bpe_path(), encoding="utf-8").read())
+    texts = ["<|EndOfText|>", "a <|ENDOFTEXT|> b", "<|STARTOFTEXT|> <|startoftext|> <|StartOfText|>", "<|endoftext|><|EndOfText|>", "<|endoftext|> <|endoftext|>"]
+    for text, ids in zip(texts, encoder.encode_batch(texts), strict=True):
+        assert memoryview(ids).cast("i").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_forced_boundaries_are_in_no_token():
     assert joined_pairs(["ab", "abc</w>", "d</w>"], "</w>") == {"ab", "bc"}
 
