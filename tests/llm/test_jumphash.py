@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm.jumphash import MULTIPLIER, jump_shard, shard_rows
+from millrace.llm.jumphash import MULTIPLIER, jump_shard, shard_rows, write_shards
 
 
 def jump(key, shards):
@@ -40,6 +40,27 @@ def test_rows(cases, case, range_rows):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_whole_rows_come_back(awkward):
+    docs, _ = awkward
+    found = shard_rows(docs)
+    assert found.columns[: len(docs.columns)] == docs.columns
+    assert sorted(map(repr, found.select(docs.columns).collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_rows_that_differ_in_other_columns_only(spark):
+    rows = [(1, "a", ["x, y"], None), (1, "a", ["x", "y"], None), (1, "a", ["x", "y"], b"\xff"), (1, "a", ["x", "y"], b"\xfe"), (1, "a", None, None), (1, "a", None, None)]
+    found = shard_rows(spark.createDataFrame(rows, "doc_id long, text string, tags array<string>, raw binary")).collect()
+    assert Counter((r.doc_id, r.text, repr(r.tags), r.raw and bytes(r.raw)) for r in found) == Counter((a, b, repr(c), d) for a, b, c, d in rows)
+    assert sorted(r.slot for r in found) == [*range(6)]
+
+
+def test_written_by_shard(spark, awkward, tmp_path):
+    docs, rows = awkward
+    write_shards(docs, f"{tmp_path}/out")
+    found = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text, r.shard) for r in found) == Counter((i, t, jump(i, 8)) for i, t in rows)
+
+
 def test_empty(empty):
     assert shard_rows(empty).collect() == []
 
