@@ -1,4 +1,4 @@
-"""Operator 1: remove passages that occur more than once, located by Aho-Corasick automata.
+"""Operator 1: remove passages that occur more than once, checked again by Aho-Corasick automata.
 
 1. *Anchors.*  In each window of 35 words the smallest 8-word hash is its anchor.  The choice
    depends on the window's words alone, so equal windows have equal anchors, and one row per
@@ -7,9 +7,9 @@
    of text all agree settles them as recurring.  Only for the rest are single windows counted,
    by a 128-bit key.
 3. *Locating.*  Documents are dealt over blocks of about 1 MB by a hash of their content.  The
-   recurring passages of a block are compiled into one automaton over word numbers, and all
-   documents of the block are streamed through it.  The automata are sharded by block and not
-   by pattern, since with pattern shards every document would have to visit every shard.
+   window keys locate the recurring passages of a block.  They are compiled into one automaton
+   over word numbers, and all documents of the block are streamed through it; as it is built from
+   the same block's passages, it checks what the keys found and finds nothing more.
 
 Counts are summed per block before they are shuffled, so the rows of one very common passage
 are at most as many as the blocks; no task ever holds all its occurrences.
