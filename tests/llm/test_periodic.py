@@ -1,0 +1,127 @@
+"""Operator 12 against all periods tried one by one."""
+
+import random
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from conftest_llm import same
+
+from millrace.llm.blocks import WordBlock
+from millrace.llm.periodic import _spelled_out, collapse_runs, find_runs, op12_periodic_runs
+
+
+def words_of(text):
+    return (text or "").encode().split()
+
+
+def brute_force(words, least=12):
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted(((a, b, q) for (a, b), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, runs):
+    gone = {i for a, b, q in runs for i in range(a + q, b)}
+    return b" ".join(w for i, w in enumerate(words) if i not in gone).decode()
+
+
+def repeats(rng):
+    pick = lambda n, k: [str(rng.randrange(k)) for _ in range(n)]
+    kind, k = rng.randrange(5), rng.choice([1, 2, 3, 9])
+    if kind == 0:
+        return pick(rng.randrange(150), k)
+    if kind == 1:
+        unit = pick(rng.randrange(1, 25), k)
+        return pick(5, 9) + unit * rng.randrange(1, 9) + unit[: rng.randrange(len(unit))] + pick(5, 9)
+    if kind == 2:
+        inner = pick(rng.randrange(1, 4), 2) * 7
+        return (inner + pick(2, 5)) * 4
+    word = "a"
+    rule = [{"a": "ab", "b": "a"}, {"a": "ab", "b": "ba"}][kind - 3]  # Fibonacci words, Thue-Morse words
+    for _ in range(rng.randrange(9)):
+        word = "".join(map(rule.get, word))
+    return list(word)
+
+
+@pytest.mark.parametrize("seed", range(20))
+@pytest.mark.parametrize("least", [2, 5, 12])
+def test_repetitive_texts(seed, least):
+    rng = random.Random(seed)
+    texts = [" ".join(repeats(rng)) for _ in range(30)] + ["", None]
+    expected = [brute_force(words_of(t), least) for t in texts]
+    assert find_runs(WordBlock(texts), least) == expected
+    assert any(expected)
+
+
+def test_hashes_that_do_not_tell_words_apart():
+    """Thue-Morse words of this length collide in any polynomial hash modulo 2**64."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate({97: "b", 98: "a"})
+    other = word.translate({97: "b", 98: "a"})
+    block = WordBlock([" ".join(word + other), " ".join("x y z".split() * 9)])
+    assert block.spans(np.array([0]), 4096) == block.spans(np.array([4096]), 4096)
+    found = find_runs(block)
+    assert found == [sorted(_spelled_out(block.ids[:8192], 12), key=lambda r: (r[0], r[2])), [(0, 27, 3)]]
+
+
+def digest(df):
+    return [(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed_text) for r in df.collect()]
+
+
+def expected_rows(rows):
+    out = []
+    for doc_id, text in rows:
+        words = words_of(text)
+        runs = brute_force(words)
+        out.append((doc_id, len(words), [(a, b - a, q) for a, b, q in runs], collapsed(words, runs)))
+    return out
+
+
+def test_awkward(spark, awkward, empty):
+    docs, rows = awkward
+    rows = [r for r in rows if len(r[1] or "") < 50_000]
+    found = [r for r in digest(collapse_runs(docs)) if r[1] < 10_000]
+    same(found, expected_rows(rows))
+    assert collapse_runs(empty).collect() == []
+
+
+def test_query(spark, documents, tmp_path):
+    from conftest_llm import SF
+
+    out = []
+    for doc_id, text in documents:
+        words = words_of(text)
+        h, n = zlib.crc32(str(doc_id).encode()), len(words)
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = brute_force(words)
+        best = max(runs, key=lambda r: (r[1] - r[0], -r[0], -r[2]), default=None)
+        row = (best[0], best[1] - best[0], best[2], 1000 * (best[1] - best[0]) // best[2]) if best else (None,) * 4
+        listed = "".join(f"{a},{b - a},{q}\n" for a, b, q in runs)
+        out.append((doc_id, len(runs), *row, *[sha256(x.encode()).hexdigest() for x in (listed, collapsed(words, runs))]))
+    same([tuple(r) for r in op12_periodic_runs(spark, SF).collect()], out)
+
+
+def test_null_and_odd_ids_in_the_query(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(40))
+    ids = [None, None, 0, -4, *range(1, 60)]
+    docs = spark.createDataFrame([(i, t, "x") for i in ids for t in (text, None, "")], "doc_id long, text string, n_runs string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = op12_periodic_runs(spark, str(tmp_path)).collect()
+    assert len(found) == 3 * len(ids)
+    assert all(r.n_runs == 0 for r in found if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 10)
+    assert any(r.n_runs for r in found)
