@@ -70,7 +70,7 @@ class WordBlock:
         numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
         self.ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
         digests = b"".join(map(xxhash.xxh3_128_digest, numbers))
-        self._digests = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+        self.digests = np.frombuffer(digests, np.uint64).reshape(-1, 2)
         self._lanes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _lane(self, lane: int):
@@ -80,7 +80,7 @@ class WordBlock:
             up, down = (np.full(n, b % 2**64, np.uint64) for b in (base, pow(base, -1, 2**64)))
             up[0] = down[0] = 1
             up, down = np.cumprod(up), np.cumprod(down)
-            terms = self._digests[self.ids, lane] * down[:-1]
+            terms = self.digests[self.ids, lane] * down[:-1]
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms)))
             self._lanes[lane] = up, sums
         return self._lanes[lane]

@@ -10,6 +10,7 @@ from millrace.llm.hardneg import OP11_SQL, op11_hard_negatives
 from millrace.llm.jumphash import op3_jump_sharding
 from millrace.llm.ledger import OP9_SQL, op9_quality_rules
 from millrace.llm.lineruns import OP4_SQL, op4_line_dedup
+from millrace.llm.lmscore import op13_lm_scoring
 from millrace.llm.oracles import OP1_SQL, OP2_SQL, OP5_SQL, OP8_SQL
 from millrace.llm.periodic import OP12_SQL, op12_periodic_runs
 from millrace.llm.recount import op10_token_counts
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_hard_negatives,
         op12_periodic_runs,
+        op13_lm_scoring,
     )
 }
 

@@ -88,7 +88,7 @@ def test_one_of_each_group_stays(spark):
 def test_registry():
     assert QUERIES.keys() | {"pipeline"} <= registry.queries().keys()
     assert ORACLES.keys() <= registry.oracle_sql().keys()
-    assert {f"op{n}_" for n in range(1, 13)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "bpe_tokens"]
 
 
@@ -115,6 +115,7 @@ def test_queries_return_the_contract(spark):
         "op7": "doc_id:bigint,held_out:boolean,score:double,predicted:int",
         "op9": "doc_id:bigint,n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,base_failed:boolean,kept:boolean",
         "op12": "doc_id:bigint,n_runs:bigint,start:bigint,length:bigint,period:bigint,exponent_milli:bigint,runs_sha256:string,collapsed_sha256:string",
+        "op13": "doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,train_tokens:bigint,base_score:double,score:double",
     }
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     kinds = defaultdict(str)
