@@ -3,6 +3,7 @@
 from millrace.functions.routing import ROUTES
 from millrace.functions.synth import DRAW_DIGITS
 from millrace.operators import generate as g
+from millrace.plans import temporal
 from millrace.plans.queries import SEED
 
 RAW = """
@@ -392,4 +393,4 @@ SELECT u.country, s.category, count(*) AS orders,
 FROM clean s JOIN users u ON s.customer_id = u.user_id
 WHERE s.revenue >= 1000 AND u.is_active
 GROUP BY u.country, s.category""",
-}
+} | temporal.ORACLES

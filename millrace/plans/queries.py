@@ -9,7 +9,7 @@ from millrace import schemas
 from millrace.functions import casts
 from millrace.functions.routing import landing_prefix
 from millrace.operators import cdc, clean, generate, marts, metrics
-from millrace.plans import tables
+from millrace.plans import tables, temporal
 from millrace.plans.pipeline import run_pipeline
 from millrace.plans.simple_etl import run_simple_etl
 from millrace.plans.tables import Landing
@@ -477,4 +477,4 @@ QUERIES = {
         m3_daily_region,
         q1_sql,
     )
-}
+} | temporal.QUERIES
