@@ -8,15 +8,19 @@ from millrace.llm.blocks import ship
 
 ship(__name__)
 
-# Probabilities are kept as their negative decimal logarithm in steps of 1/STEP, in 15 bits.
-STEP = 2048
-MOST = (1 << 15) - 1
-# Set where only weights are known and the last word's own probability is still to be added.
-OPEN = 1 << 15
+# Logarithms to the base ten are kept in steps of 1/STEP, from HIGH downwards, in 16 bits.
+STEP = 1024
+HIGH = 12
+# Not a logarithm: the pair of words was not seen.
+OPEN = (1 << 16) - 1
 
 
-def quantised(probability: np.ndarray) -> np.ndarray:
-    return np.minimum(np.rint(-np.log10(probability) * STEP), MOST).astype(np.uint16)
+def quantised(value: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint((HIGH - np.log10(value)) * STEP), 0, OPEN - 1).astype(np.uint16)
+
+
+def logarithm(code: np.ndarray) -> np.ndarray:
+    return HIGH - code / STEP
 
 
 class Sequence:
@@ -106,39 +110,49 @@ class Sequence:
         return out
 
 
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each distinct key, in order, the place of one that is equal; and each key's number among them."""
+    order = np.argsort(key)
+    found = key[order]
+    new = np.append(True, found[1:] != found[:-1])[: len(key)]
+    of = np.empty(len(key), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
 class Trie:
     """Trigrams grouped by their middle word: successors, contexts before it, and successors in contexts.
 
-    A middle word's successors are its bigrams.  In a context, the word before the middle one, a successor is named
-    by its place among those of the middle word alone, so its number is below how many there are.  Levels are
+    A middle word's successors are its bigrams, each with its smoothed probability and the weight that it has
+    as a context itself.  In a context, the word before the middle one, a successor is named by its place among
+    those of the middle word alone, so its number is below how many there are.  Levels are
     Elias-Fano sequences with pointers per middle word; a code for each entry stands beside them.
     """
 
     SEQUENCES = ("words", "middles", "successors", "successor_at", "contexts", "context_at", "trigrams", "trigram_at")
-    CODES = ("middle_weight", "successor_code", "context_weight", "trigram_code")
+    CODES = ("successor_code", "successor_weight", "trigram_code")
 
     @classmethod
-    def build(cls, first, middle, last, count, own, totals, prior2: float, prior3: float) -> bytes:
+    def build(cls, first, middle, last, count, own, total, prior2: float, prior3: float) -> bytes:
         """The levels of the distinct trigrams (``first``, ``middle``, ``last``), each ``count`` times there.
 
-        ``own`` is the last word's own probability.  ``totals`` has arrays of contexts (first, middle) and how
-        often each is there, where it is more than the trigrams here show.
+        ``own`` is the last word's own probability, ``total`` how often the middle word is a context.  All
+        trigrams of a pair of middle and last words must be here.  A trigram's code is of its probability
+        divided by the weight of its context, which the pair of its first two words holds.
         """
-        words = np.unique(np.concatenate([first, middle, last, totals[0], totals[1]]))
+        words = np.unique(np.concatenate([np.unique(x) for x in (first, middle, last)]))
         w = max(len(words), 1)
-        first, middle, last, before, within = (np.searchsorted(words, x) for x in (first, middle, last, totals[0], totals[1]))
-        middles = np.unique(np.concatenate([middle, within]))
-        middle, within = np.searchsorted(middles, middle), np.searchsorted(middles, within)
+        first, middle, last = (np.searchsorted(words, x) for x in (first, middle, last))
+        middles = np.unique(middle)
+        middle = np.searchsorted(middles, middle)
         m = len(middles)
-        successors, at, of = np.unique(middle * w + last, return_index=True, return_inverse=True)
-        contexts, of_context = np.unique(np.concatenate([middle * w + first, within * w + before]), return_inverse=True)
+        pair, of = grouped(middle * w + last)
+        successors = (middle * w + last)[pair]
+        context, of_context = grouped(middle * w + first)
+        contexts = (middle * w + first)[context]
         # counts are whole numbers far below 2**53, so these sums are exact
-        context_count = np.bincount(of_context[: len(first)], count, len(contexts))
-        context_count[of_context[len(first) :]] = totals[2]
-        middle_count = np.bincount(contexts // w, context_count, m)
-        p2 = (np.bincount(of, count, len(successors)) + prior2 * own[at]) / (middle_count[successors // w] + prior2)
-        of_context = of_context[: len(first)]
-        p3 = (count + prior3 * p2[of]) / (context_count[of_context] + prior3)
+        together = np.bincount(of, count, len(pair))
+        p2 = (together + prior2 * own[pair]) / (total[pair] + prior2)
         edges = np.arange(m + 1) * w
         successor_at, context_at = np.searchsorted(successors, edges), np.searchsorted(contexts, edges)
         wide = np.diff(successor_at)
@@ -156,7 +170,7 @@ class Trie:
             "trigram_at": (trigram_at, int(trigram_at[-1]) + 1),
         }
         arrays = [a for name in cls.SEQUENCES for a in Sequence.encode(*sequences[name]).arrays()]
-        arrays += [quantised(x) for x in (prior2 / (middle_count + prior2), p2, prior3 / (context_count + prior3), p3[order])]
+        arrays += [quantised(x) for x in (p2, prior3 / (together + prior3), (p2[of] + count / prior3)[order])]
         # every array begins at a multiple of eight bytes
         sizes = np.array([len(arrays), *(a.nbytes for a in arrays)], np.int64)
         return b"".join([sizes.tobytes(), *(a.tobytes() + bytes(-a.nbytes % 8) for a in arrays)])
@@ -175,25 +189,30 @@ class Trie:
         for name, view in zip(self.CODES, views[4 * len(self.SEQUENCES) :], strict=True):
             setattr(self, name, view)
 
-    def codes(self, first: np.ndarray, middle: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Quantised probability of every ``last`` after ``first`` and ``middle``; with OPEN set, only the weights of the ways down."""
+    def codes(self, first: np.ndarray, middle: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every trigram the code of its probability over its context's weight, and that of its last pair's weight.
+
+        Both are OPEN where the last pair was not seen; a trigram that was not has the pair's probability.
+        """
         w = self.middles.universe
-        m = self.middles.find(self.words.find(middle))
-        known = np.flatnonzero(m >= 0)
-        total = np.zeros(len(m), np.int64)
-        open_ = np.ones(len(m), bool)
-        m = m[known]
-        r1, r3 = self.words.find(first[known]), self.words.find(last[known])
-        j = self.successors.find(np.where(r3 >= 0, m * w + r3, -1))
-        k = self.contexts.find(np.where(r1 >= 0, m * w + r1, -1))
-        code = np.where(k >= 0, self.context_weight[k] if len(self.context_weight) else 0, 0).astype(np.int64)
-        code += np.where(j >= 0, self.successor_code[j] if len(self.successor_code) else 0, self.middle_weight[m])
-        both = np.flatnonzero((j >= 0) & (k >= 0))
-        mb, jb, kb = m[both], j[both], k[both]
-        low = self.successor_at[mb]
-        wide = self.successor_at[mb + 1] - low
-        t = self.trigrams.find(self.trigram_at[mb] + (kb - self.context_at[mb]) * wide + jb - low)
-        code[both[t >= 0]] = self.trigram_code[t[t >= 0]]
-        total[known] = code
-        open_[known] = j < 0
-        return np.minimum(total, MOST).astype(np.uint16) | np.where(open_, OPEN, 0).astype(np.uint16)
+        code, weight = (np.full(len(first), OPEN, np.uint16) for _ in range(2))
+        # words are looked up once each, and so are a middle word's pointers
+        (a, of1), (b, of2), (c, of3) = grouped(first), grouped(middle), grouped(last)
+        r1, m, r3 = self.words.find(first[a]), self.middles.find(self.words.find(middle[b])), self.words.find(last[c])
+        here = np.maximum(m, 0)
+        if not self.middles.size:
+            return code, weight
+        starts, wide = self.successor_at[here], self.successor_at[here + 1] - self.successor_at[here]
+        contexts, base = self.context_at[here], self.trigram_at[here]
+        known = np.flatnonzero((m[of2] >= 0) & (r3[of3] >= 0))
+        j = self.successors.find(m[of2[known]] * w + r3[of3[known]])
+        known, j = known[j >= 0], j[j >= 0]
+        code[known], weight[known] = self.successor_code[j], self.successor_weight[j]
+        named = r1[of1[known]] >= 0
+        known, j = known[named], j[named]
+        k = self.contexts.find(m[of2[known]] * w + r1[of1[known]])
+        known, j, k = known[k >= 0], j[k >= 0], k[k >= 0]
+        mid = of2[known]
+        t = self.trigrams.find(base[mid] + (k - contexts[mid]) * wide[mid] + j - starts[mid])
+        code[known[t >= 0]] = self.trigram_code[t[t >= 0]]
+        return code, weight

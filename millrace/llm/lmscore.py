@@ -1,20 +1,23 @@
 """Operator 13: log probabilities of documents under a trigram model in Elias-Fano tries.
 
-1. *Words.*  Tasks cut the documents into pieces of about 4 MB and write each with its own word numbers; the
-   counts of all pieces' words are summed by a 128-bit key, and words that training documents hold get gapless ids.
+1. *Words.*  Tasks cut the documents into pieces of about 8 MB and write each with word numbers of its own, in a
+   table bucketed by piece.  The pieces ask for their words: buckets of words by a hash sum the counts of
+   all pieces, give ids to those that training documents hold, and answer with ids and counts.
 2. *Tries.*  Every piece sends its distinct trigrams, each with its count in training documents, to the shard of
-   the middle word.  A middle word that is there more than ``split`` times is dealt by the successor over
-   several shards; what its contexts are there in all is counted beforehand and sent to each of them.
-   So a shard holds whatever it needs for the probabilities of its trigrams.
-3. *Scoring.*  A shard builds its trie from the counted trigrams and looks up all that the pieces sent, through
-   the trie's flat levels.  The codes go back to the pieces, which add them up by document.
+   the middle word; one that is there more than ``split`` times is dealt by its successors over several
+   shards.  A shard builds its trie from the trigrams that were counted, and looks up all that the
+   pieces sent through the trie's flat levels.
+3. *Scoring.*  The codes go back to the pieces, which add them up by document.  A pair of words comes back with the
+   weight it has as the context of the next word, as in a backoff model, so no shard needs to know its contexts' totals.
 
 The probabilities are hierarchical Dirichlet estimates: with prior weights q2 and q3,
 p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)), p(w|v) = (c(vw) + q2 p(w)) / (c(v) + q2),
 p(w|uv) = (c(uvw) + q3 p(w|v)) / (c(uv) + q3).  They sum to one over all words and one unknown word;
-logarithms are rounded to steps of 1/2048 where they come from a trie.  Two begin marks
+logarithms that come from a trie are rounded to steps of 1/1024.  Two begin marks
 stand before each document, in contexts only.
 
+All trigrams of one pair of middle and last words meet in one shard, one row for each piece and first word.
+
 Defined cases: null, empty and blank texts are the end token alone; a null ``held_out`` counts as false; repeated
 rows and null ids are documents of their own; without training documents all probabilities are 1, for the unknown
 word is the only one; an empty table gives no rows; other columns are ignored.
@@ -22,6 +25,8 @@ word is the only one; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,23 +34,46 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm.blocks import WordBlock, mixed, pieces, ship
 from millrace.llm.components import stored
-from millrace.llm.eliasfano import MOST, OPEN, STEP, Trie
-from millrace.llm.ordering import numbered
+from millrace.llm.eliasfano import OPEN, Trie, grouped, logarithm
+from millrace.session import scratch_dir
 
 ship(__name__)
+ship("millrace.llm.eliasfano")
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 8 << 20
+# Tokens of the corpus for each shard of trigrams, and for each bucket of words.
 SHARD_TOKENS = 500_000
+WORD_TOKENS = 4_000_000
 SPLIT = 250_000
 PRIOR2 = 500.0
 PRIOR3 = 5.0
-# Both lanes of the end token's key; words never have a blank in them.
-END = (-1, -1)
-# Bytes in which ids and counts are sent.
+# Bytes of a word's key: a hash of 80 bits.
+KEY = 10
+# Key of the end token; the keys of words are hashes of words without blanks.
+END = b"\xff" * KEY
+# Bytes in which numbers are sent.
 WIDTH = 6
 
 
-def _piece_rows(piece_bytes: int):
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed: the high ones are mostly alike."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    wide = np.zeros((n, 8), np.uint8)
+    if n:
+        wide[:, :WIDTH] = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * WIDTH), np.uint8).reshape(WIDTH, n).T
+    return wide.view("<u8").ravel().astype(np.int64)
+
+
+def _joined(parts) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *map(_unpacked, parts)])
+
+
+def _piece_rows(piece_bytes: int, buckets: int):
     one_row = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     def run(batches):
@@ -53,175 +81,181 @@ def _piece_rows(piece_bytes: int):
             for part in pieces(batch, size=piece_bytes):
                 block = WordBlock(part.column("text").to_pylist(), lower=True)
                 size = block.counts + 1
-                ends = np.cumsum(size) - 1
                 inner = np.ones(int(size.sum()), bool)
-                inner[ends] = False
-                tokens = np.full(len(inner), len(block.digests), np.uint32)
+                inner[np.cumsum(size) - 1] = False
+                tokens = np.full(len(inner), len(block.digests), np.int64)
                 tokens[inner] = block.ids
-                training = ~part.column("held_out").to_numpy(zero_copy_only=False)
-                n = np.bincount(tokens[np.repeat(training, size)], minlength=len(block.digests) + 1)
-                keys = np.concatenate([block.digests.view(np.int64), np.array([END], np.int64)])
-                columns = {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "size": size, "k1": keys[:, 0].copy(), "k2": keys[:, 1].copy(), "n": n}
-                arrays = [one_row(pa.array(c)) for c in columns.values()]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array([tokens.tobytes()], pa.binary())], [*columns, "tokens"])
+                training = np.repeat(~part.column("held_out").to_numpy(zero_copy_only=False), size)
+                keys = np.concatenate([block.digests.view(np.uint8).reshape(-1, 16)[:, :KEY], np.frombuffer(END, np.uint8)[None]])
+                bucket = np.ascontiguousarray(keys[:, :8]).view("<u8").ravel() % np.uint64(buckets)
+                often = np.bincount(tokens, minlength=len(keys))
+                # by bucket, and frequent words first: their numbers are small
+                order = np.lexsort((-often, bucket))
+                number = np.empty(len(order), np.int64)
+                number[order] = np.arange(len(order))
+                tokens = number[tokens]
+                n = np.bincount(tokens[training], minlength=len(keys))
+                held = np.bincount(bucket.astype(np.int64), minlength=buckets)
+                lists = [one_row(pa.array(x)) for x in (part.column("doc_id"), part.column("held_out"), size, held)]
+                data = [pa.array([x], pa.binary()) for x in (_packed(tokens), keys[order].tobytes(), _packed(n))]
+                yield pa.RecordBatch.from_arrays([*lists, *data], ["doc_id", "held_out", "size", "held", "tokens", "keys", "n"])
 
     return run
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Bytes of equal weight together: high ones are mostly alike, which the shuffle's compression uses."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].T).tobytes()
+def _asked_words(batches):
+    """A row for each bucket that the piece has words of."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            ends, n = np.cumsum(row["held"]).tolist(), _unpacked(row["n"])
+            cuts = [(b, e - k, e) for b, (k, e) in enumerate(zip(row["held"], ends, strict=True)) if k]
+            columns = [
+                pa.array([b for b, _, _ in cuts], pa.int32()), pa.array([row["piece"]] * len(cuts), pa.int64()),
+                pa.array([row["keys"][a * KEY : e * KEY] for _, a, e in cuts], pa.binary()), pa.array([_packed(n[a:e]) for _, a, e in cuts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "piece", "keys", "n"])
+
+
+WORDS = "piece long, part int, ids binary, counts binary, words long, tokens long, documents long"
+
 
+def _named_words(buckets: int):
+    """Ids and counts of the words that every piece asked for; and a row without a piece, of the bucket's totals."""
 
-def _unpacked(parts) -> np.ndarray:
-    out = []
-    for data in parts:
-        wide = np.zeros((len(data) // WIDTH, 8), np.uint8)
-        wide[:, :WIDTH] = np.frombuffer(data, np.uint8).reshape(WIDTH, -1).T
-        out.append(wide.view("<u8").ravel().astype(np.int64))
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("piece")
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, KEY)
+        high = np.ascontiguousarray(keys[:, :8]).view("<u8").ravel()
+        low = np.ascontiguousarray(keys[:, 8:]).view("<u2").ravel()
+        order = np.lexsort((low, high))
+        new = np.append(True, (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0))[: len(order)]
+        of = np.empty(len(order), np.int64)
+        of[order] = np.cumsum(new) - 1
+        asked = [_unpacked(x) for x in table["n"].to_pylist()]
+        count = np.bincount(of, np.concatenate(asked)).astype(np.int64)
+        rank = np.empty(len(count), np.int64)
+        rank[np.argsort(-count, kind="stable")] = np.arange(len(count))
+        bucket = table["bucket"][0].as_py()
+        ids = np.where(count > 0, rank * buckets + bucket, -1)
+        ends = (keys == np.frombuffer(END, np.uint8)).all(1)
+        documents = int(count[of[ends][0]]) if ends.any() else 0
+        edge, rows = 0, []
+        for piece, n in zip(table["piece"].to_pylist(), asked, strict=True):
+            mine = of[edge : edge + len(n)]
+            edge += len(n)
+            rows.append((piece, bucket, _packed(ids[mine] + 1), _packed(count[mine]), 0, 0, 0))
+        rows.append((-1, bucket, b"", b"", int((count > 0).sum()), int(count.sum()), documents))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["piece", "part", "ids", "counts", "words", "tokens", "documents"]
+        return pa.table([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    return run
 
 
 class _Model:
-    """What every task knows: totals of the training tokens, ids beyond the words', and where words are dealt."""
+    """What every task knows: totals of the training tokens, ids beyond the words', and where trigrams are dealt."""
 
-    def __init__(self, tokens: int, words: int, documents: int, shards: int, split: int, prior2: float, prior3: float):
+    def __init__(self, tokens: int, words: int, documents: int, ids: int, shards: int, split: int, prior2: float, prior3: float):
         self.tokens, self.words, self.documents = tokens, words, documents
-        self.begin, self.unknown = words, words + 1
+        self.begin, self.unknown = ids, ids + 1
         self.shards, self.split, self.prior2, self.prior3 = shards, split, prior2, prior3
 
     def own(self, count: np.ndarray) -> np.ndarray:
         return (count + 0.1) / (self.tokens + 0.1 * (self.words + 1))
 
-    def parts(self, count: np.ndarray) -> np.ndarray:
-        return 1 + count // self.split
-
-    def shard(self, middle: np.ndarray, part: np.ndarray) -> np.ndarray:
-        key = mixed(middle.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64))
+    def shard(self, middle: np.ndarray, middle_count: np.ndarray, last: np.ndarray) -> np.ndarray:
+        parts = (1 + middle_count // self.split).astype(np.uint64)
+        part = mixed(last.astype(np.uint64) + np.uint64(1)) % parts
+        key = mixed(middle.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part)
         return (key % np.uint64(self.shards)).astype(np.int64)
 
-    def part(self, last: np.ndarray, parts: np.ndarray) -> np.ndarray:
-        return (mixed(last.astype(np.uint64) + np.uint64(1)) % parts.astype(np.uint64)).astype(np.int64)
-
 
 class _Piece:
     """A piece's distinct trigrams by shard; ``of`` has each token's, in the piece's order of tokens."""
 
-    def __init__(self, row: dict, model: _Model):
-        self.row, self.model = row, model
-        local = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
-        ids, counts = np.array(row["ids"], np.int64), np.array(row["counts"], np.int64)
+    def __init__(self, row: dict, words: pa.Table, model: _Model):
+        self.row = row
+        words = words.sort_by("part")
+        ids, counts = _joined(words["ids"].to_pylist()) - 1, _joined(words["counts"].to_pylist())
+        local = _unpacked(row["tokens"])
         self.size = np.array(row["size"], np.int64)
         self.count = counts[local]
-        ids = np.append(np.where(ids < 0, model.unknown, ids), model.begin)
+        # words by id; all unknown ones are one
+        ids = np.concatenate([np.where(ids < 0, model.unknown, ids), [model.begin]])
         counts = np.append(counts, model.documents)
+        at, rank = grouped(ids)
+        ids, counts, local, begin = ids[at], counts[at], rank[local], rank[-1]
         k, start = len(ids), np.repeat(np.cumsum(self.size) - self.size, self.size)
         place = np.arange(len(local))
-        middle = np.where(place - 1 >= start, np.roll(local, 1), k - 1)
-        first = np.where(place - 2 >= start, np.roll(local, 2), k - 1)
-        _, pair = np.unique(middle * k + local, return_inverse=True)
-        _, at, of = np.unique(pair * k + first, return_index=True, return_inverse=True)
+        middle = np.where(place - 1 >= start, np.roll(local, 1), begin)
+        first = np.where(place - 2 >= start, np.roll(local, 2), begin)
+        pair = middle * k + local
+        if k >= 1 << 21:
+            pair = grouped(pair)[1]
+        at, of = grouped(pair * k + first)
         self.first, self.middle, self.last = ids[first[at]], ids[middle[at]], ids[local[at]]
-        self.middle_count, self.last_count = counts[middle[at]], counts[local[at]]
+        self.total, self.last_count = counts[middle[at]], counts[local[at]]
         held_out = np.array([bool(x) for x in row["held_out"]])
         self.n = np.bincount(of[np.repeat(~held_out, self.size)], minlength=len(at))
-        parts = model.parts(self.middle_count)
-        shard = model.shard(self.middle, model.part(self.last, parts))
-        # nothing follows a word that training documents lack
-        shard[self.middle == model.unknown] = model.shards
+        shard = model.shard(self.middle, self.total, self.last)
+        # nothing follows a word that training documents lack, and they have no pair with such a word
+        shard[(self.middle == model.unknown) | (self.last == model.unknown)] = model.shards
         order = np.argsort(shard, kind="stable")
-        self.of = np.empty(len(order), np.int64)
-        self.of[order] = np.arange(len(order))
-        self.of = self.of[of]
-        for name in ("first", "middle", "last", "middle_count", "last_count", "n"):
+        new = np.empty(len(order), np.int64)
+        new[order] = np.arange(len(order))
+        self.of = new[of]
+        for name in PARTS:
             setattr(self, name, getattr(self, name)[order])
         self.shard = shard[order]
-        self.asked = int(np.searchsorted(self.shard, model.shards))
 
-    def by_shard(self):
-        edges = np.append(np.flatnonzero(np.diff(self.shard[: self.asked], prepend=-1)), self.asked)
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            yield int(self.shard[a]), slice(a, b)
+    def by_shard(self, shards: int):
+        asked = self.shard[: np.searchsorted(self.shard, shards)]
+        edges = np.append(np.flatnonzero(np.diff(asked, prepend=-1)), len(asked)).tolist()
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield int(asked[a]), slice(a, b)
 
 
-PARTS = ("first", "middle", "last", "n", "last_count")
+PARTS = ("first", "middle", "last", "n", "total", "last_count")
 SENT = "shard int, piece long, " + ", ".join(f"{x} binary" for x in PARTS)
 
 
-def _sent_rows(model: _Model):
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                piece = _Piece(row, model)
-                found = list(piece.by_shard())
-                if not found:
-                    continue
-                columns = [pa.array([s for s, _ in found], pa.int32()), pa.array([row["piece"]] * len(found), pa.int64())]
-                columns += [pa.array([_packed(getattr(piece, name)[cut]) for _, cut in found], pa.binary()) for name in PARTS]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "piece", *PARTS])
-
-    return run
+def _sent(model: _Model):
+    schema = pa.schema([("shard", pa.int32()), ("piece", pa.int64()), *[(x, pa.binary()) for x in PARTS]])
 
-
-def _split_contexts(model: _Model):
-    """Counts of the contexts whose middle word is dealt over several shards, per piece."""
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                piece = _Piece(batch.slice(i, 1).to_pylist()[0], model)
-                wide = np.flatnonzero((model.parts(piece.middle_count) > 1) & (piece.n > 0))
-                pairs, at, of = np.unique(piece.middle[wide] * (model.unknown + 1) + piece.first[wide], return_index=True, return_inverse=True)
-                n = np.bincount(of, piece.n[wide], len(pairs)).astype(np.int64)
-                columns = [piece.first[wide[at]], piece.middle[wide[at]], piece.middle_count[wide[at]], n]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["first", "middle", "middle_count", "n"])
+    def run(key, cut: pa.Table, words: pa.Table) -> pa.Table:
+        (row,) = cut.to_pylist()
+        piece = _Piece(row, words, model)
+        found = list(piece.by_shard(model.shards))
+        columns = [[s for s, _ in found], [row["piece"]] * len(found)]
+        columns += [[_packed(getattr(piece, name)[part]) for _, part in found] for name in PARTS]
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, schema.types, strict=True)], schema=schema)
 
     return run
 
 
-def _sent_contexts(model: _Model):
-    """The summed contexts of those words, to each of the words' shards; they ask nothing."""
-
-    def run(batches):
-        for batch in batches:
-            first, middle, count, n = (batch.column(c).to_numpy() for c in ("first", "middle", "middle_count", "n"))
-            parts = model.parts(count)
-            row = np.repeat(np.arange(len(parts)), parts)
-            shard = model.shard(middle[row], np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts))
-            # two parts of a word may have one shard
-            _, at = np.unique(np.stack([shard, row], 1), axis=0, return_index=True)
-            shard, row = shard[at], row[at]
-            for s in np.unique(shard).tolist():
-                own = row[shard == s]
-                packed = [_packed(x[own]) for x in (first, middle)] + [b"", _packed(n[own]), b""]
-                arrays = [pa.array([s], pa.int32()), pa.array([-1], pa.int64()), *[pa.array([x], pa.binary()) for x in packed]]
-                yield pa.RecordBatch.from_arrays(arrays, ["shard", "piece", *PARTS])
-
-    return run
+ANSWERS = "piece long, part int, codes binary, weights binary"
 
 
 def _answers(model: _Model):
-    schema = pa.schema([("piece", pa.int64()), ("shard", pa.int32()), ("codes", pa.binary())])
+    schema = pa.schema([("piece", pa.int64()), ("part", pa.int32()), ("codes", pa.binary()), ("weights", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         # the trie must not depend on the order in which the rows came
-        asked = table.filter(pc.greater_equal(table["piece"], 0)).sort_by("piece")
-        given = table.filter(pc.less(table["piece"], 0))
-        totals = tuple(_unpacked(given[c].to_pylist()) for c in ("first", "middle", "n"))
-        sizes = [len(x) // WIDTH for x in asked["n"].to_pylist()]
-        first, middle, last, n, last_count = (_unpacked(asked[c].to_pylist()) for c in PARTS)
-        known = np.flatnonzero(n)
-        order = known[np.lexsort((first[known], last[known], middle[known]))]
-        new = np.append(True, (np.diff(first[order]) != 0) | (np.diff(last[order]) != 0) | (np.diff(middle[order]) != 0))[: len(order)]
-        at = order[new]
-        count = np.bincount(np.cumsum(new) - 1, n[order], len(at)) if len(at) else np.zeros(0)
-        trie = Trie(Trie.build(first[at], middle[at], last[at], count, model.own(last_count[at]), totals, model.prior2, model.prior3))
-        codes = trie.codes(first, middle, last)
-        ends = np.cumsum(sizes).tolist()
-        answers = [codes[b - k : b].tobytes() for k, b in zip(sizes, ends, strict=True)]
-        shard = pa.array(np.full(len(sizes), table["shard"][0].as_py(), np.int32))
-        return pa.table([asked["piece"], shard, pa.array(answers, pa.binary())], schema=schema)
+        table = table.sort_by("piece")
+        asked = [_unpacked(x) for x in table["n"].to_pylist()]
+        first, middle, last, total, last_count = (_joined(table[c].to_pylist()) for c in PARTS if c != "n")
+        pair = grouped(middle * (model.unknown + 1) + last)[1] if model.unknown < 1 << 31 else np.unique(np.stack([middle, last], 1), axis=0, return_inverse=True)[1].ravel()
+        before = grouped(first)[1]
+        at, of = grouped(pair * (int(before.max()) + 1) + before)
+        count = np.bincount(of, np.concatenate(asked), len(at))
+        seen = at[count > 0]
+        trie = Trie(Trie.build(first[seen], middle[seen], last[seen], count[count > 0], model.own(last_count[seen]), total[seen], model.prior2, model.prior3))
+        codes, weights = (x[of] for x in trie.codes(first[at], middle[at], last[at]))
+        edges = np.cumsum([0, *map(len, asked)]).tolist()
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+        shard = pa.array(np.full(len(asked), table["shard"][0].as_py(), np.int32))
+        return pa.table([table["piece"], shard, cut(codes), cut(weights)], schema=schema)
 
     return run
 
@@ -232,28 +266,47 @@ def _scored(model: _Model):
         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
     ])
 
-    def run(key, encoded: pa.Table, answers: pa.Table) -> pa.Table:
-        (row,) = encoded.to_pylist()
-        piece = _Piece(row, model)
-        own = np.log10(model.own(piece.last_count))
-        codes = np.full(len(own), OPEN, np.int64)
-        found = dict(zip(answers["shard"].to_pylist(), answers["codes"].to_pylist(), strict=True))
-        for shard, cut in piece.by_shard():
-            codes[cut] = np.frombuffer(found[shard], np.uint16)
-        value = (codes & MOST) / -STEP + np.where(codes & OPEN, own, 0)
+    def run(key, cut: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,) = cut.to_pylist()
+        is_word = answers["codes"].is_null()
+        piece = _Piece(row, answers.filter(is_word), model)
+        found = {r["part"]: r for r in answers.filter(pc.invert(is_word)).to_pylist()}
+        codes, weights = (np.full(len(piece.shard), OPEN, np.uint16) for _ in range(2))
+        for shard, part in piece.by_shard(model.shards):
+            codes[part] = np.frombuffer(found[shard]["codes"], np.uint16)
+            weights[part] = np.frombuffer(found[shard]["weights"], np.uint16)
+        # a pair that was not seen: the middle word's weight, and the last one's own probability
+        lower = np.log10(model.prior2 / (piece.total + model.prior2)) + np.log10(model.own(piece.last_count))
+        value = np.where(codes == OPEN, lower, logarithm(codes))[piece.of]
+        weight = np.where(weights == OPEN, 0.0, logarithm(weights))[piece.of]
+        # a token's context is the pair that ends with the token before it
         first = np.cumsum(piece.size) - piece.size
+        context = np.roll(weight, 1)
+        context[first] = np.log10(model.prior3 / (model.documents + model.prior3))
         add = lambda x: np.add.reduceat(x, first)
         return pa.table([
             pa.array(row["doc_id"], pa.int64()), pa.array(row["held_out"]), piece.size, add((piece.count > 0).astype(np.int64)),
-            np.full(len(first), model.tokens), add(np.log10(model.own(piece.count))), add(value[piece.of]),
+            np.full(len(first), model.tokens), add(np.log10(model.own(piece.count))), add(context + value),
         ], schema=schema)
 
     return run
 
 
+def _bucketed(df: DataFrame, column: str) -> DataFrame:
+    """``df`` written in as many buckets as there are shuffle partitions: groups by ``column`` need no shuffle of it."""
+    spark, name = df.sparkSession, f"pieces_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).format("parquet").option("path", scratch_dir(spark, "pieces")).saveAsTable(name)
+    found = spark.table(name)
+    # an external table: its files stay as long as the scratch folder does
+    found.schema, spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 def score_documents(
-    docs: DataFrame, prior2: float = PRIOR2, prior3: float = PRIOR3, piece_bytes: int = PIECE_BYTES, shard_tokens: int = SHARD_TOKENS, split: int = SPLIT
-) -> DataFrame:
+    docs: DataFrame, prior2: float = PRIOR2, prior3: float = PRIOR3, piece_bytes: int = PIECE_BYTES,
+    shard_tokens: int = SHARD_TOKENS, word_tokens: int = WORD_TOKENS, split: int = SPLIT,
+) -> DataFrame:
     """Scores of all ``docs`` (``doc_id``, ``text``, ``held_out``), learned from those that are not held out.
 
     Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known`` (tokens that training documents have),
@@ -263,30 +316,26 @@ def score_documents(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("held_out"), F.lit(False)).alias("held_out"),
     )
+    # a token has two bytes at least, five or so in prose
+    buckets = -(-max(1, rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (5 * word_tokens))
     cut = rows.mapInArrow(
-        _piece_rows(piece_bytes),
-        "doc_id array<long>, held_out array<boolean>, size array<long>, k1 array<long>, k2 array<long>, n array<long>, tokens binary",
+        _piece_rows(piece_bytes, buckets),
+        "doc_id array<long>, held_out array<boolean>, size array<long>, held array<long>, tokens binary, keys binary, n binary",
+    )
+    cut = _bucketed(cut.withColumn("piece", F.monotonically_increasing_id()), "piece")
+    asked = cut.select("piece", "held", "keys", "n").mapInArrow(_asked_words, "bucket int, piece long, keys binary, n binary")
+    words = stored(asked.groupBy("bucket").applyInArrow(_named_words(buckets), WORDS), "words")
+    totals = words.filter("piece < 0").agg(F.sum("tokens"), F.sum("words"), F.max("documents"), F.max("words")).first()
+    all_tokens = cut.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    model = _Model(
+        totals[0] or 0, totals[1] or 0, totals[2] or 0, (totals[3] or 0) * buckets, -(-max(all_tokens, 1) // shard_tokens), split, prior2, prior3
     )
-    cut = stored(cut.withColumn("piece", F.monotonically_increasing_id()), "pieces")
-    words = cut.select("piece", F.posexplode(F.arrays_zip("k1", "k2", "n")).alias("place", "word"))
-    words = words.select("piece", "place", "word.k1", "word.k2", "word.n")
-    vocabulary = numbered(words.groupBy("k1", "k2").agg(F.sum("n").alias("c")).filter("c > 0"), "k1", "k2")
-    size = F.aggregate("size", F.lit(0).cast("long"), lambda a, x: a + x)
-    tokens = cut.agg(F.sum(size)).first()[0] or 0
-    end = F.max(F.when((F.col("k1") == END[0]) & (F.col("k2") == END[1]), F.col("c")))
-    known = vocabulary.agg(F.sum("c"), F.count("*"), end).first()
-    model = _Model(known[0] or 0, known[1], known[2] or 0, -(-max(tokens, 1) // shard_tokens), split, prior2, prior3)
-    numbers = F.sort_array(F.collect_list(F.struct("place", F.coalesce("number", F.lit(-1)).alias("id"), F.coalesce("c", F.lit(0)).alias("c"))))
-    named = words.join(vocabulary.withColumnRenamed("place", "number"), ["k1", "k2"], "left").groupBy("piece").agg(numbers.alias("numbers"))
-    named = named.select("piece", F.col("numbers.id").alias("ids"), F.col("numbers.c").alias("counts"))
-    encoded = stored(cut.drop("k1", "k2", "n").join(named, "piece"), "encoded")
-    contexts = encoded.mapInArrow(_split_contexts(model), "first long, middle long, middle_count long, n long")
-    contexts = contexts.groupBy("first", "middle", "middle_count").agg(F.sum("n").alias("n"))
-    sent = encoded.mapInArrow(_sent_rows(model), SENT)
-    if model.documents >= split or not vocabulary.filter(F.col("c") >= split).isEmpty():
-        sent = sent.unionByName(contexts.mapInArrow(_sent_contexts(model), SENT))
-    answers = sent.groupBy("shard").applyInArrow(_answers(model), "piece long, shard int, codes binary")
-    return encoded.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(
+    named = words.filter("piece >= 0").select("piece", "part", "ids", "counts")
+    texts = cut.select("piece", "doc_id", "held_out", "size", "tokens").groupBy("piece")
+    sent = texts.cogroup(named.groupBy("piece")).applyInArrow(_sent(model), SENT)
+    answers = sent.groupBy("shard").applyInArrow(_answers(model), ANSWERS)
+    both = named.unionByName(answers, allowMissingColumns=True)
+    return texts.cogroup(both.groupBy("piece")).applyInArrow(
         _scored(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 
