@@ -1,0 +1,85 @@
+"""Sessions and rolling sums against loops over plain rows."""
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.sessions import rolling_sums, session_summary, with_sessions
+from millrace.operators.skew import SkewPolicy
+
+EAGER = SkewPolicy(min_bytes=0, min_hits=20, cell_rows=20)
+START = datetime(2024, 1, 1)
+SCHEMA = "k string, t timestamp, n int, v decimal(10,2)"
+
+
+def some_rows(seed, size=500, minutes=5000):
+    rng = random.Random(seed)
+    when = lambda: None if rng.random() < 0.05 else START + timedelta(minutes=rng.randrange(minutes))
+    return [(rng.choice(["hot", "hot", "a", "b", None]), when(), i, rng.choice([None, Decimal(1), Decimal(2)])) for i in range(size)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def sessions(rows, gap):
+    out = []
+    for k in {r[0] for r in rows}:
+        last = start = None
+        number = 0
+        for r in sorted((r for r in rows if r[0] == k and k and r[1]), key=lambda r: r[1]):
+            if last is None or r[1] - last > gap:
+                start, number = r[1], number + 1
+            last = r[1]
+            out.append((k, r[1], r[2], start, number))
+    out += [(*r[:3], None, None) for r in rows if not (r[0] and r[1])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), EAGER])
+@pytest.mark.parametrize("minutes,gap", [(5000, 10), (5000, 60), (40, 3)])
+def test_sessions(spark, policy, minutes, gap):
+    rows = some_rows(minutes + gap, minutes=minutes)
+    found = with_sessions(frame(spark, rows), "k", "t", F.expr(f"interval {gap} minutes"), policy)
+    found = sorted((tuple(r) for r in found.select("k", "t", "n", "session_start", "session_number").collect()), key=repr)
+    assert found == sessions(rows, timedelta(minutes=gap))
+
+
+def test_one_session_over_many_slices(spark):
+    """A hot key without any gap: its slices are stitched to one session."""
+    rows = spark.range(0, 5000, numPartitions=4).select(F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 1_000_000).alias("t"))
+    found = session_summary(rows, "k", "t", F.expr("interval 1 second"), F.count("k").alias("m"), policy=SkewPolicy(min_bytes=0, min_hits=20, cell_rows=100))
+    (row,) = found.collect()
+    assert (row.session_number, row.events, row.m) == (1, 5000, 5000)
+    assert (row.session_end - row.session_start).total_seconds() == 4999
+
+
+def rolled(rows, width):
+    out = []
+    for k, t, n, v in rows:
+        if k is None or t is None:
+            out.append((k, t, n, None, None))
+            continue
+        frame_ = [r for r in rows if r[0] == k and r[1] is not None and t - width <= r[1] <= t]
+        values = [r[3] for r in frame_ if r[3] is not None]
+        out.append((k, t, n, len(frame_), sum(values) if values else None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("policy", [SkewPolicy(), EAGER])
+@pytest.mark.parametrize("minutes,width", [(5000, 100), (5000, 0), (60, 20)])
+def test_rolling(spark, policy, minutes, width):
+    rows = some_rows(minutes + width, 300, minutes)
+    sums = {"rows": F.lit(1).cast("long"), "total": F.col("v")}
+    found = rolling_sums(frame(spark, rows), "k", "t", F.expr(f"interval {width} minutes"), sums, policy)
+    found = found.select("k", "t", "n", "rows", F.col("total").cast("int"))
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == rolled(rows, timedelta(minutes=width))
+
+
+def test_empty(spark):
+    none = frame(spark, [])
+    assert with_sessions(none, "k", "t", F.expr("interval 1 day")).collect() == []
+    assert rolling_sums(none, "k", "t", F.expr("interval 1 day"), {"s": F.col("n")}).collect() == []
