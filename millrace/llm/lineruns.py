@@ -1,17 +1,18 @@
 """Operator 4: delete later copies of repeated line runs, with DataFrame functions only.
 
-The lines of all documents, blank ones left out, are sequences of line ids.  Prefix doubling
-sorts their suffixes: rank the lines, then pairs of ranks one line apart, two apart and so on,
-until suffixes are ranked by ``min_lines`` lines.  Suffixes of equal rank are an interval of the
-suffix array whose longest common prefix is ``min_lines`` or more.  Every repeated run of that
-length or longer is made of such suffixes, so going on doubling would not delete other lines.  In
-each interval the first suffix, by ``doc_id`` and line, stays; the run that starts at any other
-one goes.  Neighbouring runs join to the maximal ones.
-
-A suffix that is alone with its rank is dropped at once, so a round works on repeated text only.
-Ranks are places in the sorted table of distinct rank pairs: that table is cut by range, and each
-cut numbers its own rows.  No pile of equal lines meets in one task: counting combines before the
-shuffle and adaptive execution splits the joins.
+1. *Suffixes.*  The lines of all documents, blank ones left out, are sequences of line ids.  A line that
+   is nowhere else ends every run, so only lines that are there twice begin a suffix.
+2. *Prefix doubling.*  Suffixes are ranked by their first line, then by pairs of ranks one line apart, two apart
+   and so on, until a round tells no more of them apart: then suffixes of equal rank are equal to
+   their ends.  Ordered by rank and place in the documents they are the suffix array.
+3. *Common prefixes.*  Of all earlier suffixes the one with the longest prefix in common is the nearest in the
+   suffix array, on either side, that is earlier in the documents.  Minima of stretches that double find both; the
+   prefix itself is put together from the ranks, longest first.
+4. *Runs.*  A line whose suffix has ``min_lines`` lines or more in common with an earlier one begins a run, and lines whose
+   runs end at one place belong to one: from the first of them on it is a maximal run.  Its lines go.
+
+Places are ordered by ``doc_id``, document and line.  All joins are on unique places or on a document's lines,
+so no pile of equal lines meets in one task; counting combines before the shuffle.
 
 Defined cases: null texts stay null and have no lines; empty or blank texts are unchanged; a text
 that loses lines also loses its blank lines, others keep them; a text that loses all lines is
@@ -26,7 +27,7 @@ from millrace.llm.components import stored
 from millrace.llm.native import fresh, let, row_key
 from millrace.llm.ordering import numbered
 
-MIN_LINES = 2
+MIN_LINES = 1
 
 
 def lines_of(text: Column) -> Column:
@@ -40,39 +41,110 @@ def _ranked(rows: DataFrame, *by: str) -> DataFrame:
     return numbered(twice, *by)
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``key`` and ``line`` of every suffix that repeats the ``min_lines`` lines of an earlier one."""
+def _suffixes(docs: DataFrame) -> DataFrame:
+    """``key``, ``doc_id``, ``line`` and ``rank`` of every line that is there twice; ``left``: lines up to the next that is not."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = named.withColumn("key", row_key("doc_id", "text"))
     lines = named.select("key", "doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "content"))
     lines = lines.select("key", "doc_id", "line", F.unhex(F.md5(F.col("content").cast("binary"))).alias("id"))
-    suffixes = stored(lines.join(_ranked(lines, "id"), "id").select("key", "doc_id", "line", F.col("place").alias("rank")), "suffixes")
-    order = 1
-    while order < min_lines:
-        step = min(order, min_lines - order)
+    found = lines.join(_ranked(lines, "id"), "id").dropDuplicates(["key", "line"])
+    stretch = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
+    found = found.withColumn("stretch", stretch)
+    left = F.max("line").over(Window.partitionBy("key", "stretch")) - F.col("line") + 1
+    return stored(found.select("key", "doc_id", "line", F.col("place").alias("rank"), left.alias("left")), "suffixes")
+
+
+def _doubled(suffixes: DataFrame) -> list[DataFrame]:
+    """Tables like ``suffixes`` with ranks by 1, 2, 4 and so on lines, until a round makes no more ranks."""
+    levels, classes = [suffixes], suffixes.agg(F.count_distinct("rank")).first()[0]
+    while True:
+        step = 1 << (len(levels) - 1)
         ahead = Window.partitionBy("key").orderBy("line").rangeBetween(step, step)
-        # the rows of a document that is there twice agree, so any of them will do
-        pairs = suffixes.withColumn("next", F.max("rank").over(ahead)).filter("next is not null")
-        names = _ranked(pairs, "rank", "next")
-        suffixes = stored(pairs.join(names, ["rank", "next"]).select("key", "doc_id", "line", F.col("place").alias("rank")), "suffixes")
-        order += step
-    place = F.struct("doc_id", "key", "line")
-    firsts = suffixes.groupBy("rank").agg(F.min(place).alias("first"))
-    return suffixes.join(firsts, "rank").filter(place > F.col("first")).select("key", "line").distinct()
+        # beyond a stretch's end nothing follows, whatever lines come later
+        after = F.when(F.col("left") > step, F.max("rank").over(ahead))
+        pairs = levels[-1].withColumn("next", F.coalesce(after, F.lit(-1)))
+        names = numbered(pairs.select("rank", "next").distinct(), "rank", "next")
+        further = pairs.join(names, ["rank", "next"]).select("key", "doc_id", "line", F.col("place").alias("rank"), "left")
+        levels.append(stored(further, "suffixes"))
+        found = names.count()
+        if found == classes:
+            return levels
+        classes = found
+
+
+def _nearest_earlier(array: DataFrame) -> DataFrame:
+    """``place`` and ``other``: on each side the nearest place whose suffix is earlier, if its first line is the same.
+
+    ``array`` has ``place``, ``base``, the rank of the first line, and ``at``, the suffix's number in the documents.
+    For each place the earliest suffix of the next 1, 2, 4 and so on places is known; from the widest stretch down,
+    every suffix steps over those in which all are later.
+    """
+    largest = array.groupBy("base").count().agg(F.max("count")).first()[0] or 1
+    side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
+    least = [array.select("place", side, F.col("at").alias("least"))]
+    while 1 << len(least) < largest:
+        step = 1 << (len(least) - 1)
+        beyond = least[-1].select((F.col("place") - F.col("side") * step).alias("place"), "side", F.col("least").alias("its"))
+        wider = least[-1].join(beyond, ["place", "side"], "left").select("place", "side", F.least("least", "its").alias("least"))
+        least.append(stored(wider, "least"))
+    found = array.select("place", "base", "at", side).withColumn("other", F.col("place") + F.col("side"))
+    for level in reversed(range(len(least))):
+        there = least[level].withColumnRenamed("place", "other")
+        later = F.coalesce(F.col("least") > F.col("at"), F.lit(False))
+        onward = F.col("other") + F.when(later, F.col("side") * (1 << level)).otherwise(0)
+        found = stored(found.join(there, ["other", "side"], "left").select("place", "base", "at", "side", onward.alias("other")), "nearest")
+    its = array.select(F.col("place").alias("other"), F.col("base").alias("its_base"), F.col("at").alias("its_at"))
+    return found.join(its, "other").filter("its_base = base and its_at < at").select("place", "other")
+
+
+def _common_prefixes(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """``pairs`` of suffixes (``key`` and ``line``, ``its_key`` and ``its_line``) with ``length``, their common lines."""
+    names = ["key", "line", "its_key", "its_line"]
+    pairs = pairs.withColumn("length", F.lit(0))
+    for level in reversed(range(len(levels))):
+        rank = levels[level].select(F.col("key").alias("k"), F.col("line").alias("l"), "rank", "left")
+        here = pairs.join(rank, (F.col("key") == F.col("k")) & (F.col("line") + F.col("length") == F.col("l")), "left").drop("k", "l")
+        its = rank.withColumnsRenamed({"rank": "its_rank", "left": "its_left"})
+        both = here.join(its, (F.col("its_key") == F.col("k")) & (F.col("its_line") + F.col("length") == F.col("l")), "left")
+        # the last ranks are equal for suffixes that are equal to their ends, those before for as many lines as they stand for
+        most = F.col("left") if level == len(levels) - 1 else F.least("left", F.lit(1 << level))
+        more = F.when(F.col("rank") == F.col("its_rank"), most).otherwise(0)
+        pairs = stored(both.select(*names, (F.col("length") + more).alias("length")), "prefixes")
+    return pairs
 
 
-def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, count: str = "_n_lines", removed: str = "_removed") -> DataFrame:
-    """The rows of ``docs`` with their text cut, and two columns more.
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """``key``, ``start`` and ``end`` (excluded) of every maximal run of lines that stand together at an earlier place.
 
-    ``count`` names the number of lines, ``removed`` the numbers of those that went.  All columns of
-    ``docs`` stay; the two names must be free.
+    A run has ``min_lines`` lines or more; runs of a document may overlap, but none holds another.
+    """
+    levels = _doubled(_suffixes(docs))
+    placed = numbered(levels[0].withColumnRenamed("rank", "base"), "doc_id", "key", "line").withColumnRenamed("place", "at")
+    array = numbered(placed.join(levels[-1].select("key", "line", "rank"), ["key", "line"]), "rank", "at")
+    array = stored(array.select("place", "key", "line", "base", "at"), "array")
+    nearest = _nearest_earlier(array)
+    own = array.select("place", "key", "line")
+    its = array.select(F.col("place").alias("other"), F.col("key").alias("its_key"), F.col("line").alias("its_line"))
+    prefixes = _common_prefixes(nearest.join(own, "place").join(its, "other").drop("place", "other"), levels)
+    longest = prefixes.groupBy("key", "line").agg(F.max("length").alias("length")).filter(F.col("length") >= min_lines)
+    return longest.groupBy("key", (F.col("line") + F.col("length")).alias("end")).agg(F.min("line").alias("start")).select("key", "start", "end")
+
+
+def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, count: str = "_n_lines", removed: str = "_removed", runs: str = "_runs") -> DataFrame:
+    """The rows of ``docs`` with their text cut, and three columns more.
+
+    ``count`` names the number of lines, ``removed`` the numbers of those that went, ``runs`` the maximal runs they
+    were in, as structs of ``start`` and ``end``.  All columns of ``docs`` stay; the names must be free.
     """
     key = fresh(docs, "_key")
-    starts = fresh(docs, "_starts")
-    runs = repeated_runs(docs, min_lines).groupBy(F.col("key").alias(key)).agg(F.collect_set("line").alias(starts))
-    wide = F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (min_lines - 1))))
-    gone = F.coalesce(F.array_sort(F.array_distinct(wide)), F.array().cast("array<int>"))
-    found = docs.withColumn(key, row_key("doc_id", "text")).join(runs, key, "left").withColumn(removed, gone).drop(starts, key)
+    found = repeated_runs(docs, min_lines).groupBy(F.col("key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(runs))
+    # of a run that overlaps the one before only what is new, so that lines are listed once
+    last = lambda i: F.when(i > 0, F.get(runs, i - 1)["end"]).otherwise(0)
+    new = F.transform(runs, lambda r, i: F.sequence(F.greatest(r["start"], last(i)), r["end"] - 1))
+    gone = F.coalesce(F.flatten(new), F.array().cast("array<int>"))
+    none = F.array().cast(found.schema[runs].dataType)
+    found = docs.withColumn(key, row_key("doc_id", "text")).join(found, key, "left").withColumn(removed, gone)
+    found = found.withColumn(runs, F.coalesce(runs, none)).drop(key)
 
     def kept(lines: Column) -> Column:
         numbers = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
@@ -84,14 +156,13 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, count: str
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest of every document's kept text, and how many lines and maximal runs it lost."""
+    """Digest of every document's kept text, how many lines it lost, and in how many maximal runs."""
     found = drop_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    starts = F.filter("_removed", lambda x, i: (i == 0) | (F.get("_removed", i - 1) != x - 1))
     return found.select(
         "doc_id",
         F.col("_n_lines").cast("long").alias("n_lines"),
         F.size("_removed").cast("long").alias("n_removed"),
-        F.size(starts).cast("long").alias("n_runs"),
+        F.size("_runs").cast("long").alias("n_runs"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
@@ -101,22 +172,24 @@ WITH cut AS (
   SELECT doc_id, coalesce(text, '') AS text,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x09-\x0D\x20]')) AS lines
   FROM documents
+), doc AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(coalesce(length(doc_id::VARCHAR)::VARCHAR, '-') || ':' || coalesce(doc_id::VARCHAR, '') || length(text) || ':' || text)) AS p
+  FROM (SELECT DISTINCT * FROM cut)
 ), line AS (
-  SELECT DISTINCT doc_id, text, unnest(range(len(lines))) AS i, unnest(lines) AS content FROM cut
+  SELECT p, unnest(range(len(lines))) AS i, unnest(lines) AS content FROM doc
 ), pair AS (
-  SELECT doc_id, text, i, content, lead(content) OVER (PARTITION BY doc_id, text ORDER BY i) AS after FROM line
-), later AS (
-  SELECT doc_id, text, i,
-         row_number() OVER (PARTITION BY content, after ORDER BY doc_id NULLS FIRST, md5(coalesce(length(doc_id::VARCHAR)::VARCHAR, '-') || ':' || coalesce(doc_id::VARCHAR, '') || length(text) || ':' || text), i) AS n
-  FROM pair WHERE after IS NOT NULL
-), gone AS (
-  SELECT DISTINCT doc_id, text, unnest([i, i + 1]) AS i FROM later WHERE n > 1
+  SELECT x.p AS xp, y.p, y.i, y.i - x.i AS d FROM line x JOIN line y ON x.content = y.content AND (x.p < y.p OR x.p = y.p AND x.i < y.i)
+), lane AS (
+  SELECT *, i - row_number() OVER (PARTITION BY xp, p, d ORDER BY i) AS lane FROM pair
+), reach AS (
+  SELECT p, i, max(i) OVER (PARTITION BY xp, p, d, lane) + 1 AS stop FROM lane
+), longest AS (
+  SELECT p, i, max(stop) AS stop FROM reach GROUP BY p, i
 ), per_doc AS (
-  SELECT doc_id, text, list(i ORDER BY i) AS gone FROM gone GROUP BY doc_id, text
+  SELECT p, list(i ORDER BY i) AS gone, count(DISTINCT stop) AS n_runs FROM longest GROUP BY p
 )
-SELECT cut.doc_id, len(lines)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
-       coalesce(len(list_filter(gone, lambda x: NOT list_contains(gone, x - 1))), 0)::BIGINT AS n_runs,
+SELECT cut.doc_id, len(cut.lines)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs,
        sha256(CASE WHEN gone IS NULL THEN cut.text
-                   ELSE array_to_string(list_filter(lines, lambda l, j: NOT list_contains(gone, j - 1)), chr(10)) END) AS kept_sha256
-FROM cut LEFT JOIN per_doc ON cut.doc_id IS NOT DISTINCT FROM per_doc.doc_id AND cut.text = per_doc.text
+                   ELSE array_to_string(list_filter(cut.lines, lambda l, j: NOT list_contains(gone, j - 1)), chr(10)) END) AS kept_sha256
+FROM cut JOIN doc ON cut.doc_id IS NOT DISTINCT FROM doc.doc_id AND cut.text = doc.text LEFT JOIN per_doc USING (p)
 """

@@ -1,5 +1,7 @@
 """Operator 4 against runs compared one by one."""
 
+import random
+
 import pytest
 from conftest_llm import same
 
@@ -21,12 +23,33 @@ def brute_force(rows, size):
     return out
 
 
+def maximal_runs(rows):
+    """By the longest match of every place with an earlier one: runs that end at one place are one."""
+    rows = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    lines = [[x for x in (r[1] or "").split("\n") if x.strip(" \t\n\v\f\r")] for r in rows]
+    out = {}
+    for p, own in enumerate(lines):
+        ends = {}
+        for i in range(len(own)):
+            best = 0
+            for q in range(p + 1):
+                for j in range(len(lines[q]) if q < p else i):
+                    n = 0
+                    while i + n < len(own) and j + n < len(lines[q]) and own[i + n] == lines[q][j + n]:
+                        n += 1
+                    best = max(best, n)
+            if best:
+                ends.setdefault(i + best, i)
+        out[rows[p]] = sorted((i, end) for end, i in ends.items())
+    return out
+
+
 def digest(df):
     return [(r.doc_id, r.lines, list(r.gone), r.text) for r in df.collect()]
 
 
 def cut(docs, size):
-    return drop_repeated_lines(docs, size, "lines", "gone")
+    return drop_repeated_lines(docs, size, "lines", "gone", "found")
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 5])
@@ -35,7 +58,27 @@ def test_matches_brute_force(cases, size):
     same(digest(cut(docs, size)), brute_force(rows, size))
 
 
-@pytest.mark.parametrize("size", [2, 3])
+@pytest.mark.parametrize("seed", range(3))
+def test_maximal_runs(spark, seed):
+    """Periodic, overlapping and nested repeats, whole copies, and repeats inside a document."""
+    rng = random.Random(seed)
+    passage = lambda n: [rng.choice("abcde") for _ in range(n)]
+    texts = [passage(rng.randrange(12)) for _ in range(12)]
+    texts += [["a"] * 9, ["a"] * 5, ["x"] + ["a", "b"] * 6, texts[0] + ["new"] + texts[1], texts[2], ["only", "here"], []]
+    rows = [(i, "\n".join(t) if t or i % 2 else None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, t): [tuple(x) for x in r.found] for (r, t) in ((r, rows[r.doc_id][1]) for r in cut(docs, 1).collect())}
+    assert found == maximal_runs(rows)
+
+
+def test_one_line_in_every_third_document(spark):
+    """Pointers over a pile of equal lines double: few rounds, and one copy stays."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'same', concat('line ', id)) as text")
+    found = cut(docs, 1).filter("size(gone) > 0")
+    assert (found.count(), found.filter("text <> ''").count(), found.agg({"doc_id": "min"}).first()[0]) == (999, 0, 3)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
 def test_awkward(cases, size):
     """Null ids tie in the order, so only rows with one are compared exactly."""
     docs, rows = cases["awkward"]
@@ -46,7 +89,7 @@ def test_awkward(cases, size):
 def test_columns_stay(awkward):
     docs, _ = awkward
     found = cut(docs, 2)
-    assert found.columns == [*docs.columns, "gone", "lines"]
+    assert found.columns == [*docs.columns, "found", "gone", "lines"]
     others = [c for c in docs.columns if c != "text"]
     assert sorted(map(repr, found.select(others).collect())) == sorted(map(repr, docs.select(others).collect()))
 

@@ -28,7 +28,7 @@ def keep_quality(rows, _):
 
 def keep_lines(rows, _):
     out = []
-    for row, (_, n, gone, text) in zip(rows, cut_lines([r[:2] for r in rows], 2), strict=True):
+    for row, (_, n, gone, text) in zip(rows, cut_lines([r[:2] for r in rows], 1), strict=True):
         if not gone or len(gone) < n:
             out.append((row[0], text, *row[2:]))
     return out
