@@ -30,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without later copies of line runs; one that loses all its lines goes."""
-    count, removed = fresh(docs, "_n_lines"), fresh(docs, "_removed")
-    found = drop_repeated_lines(docs, count=count, removed=removed)
+    count, removed, runs = (fresh(docs, name) for name in ("_n_lines", "_removed", "_runs"))
+    found = drop_repeated_lines(docs, count=count, removed=removed, runs=runs)
     return found.filter((F.size(removed) == 0) | (F.size(removed) < F.col(count))).select(*_columns(docs))
 
 
