@@ -56,7 +56,7 @@ def _simple_etl(spark: SparkSession, args) -> dict:
 
 def _pipeline(spark: SparkSession, args) -> dict:
     return run_pipeline(
-        spark, args.sales_path, args.users_path, args.work_path, args.resume
+        spark, args.sales_path, args.users_path, args.work_path, args.resume, args.format, args.retries
     )
 
 
@@ -136,6 +136,8 @@ def _parser() -> argparse.ArgumentParser:
 
     steps = job("pipeline", _pipeline, "--sales-path", "--users-path", "--work-path")
     steps.add_argument("--resume", action="store_true")
+    steps.add_argument("--format", choices=["csv", "json"], default="csv")
+    steps.add_argument("--retries", type=int, default=0)
 
     new = job("ingest", _ingest, "--source-path", "--output-path", "--checkpoint-path")
     new.add_argument("--max-files", type=int)

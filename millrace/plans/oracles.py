@@ -394,3 +394,4 @@ FROM clean s JOIN users u ON s.customer_id = u.user_id
 WHERE s.revenue >= 1000 AND u.is_active
 GROUP BY u.country, s.category""",
 } | temporal.ORACLES
+ORACLES["c4_change_files_in_order"] = ORACLES["c4_change_files"]

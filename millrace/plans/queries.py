@@ -117,11 +117,14 @@ def s6_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s7_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing folder with two drops, and sales beside them."""
     folder = scratch_dir(spark, "transactions")
     payments = tables.transactions(spark, sf_dir)
-    return files.read_transactions(
-        spark, write_drop(payments, "transactions", folder, tables.STAMP)
-    )
+    done = F.col("status") == "completed"
+    for part, day in ((payments.filter(done), 15), (payments.filter(~done), 16)):
+        write_drop(part, "transactions", folder, datetime(2024, 1, day))
+    write_drop(files.inline_table(spark, INLINE_ROWS), "sales", folder, tables.STAMP)
+    return files.read_transactions(spark, folder)
 
 
 def s8_cdc_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +334,7 @@ def q1_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def c1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load and three runs over a growing folder, the last one of old files.
+    """A first load and three runs over a growing folder of drops, the last one of old files.
 
     The first load is the sales job's.  The files of the third run have time stamps
     from ten days before the others, as restored or copied files do.
@@ -346,9 +349,7 @@ def c1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop = write_drop(part, "sales", f"{base}/landing", datetime(2024, 1, 14 + number))
         if number == 3:
             files.set_modified(spark, drop, time.time() - 10 * 24 * 3600)
-        ingest_new_files(
-            spark, f"{base}/landing/sales_*.csv", f"{base}/clean", f"{base}/checkpoint"
-        )
+        ingest_new_files(spark, f"{base}/landing", f"{base}/clean", f"{base}/checkpoint")
     return partitioned.read_committed(spark, f"{base}/clean", schemas.CLEAN_SALES)
 
 
@@ -374,8 +375,8 @@ def c4_scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.scd2_incremental(history, log, log.filter(late))
 
 
-def c4_change_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change files in two runs, the second one late, into a bucketed history."""
+def _change_file_history(spark: SparkSession, sf_dir: str, second) -> DataFrame:
+    """Change files in two runs over a folder of drops, into a bucketed history; ``second`` picks those of the second run."""
     base = scratch_dir(spark, "history")
     history = HistoryTables(
         log=f"{base}/log",
@@ -385,16 +386,25 @@ def c4_change_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         buckets=8,
     )
     log = tables.raw_changes(spark, sf_dir)
-    late = F.col("unit_price").cast("decimal(14,2)") >= 80
-    for part, day in ((log.filter(~late), 15), (log.filter(late), 16)):
+    for part, day in ((log.filter(~second), 15), (log.filter(second), 16)):
         write_drop(part, "cdc_full", f"{base}/landing", datetime(2024, 1, day))
-        apply_new_changes(spark, f"{base}/landing/cdc_*.csv", history)
+        apply_new_changes(spark, f"{base}/landing", history)
     return partitioned.read_committed(spark, history.history, schemas.CHANGE_HISTORY).select(
         "order_id", "product_name", "category", "unit_price",
         "valid_from", "valid_to", "is_current",
     )
 
 
+def c4_change_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run's changes are late: they fall between those already there."""
+    return _change_file_history(spark, sf_dir, F.col("unit_price").cast("decimal(14,2)") >= 80)
+
+
+def c4_change_files_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run's changes follow the first run's, so closed versions stay as they are."""
+    return _change_file_history(spark, sf_dir, F.col("updated_at") >= "2024-01-24")
+
+
 # Generators, one row per row of a given table
 
 
@@ -472,6 +482,7 @@ QUERIES = {
         c3_scd2_collapsed,
         c4_scd2_incremental,
         c4_change_files,
+        c4_change_files_in_order,
         m1_pipeline,
         m2_enrich,
         m3_daily_region,

@@ -6,7 +6,7 @@ from millrace import schemas
 from millrace.operators.clean import clean_sales
 from millrace.operators.metrics import counted, observed
 from millrace.sinks.catalog import register_table
-from millrace.sinks.partitioned import BATCH, write_partitioned
+from millrace.sinks.partitioned import BATCH, drop_batch, write_partitioned
 from millrace.sources.files import FILES, is_file, read_csv, read_drifted, read_sales_json
 
 
@@ -34,7 +34,9 @@ def run_simple_etl(
     counted in the writing stage and exact.  ``rows_read`` is counted in the scan
     and may be high after a lost executor, which ``rows_read_exact`` says;
     ``exact_counts`` spends a second scan on it.  With ``batch`` the rows go to a
-    ``batch_id`` folder below each region, where ``ingest_new_files`` can add to them.
+    ``batch_id`` folder below each region, where ``ingest_new_files`` can add to them;
+    what an earlier run wrote there under the same name goes first, so a job that is
+    run again leaves its rows once.
     ``table`` registers the output, or refreshes it if it is registered.
     """
     if source_format not in ("csv", "json"):
@@ -52,6 +54,7 @@ def run_simple_etl(
     rows, by = clean_sales(source, drop_source_total), ["region"]
     if batch is not None:
         rows, by = rows.withColumn(BATCH, F.lit(batch)), ["region", BATCH]
+        drop_batch(spark, output_path, by, batch)
     write_partitioned(
         rows,
         output_path,

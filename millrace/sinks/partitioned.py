@@ -1,6 +1,7 @@
 """Hive-partitioned Parquet, its commit marker, and reading it back."""
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
@@ -93,6 +94,16 @@ def clear_marker(spark: SparkSession, path: str) -> None:
     files.delete(marker, False)
 
 
+def drop_batch(spark: SparkSession, path: str, by: Sequence[str], batch: str) -> None:
+    """Remove the rows of ``batch``, the last level of ``by``; the table is unmarked until its next write."""
+    files, marker = _marker(spark, path)
+    levels = "/".join([*[f"{c}=*" for c in by[:-1]], f"{by[-1]}=*"])
+    for found in files.globStatus(marker.getParent().suffix(f"/{levels}")) or []:
+        if unquote(found.getPath().getName()) == f"{by[-1]}={batch}":
+            clear_marker(spark, path)
+            files.delete(found.getPath(), True)
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` finished.
 

@@ -2,6 +2,8 @@
 
 import csv
 from concurrent.futures import ThreadPoolExecutor
+from fnmatch import fnmatch
+from hashlib import md5
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -82,7 +84,36 @@ def is_file(spark: SparkSession, path) -> bool:
 
 
 def read_transactions(spark: SparkSession, path) -> DataFrame:
-    return spark.read.schema(schemas.TRANSACTIONS).parquet(path)
+    """Parquet payments: a file, a drop, or the ``.parquet`` files of a folder of drops."""
+    reader = spark.read.schema(schemas.TRANSACTIONS).option("recursiveFileLookup", True)
+    if not is_file(spark, path):
+        reader = reader.option("pathGlobFilter", FILES["parquet"])
+    return _found(reader.parquet(path), path)
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*"):
+    """Status of each file that ``path`` (a file, a folder or a glob) holds, in folders too, one after the other.
+
+    Only names that match ``pattern`` count; hidden ones, which Spark skips, do not.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for top in files.globStatus(place) or []:
+        base = top.getPath().toString().rstrip("/")
+        found = files.listFiles(top.getPath(), True)
+        while found.hasNext():
+            status = found.next()
+            # the folders below the one that was asked for, and the name
+            names = status.getPath().toString()[len(base) :].strip("/").split("/")
+            hidden = any(n.startswith((".", "_")) and "=" not in n for n in names if n)
+            if not hidden and fnmatch(status.getPath().getName(), pattern):
+                yield status
+
+
+def listing_digest(spark: SparkSession, path: str, pattern: str = "*") -> str:
+    """A text that changes if a file comes, goes or is written anew."""
+    lines = sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in list_files(spark, path, pattern))
+    return f"{len(lines)} files {md5(chr(10).join(lines).encode(), usedforsecurity=False).hexdigest()}"
 
 
 def set_modified(spark: SparkSession, path: str, at: float) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from millrace import schemas
 from millrace.operators.clean import clean_sales
 from millrace.sinks.partitioned import BATCH, write_partitioned
+from millrace.sources.files import FILES, list_files
 
 # The stream source forgets files older than this, counted back from the newest
 # one it has seen, and skips them if they arrive later.  No file is that old.
@@ -29,18 +30,26 @@ def new_files(
 ) -> DataFrame:
     """Stream of CSV or JSON files; ``max_files`` bounds a micro-batch after an outage.
 
-    Files already processed are moved below ``archive_path`` if it is given; this
+    ``source_path`` is what the batch readers take: a file, a drop, a glob, or a folder of
+    drops, of which files with the name of the format count, at any depth.  A path without
+    any file is a ``FileNotFoundError``, unless files are archived and so may be gone.  Files already processed are moved below ``archive_path`` if it is given; this
     keeps the listing and the source folder short.
     """
-    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
+    if source_format not in ("csv", "json"):
+        raise ValueError(f"source_format must be csv or json, not {source_format!r}")
+    reader = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE).option("recursiveFileLookup", True)
+    names = "*"
+    if _is_folder(spark, source_path):
+        names = FILES[source_format]
+        reader = reader.option("pathGlobFilter", names)
+    if not archive_path and next(list_files(spark, source_path, names), None) is None:
+        raise FileNotFoundError(f"no files to read under {source_path}")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_path:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_path)
     if source_format == "json":
         return reader.json(source_path)
-    if source_format != "csv":
-        raise ValueError(f"source_format must be csv or json, not {source_format!r}")
     return (
         reader.option("header", True)
         .option("enforceSchema", False)
@@ -91,6 +100,12 @@ def _file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    files, place = _file_system(spark, path)
+    # a name with a star in it is no file of that name
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
 def _check_layout(spark: SparkSession, output_path: str, by: Sequence[str]) -> None:
     """Refuse a target whose folders of ``by`` hold anything but ``batch_id`` folders."""
     base = output_path.rstrip("/")

@@ -1,8 +1,11 @@
 import gzip
+from datetime import datetime
 
 import pytest
 
 from millrace import schemas
+from millrace.operators import generate
+from millrace.sinks.formats import write_drop
 from millrace.sources import files
 
 HEADER = ",".join(schemas.SALES_COLUMNS)
@@ -202,3 +205,27 @@ def test_changes_csv(spark, folder):
     path = folder(a__csv=f"{HEADER},operation,updated_at\n{line()},INSERT,2024-01-15T11:00:00Z\n")
     row = files.read_changes(spark, path).first()
     assert (row["operation"], row["updated_at"]) == ("INSERT", "2024-01-15T11:00:00Z")
+
+
+def test_parquet_drops_below_a_folder(spark, tmp_path):
+    payments = generate.transactions(spark.range(8), users=4)
+    for day in (1, 2):
+        write_drop(payments, "transactions", str(tmp_path / "land"), datetime(2024, 1, day))
+    assert files.read_transactions(spark, str(tmp_path / "land")).count() == 16
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.read_transactions(spark, str(tmp_path / "empty"))
+
+
+def test_listing(spark, tmp_path):
+    (tmp_path / "a" / "_hidden").mkdir(parents=True)
+    for name in ("a/x.csv", "a/_hidden/y.csv", "a/.z.csv", "b.csv", "c.json"):
+        (tmp_path / name).write_text("1")
+    names = lambda *args: sorted(s.getPath().getName() for s in files.list_files(spark, *args))
+    assert names(str(tmp_path)) == ["b.csv", "c.json", "x.csv"]
+    assert names(str(tmp_path), "*.csv*") == ["b.csv", "x.csv"]
+    assert names(f"{tmp_path}/*.json") == ["c.json"]
+    before = files.listing_digest(spark, str(tmp_path))
+    assert before == files.listing_digest(spark, str(tmp_path)) and before.startswith("3 files")
+    (tmp_path / "b.csv").write_text("22")
+    assert files.listing_digest(spark, str(tmp_path)) != before

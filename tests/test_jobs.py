@@ -10,7 +10,7 @@ from millrace.__main__ import main
 from millrace.operators import generate
 from millrace.operators.clean import clean_sales
 from millrace.operators.marts import daily_region
-from millrace.plans import simple_etl
+from millrace.plans import pipeline, simple_etl
 from millrace.plans.pipeline import STAGES, run_pipeline
 from millrace.sinks.formats import write_drop
 from millrace.sinks.partitioned import is_committed
@@ -252,3 +252,55 @@ def test_generated_files_feed_the_job(spark, landed):
     off = F.abs(F.col("revenue") - F.col("total_price").try_cast("double"))
     assert clean.filter(off > 1e-9).count() == 0
     assert typed.count() == N
+
+
+def test_resume_sees_a_file_that_came(spark, tmp_path):
+    work, land = str(tmp_path / "w"), tmp_path / "land"
+    land.mkdir()
+    users = write_drop(generate.users(spark.range(10)), "users", str(tmp_path), AT)
+    line = ",p,c,2,3,6,user-1,2024-01-01T00:00:00Z,EU\n"
+    for number, expected in ((1, 1), (2, 2), (2, 2)):
+        (land / f"sales_{number}.csv").write_text(",".join(schemas.SALES_COLUMNS) + f"\n{number}{line}")
+        paths = run_pipeline(spark, str(land), users, work, resume=True)
+        assert spark.read.parquet(paths["clean"]).count() == expected
+
+
+def test_pipeline_from_json_sets_bad_rows_aside(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    users = write_drop(generate.users(spark.range(10)), "users", str(tmp_path), AT)
+    (land / "sales_1.json").write_text('{"order_id":"1","quantity":"2","unit_price":"3","region":"EU"}\n{"product_name":"x"}\n')
+    (land / "other.csv").write_text("a,b\n1,2\n")
+    paths = run_pipeline(spark, str(land), users, str(tmp_path / "w"), source_format="json")
+    assert [r.order_id for r in spark.read.parquet(paths["clean"]).collect()] == ["1"]
+    assert [(r.product_name, r.reject_reason) for r in spark.read.parquet(paths["rejected"]).collect()] == [("x", "missing order_id")]
+    with pytest.raises(ValueError, match="csv or json"):
+        run_pipeline(spark, str(land), users, str(tmp_path / "w"), source_format="xml")
+
+
+def test_a_failure_is_named_noted_and_tried_again(spark, landed, tmp_path, monkeypatch):
+    work, tries = str(tmp_path / "w"), []
+
+    def flaky(*args):
+        tries.append(1)
+        raise OSError("no room")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "enrich", flaky)
+        with pytest.raises(OSError, match="no room") as caught:
+            run_pipeline(spark, landed["sales"], landed["users"], work, retries=2)
+    assert caught.value.__notes__ == ["in stage enriched"] and len(tries) == 3
+    with open(f"{work}/_failed") as note:
+        assert json.load(note) == {"stage": "enriched", "error": "no room"}
+    run_pipeline(spark, landed["sales"], landed["users"], work, resume=True)
+    assert not os.path.exists(f"{work}/_failed")
+
+
+def test_the_same_batch_replaces_its_rows(spark, tmp_path):
+    out, land = str(tmp_path / "out"), tmp_path / "land"
+    land.mkdir()
+    row = "{},p,c,1,1,1,u,2024-01-01T00:00:00Z,{}\n"
+    for batch, region, order in (("a", "EU", 1), ("b b", "EU", 2), ("a", "US", 3), ("b b", "EU", 4)):
+        (land / "sales.csv").write_text(",".join(schemas.SALES_COLUMNS) + "\n" + row.format(order, region))
+        simple_etl.run_simple_etl(spark, str(land), out, batch=batch)
+    assert sorted(r.order_id for r in spark.read.parquet(out).collect()) == ["3", "4"]

@@ -303,3 +303,30 @@ def test_compaction(spark, tmp_path, tables, rows):
     write_changes(folder, "cdc_9.csv", ("k1", "DELETE", "2023-01-01T00:00:00Z", 0), ("k1", "UPDATE", "2024-01-02T12:00:00Z", 9))
     apply_new_changes(spark, str(folder), tables)
     assert len(rows(spark.read.parquet(tables.history), *COLUMNS)) == len(before) + 1
+
+
+def test_a_folder_of_drops_is_read_as_the_batch_reader_does(spark, tmp_path, rows):
+    """Drops below the folder, files of other formats beside them, later drops in a later run."""
+    land, out, checkpoint = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "check")
+    sales = generate.sales(spark.range(60))
+    for day, low in ((1, 0), (2, 20), (3, 40)):
+        part = generate.sales(spark.range(low, low + 20))
+        write_drop(part, "sales", f"{land}/2024", datetime(2024, 1, day))
+        if day == 2:
+            write_drop(generate.users(spark.range(3)), "users", land, datetime(2024, 1, 2))
+        if day > 1:
+            ingest_new_files(spark, land, out, checkpoint)
+    expected = clean_sales(read_csv(spark, land, glob="*.csv*"))
+    found = spark.read.schema(schemas.CLEAN_SALES).parquet(out)
+    assert found.count() == 60 == sales.count()
+    assert rows(found, *expected.columns) == rows(expected)
+
+
+def test_nothing_to_read_is_an_error(spark, tmp_path):
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "_SUCCESS").write_text("")
+    (empty / "users.json").write_text("{}")
+    for path in (str(empty), f"{empty}/sales_*.csv"):
+        with pytest.raises(FileNotFoundError):
+            ingest_new_files(spark, path, str(tmp_path / "out"), str(tmp_path / "check"))
