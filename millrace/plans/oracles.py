@@ -395,3 +395,13 @@ WHERE s.revenue >= 1000 AND u.is_active
 GROUP BY u.country, s.category""",
 } | temporal.ORACLES
 ORACLES["c4_change_files_in_order"] = ORACLES["c4_change_files"]
+ORACLES["m3_rollup"] = f"""
+WITH {RAW}, {CLEAN}
+SELECT order_date, region, category, GROUPING(order_date, region, category) AS grouping_id, count(*) AS order_count,
+       CAST(sum(quantity) AS BIGINT) AS units, CAST(sum(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE) AS revenue
+FROM clean GROUP BY ROLLUP (order_date, region, category)"""
+ORACLES["m3_sketches"] = f"""
+WITH {RAW}, {CLEAN}
+SELECT coalesce(strftime(order_date, '%Y-%m'), 'none') AS month, count(DISTINCT customer_id) AS buyers,
+       true AS buyers_near, true AS median_near
+FROM clean GROUP BY 1"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace import schemas
 from millrace.functions import casts
 from millrace.functions.routing import landing_prefix
-from millrace.operators import cdc, clean, generate, marts, metrics
+from millrace.operators import cdc, clean, generate, marts, metrics, rollups
 from millrace.plans import tables, temporal
 from millrace.plans.pipeline import run_pipeline
 from millrace.plans.simple_etl import run_simple_etl
@@ -442,6 +442,48 @@ def g4_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.changes(ids, "incremental", SEED, users=buyers, base_rows=orders)
 
 
+# Totals kept as partial results
+
+
+def m3_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by day, region and category from three batches, one of them put in again after a wrong try."""
+    sales = clean.clean_sales(_raw(spark, sf_dir))
+    path = scratch_dir(spark, "rollup")
+    day = F.coalesce(F.col("order_date"), F.lit("1997-01-01").cast("date"))
+    early, late = day < "1997-01-01", day >= "1999-06-01"
+    rollups.add_sales(spark, sales.filter(early), path, "early")
+    rollups.add_sales(spark, sales.filter(~early), path, "middle")
+    rollups.add_sales(spark, sales.filter(late), path, "late")
+    rollups.add_sales(spark, sales.filter(~early & ~late), path, "middle")
+    return rollups.read_totals(spark, path).withColumn("revenue", F.col("revenue").cast("double"))
+
+
+def m3_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers and median revenue by month, from merged daily sketches, beside the exact numbers.
+
+    ``buyers_near``: within 5 %.  ``median_near``: of the sales 45 % at least lie up to the estimate, 55 % at most below.
+    """
+    sales = clean.clean_sales(_raw(spark, sf_dir))
+    days = sketch_table(rollups.sketch_days(sales))
+    month = rollups.month_of("order_date").alias("month")
+    found = rollups.sketch_estimates(rollups.merge_sketches(days, month))
+    exact = sales.select(month, "customer_id", "revenue").join(found.select("month", F.col("revenue").alias("median")), "month")
+    exact = exact.groupBy("month").agg(
+        F.count_distinct("customer_id").alias("exact"),
+        (F.count_if(F.col("revenue") <= F.col("median")) >= 0.45 * F.count("revenue")).alias("above"),
+        (F.count_if(F.col("revenue") < F.col("median")) <= 0.55 * F.count("revenue")).alias("below"),
+    )
+    near = F.abs(F.col("buyers") - F.col("exact")) <= 0.05 * F.col("exact")
+    return exact.join(found, "month").select("month", F.col("exact").alias("buyers"), near.alias("buyers_near"), (F.col("above") & F.col("below")).alias("median_near"))
+
+
+def sketch_table(days: DataFrame) -> DataFrame:
+    """Daily sketches written and read again, as a job of another day would find them."""
+    path = scratch_dir(days.sparkSession, "sketches")
+    days.write.parquet(path)
+    return days.sparkSession.read.parquet(path)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -486,6 +528,8 @@ QUERIES = {
         m1_pipeline,
         m2_enrich,
         m3_daily_region,
+        m3_rollup,
+        m3_sketches,
         q1_sql,
     )
 } | temporal.QUERIES
