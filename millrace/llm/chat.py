@@ -7,9 +7,10 @@
    key, and so does each of its own lines.  A reply is looked up by the chain of all it quotes, so
    equal short messages are told apart by what they answer.  If no smaller id has that chain, the
    quoted lines vote, each for all messages with a smaller id that hold it.
-3. *Join.*  The original of a chain is the smallest id that has it, as the query's SQL says, not the
-   nearest one before the reply.  The chains are reduced to it before the join, so a text that a
-   third of all messages repeat is one row.
+3. *Join.*  The original of a chain is the last message before the reply that has it, so that conversations
+   with equal openings stay apart.  An as-of join finds it: ids are numbered, chains and replies of one key are
+   sorted by number and the last chain is carried forward; a key that a third of all messages repeat
+   is cut into slices.
 4. *Order.*  Replies point to smaller ids only, so links make trees.  Pointer doubling finds root
    and depth; positions come from one global sort by root, depth and id.
 
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from millrace.llm.blocks import pieces, ship
 from millrace.llm.components import stored
 from millrace.llm.ordering import numbered
+from millrace.operators.asof import asof_join
 
 ship(__name__)
 
@@ -121,12 +123,16 @@ def _voted(parsed: DataFrame, asked: DataFrame, common: int) -> DataFrame:
 
 def _parents(parsed: DataFrame, common: int) -> DataFrame:
     """``msg_id`` and ``parent_id`` of the messages whose quotation has an original."""
-    known = parsed.select(F.explode("known").alias("key"), "msg_id").groupBy("key").agg(F.min("msg_id").alias("parent_id"))
-    asked = parsed.filter("quoted is not null and msg_id is not null").select("msg_id", F.col("quoted").alias("key"), "quoted_lines")
-    asked = asked.join(known, "key", "left")
-    whole = asked.filter("parent_id < msg_id").select("msg_id", "parent_id")
-    # a chain that only later messages have explains nothing
-    voted = _voted(parsed, asked.filter("parent_id is null or parent_id >= msg_id"), common)
+    # numbers in the order of ids stand for times
+    ids = numbered(parsed.select("msg_id").filter("msg_id is not null").distinct(), "msg_id")
+    ids = ids.select("msg_id", F.timestamp_micros("place").alias("number"))
+    known = parsed.select(F.explode("known").alias("key"), "msg_id").join(ids, "msg_id")
+    known = known.select("key", F.col("number").alias("its_number"), F.col("msg_id").alias("parent_id"))
+    asked = parsed.filter("quoted is not null").select("msg_id", F.col("quoted").alias("key"), "quoted_lines").join(ids, "msg_id")
+    asked = stored(asof_join(asked, known, "key", "number", "its_number", strict=True), "originals")
+    whole = asked.filter("parent_id is not null").select("msg_id", "parent_id")
+    voted = _voted(parsed, asked.filter("parent_id is null").select("msg_id", "quoted_lines"), common)
+    # rows of one id may have several
     return whole.union(voted).groupBy("msg_id").agg(F.min("parent_id").alias("parent_id"))
 
 

@@ -92,14 +92,13 @@ WITH RECURSIVE turns AS (
          lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS x0, lag(x0, 1) OVER w AS x1, lag(x0, 2) OVER w AS x2
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)
 ), known AS (
-  SELECT k, min(msg_id) AS parent_id FROM (
-    SELECT msg_id, [x0] AS k FROM turns UNION ALL
-    SELECT msg_id, [x0, x1] FROM turns WHERE x1 IS NOT NULL UNION ALL
-    SELECT msg_id, [x0, x1, x2] FROM turns WHERE x2 IS NOT NULL
-  ) GROUP BY k
+  SELECT msg_id AS parent_id, [x0] AS k FROM turns UNION ALL
+  SELECT msg_id, [x0, x1] FROM turns WHERE x1 IS NOT NULL UNION ALL
+  SELECT msg_id, [x0, x1, x2] FROM turns WHERE x2 IS NOT NULL
 ), linked AS (
-  SELECT msg_id, text, CASE WHEN parent_id < msg_id THEN parent_id END AS parent_id FROM turns
-  LEFT JOIN known ON known.k = CASE WHEN x2 IS NOT NULL THEN [x1, x2] WHEN x1 IS NOT NULL THEN [x1] END
+  SELECT msg_id, text, max(parent_id) AS parent_id FROM turns
+  LEFT JOIN known ON known.k = CASE WHEN x2 IS NOT NULL THEN [x1, x2] WHEN x1 IS NOT NULL THEN [x1] END AND parent_id < msg_id
+  GROUP BY msg_id, text
 ), tree AS (
   SELECT msg_id, msg_id AS root, 0 AS depth FROM linked WHERE parent_id IS NULL UNION ALL
   SELECT linked.msg_id, tree.root, tree.depth + 1 FROM linked JOIN tree ON linked.parent_id = tree.msg_id

@@ -62,7 +62,7 @@ def test_equal_texts_are_told_apart_by_what_they_answer(spark):
 def test_ties_cycles_repeats_and_nulls(spark):
     rows = [(5, "same"), (4, "same"), (6, "> same\nreply"), (1, "> later\nearly"), (9, "later"), (7, "> 7\n7"), (2, "x"), (2, "x"), (None, "null"), (None, "> x\nnull")]
     found = build(spark, rows)
-    assert {(r[0], r[2]) for r in found} == {(5, None), (4, None), (6, 4), (1, None), (9, None), (7, None), (2, None), (None, None)}
+    assert {(r[0], r[2]) for r in found} == {(5, None), (4, None), (6, 5), (1, None), (9, None), (7, None), (2, None), (None, None)}
     assert Counter((r[1], r[4]) for r in found if r[0] == 2) == {(2, 0): 1, (2, 1): 1}
     assert {r[1] for r in found if r[0] is None} == {None}
 
@@ -100,12 +100,23 @@ def test_long_chain(spark):
     assert {(r[0], r[1], r[3], r[4]) for r in build(spark, rows)} == {(i, 0, i, i) for i in range(40)}
 
 
+def test_equal_openings_stay_apart(spark):
+    """A third of the conversations open with the same words; each reply finds its own."""
+    rows = []
+    for c in range(30):
+        opening = "hello" if c % 3 == 0 else f"about {c}"
+        rows += [(10 * c, opening), (10 * c + 1, f"> {opening}\nyes"), (10 * c + 2, f">> {opening}\n> yes\nfine"), (10 * c + 3, f"> {opening}\nme too")]
+    found = {(r[0], r[1], r[2]) for r in build(spark, rows)}
+    expected = {(10 * c + i, 10 * c, parent) for c in range(30) for i, parent in ((0, None), (1, 10 * c), (2, 10 * c + 1), (3, 10 * c))}
+    assert found == expected
+
+
 def test_empty(spark):
     assert build(spark, []) == set()
 
 
 def brute_force(turns):
-    """Every turn answers the first message with the text before it, in the same surroundings."""
+    """Every turn answers the last message before it with the text before it, in the same surroundings."""
     by_conv = {}
     for t in sorted(turns, key=lambda t: (t.conv_id, t.turn)):
         by_conv.setdefault(t.conv_id, []).append(t)
@@ -115,11 +126,11 @@ def brute_force(turns):
     for conv in by_conv.values():
         for i, t in enumerate(conv):
             chains[name(t)] = [normal(x.text) for x in conv[max(i - 2, 0) : i + 1]][::-1]
-    known = {}
+    known, parent = {}, {}
     for m, chain in sorted(chains.items()):
+        parent[m] = known.get(tuple(chain[1:]))
         for n in range(1, len(chain) + 1):
-            known.setdefault(tuple(chain[:n]), m)
-    parent = {m: p if (p := known.get(tuple(c[1:]))) and p < m else None for m, c in chains.items()}
+            known[tuple(chain[:n])] = m
     out = {}
     for m in parent:
         root, depth = m, 0
