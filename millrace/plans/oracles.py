@@ -405,3 +405,6 @@ WITH {RAW}, {CLEAN}
 SELECT coalesce(strftime(order_date, '%Y-%m'), 'none') AS month, count(DISTINCT customer_id) AS buyers,
        true AS buyers_near, true AS median_near
 FROM clean GROUP BY 1"""
+ORACLES["e_event_totals"] = """
+SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM events GROUP BY 1, 2"""
