@@ -3,8 +3,8 @@
 1. *Suffixes.*  The lines of all documents, blank ones left out, are sequences of line ids.  A line that
    is nowhere else ends every run, so only lines that are there twice begin a suffix.
 2. *Prefix doubling.*  Suffixes are ranked by their first line, then by pairs of ranks one line apart, two apart
-   and so on, until a round tells no more of them apart: then suffixes of equal rank are equal to
-   their ends.  Ordered by rank and place in the documents they are the suffix array.
+   and so on, until all are told apart or have ended; a round works on those that are left.  Ordered
+   by rank and place in the documents they are the suffix array.
 3. *Common prefixes.*  Of all earlier suffixes the one with the longest prefix in common is the nearest in the
    suffix array, on either side, that is earlier in the documents.  Minima of stretches that double find both; the
    prefix itself is put together from the ranks, longest first.
@@ -21,6 +21,8 @@ empty; rows equal in ``doc_id`` and text are one document and get the same resul
 no rows; other columns are ignored.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm.components import stored
@@ -35,82 +37,112 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x09-\x0D\x20]"))
 
 
-def _ranked(rows: DataFrame, *by: str) -> DataFrame:
-    """Distinct values of ``by`` that occur more than once, and ``place``, their order number."""
-    twice = rows.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    return numbered(twice, *by)
-
-
 def _suffixes(docs: DataFrame) -> DataFrame:
-    """``key``, ``doc_id``, ``line`` and ``rank`` of every line that is there twice; ``left``: lines up to the next that is not."""
+    """``at``, ``key``, ``line``, ``rank`` and ``left`` of every line that is there twice.
+
+    ``at`` numbers them in the order of documents and lines; ``rank`` is the number of lines whose content
+    sorts before; ``left`` counts the lines up to the next that is nowhere else.
+    """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = named.withColumn("key", row_key("doc_id", "text"))
     lines = named.select("key", "doc_id", F.posexplode(lines_of(F.col("text"))).alias("line", "content"))
     lines = lines.select("key", "doc_id", "line", F.unhex(F.md5(F.col("content").cast("binary"))).alias("id"))
-    found = lines.join(_ranked(lines, "id"), "id").dropDuplicates(["key", "line"])
+    twice = lines.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    found = lines.join(twice, "id").dropDuplicates(["key", "line"])
+    found = numbered(found, "doc_id", "key", "line").withColumnRenamed("place", "at")
+    firsts = numbered(found.groupBy("id").agg(F.count("*").alias("n")), "id", weight="n").select("id", F.col("place").alias("rank"))
     stretch = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
-    found = found.withColumn("stretch", stretch)
     left = F.max("line").over(Window.partitionBy("key", "stretch")) - F.col("line") + 1
-    return stored(found.select("key", "doc_id", "line", F.col("place").alias("rank"), left.alias("left")), "suffixes")
+    found = found.join(firsts, "id").withColumn("stretch", stretch).select("at", "key", "line", "rank", left.alias("left"))
+    return stored(found, "suffixes")
 
 
-def _doubled(suffixes: DataFrame) -> list[DataFrame]:
-    """Tables like ``suffixes`` with ranks by 1, 2, 4 and so on lines, until a round makes no more ranks."""
-    levels, classes = [suffixes], suffixes.agg(F.count_distinct("rank")).first()[0]
+def _doubled(suffixes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables of ``at``, ``rank`` and ``left`` with ranks by 1, 2, 4 and so on lines, and each suffix's last rank.
+
+    A rank is the number of suffixes that sort before, so ranks of different rounds can be compared.  Suffixes that
+    have ended, or share their rank with no other, keep it and take no part in further rounds.
+    """
+    latest = suffixes.select("at", "rank", "left")
+    levels = [latest]
     while True:
         step = 1 << (len(levels) - 1)
-        ahead = Window.partitionBy("key").orderBy("line").rangeBetween(step, step)
-        # beyond a stretch's end nothing follows, whatever lines come later
-        after = F.when(F.col("left") > step, F.max("rank").over(ahead))
-        pairs = levels[-1].withColumn("next", F.coalesce(after, F.lit(-1)))
-        names = numbered(pairs.select("rank", "next").distinct(), "rank", "next")
-        further = pairs.join(names, ["rank", "next"]).select("key", "doc_id", "line", F.col("place").alias("rank"), "left")
-        levels.append(stored(further, "suffixes"))
-        found = names.count()
-        if found == classes:
-            return levels
-        classes = found
+        classes = levels[-1].groupBy("rank").agg(F.count("*").alias("n"), F.count_if(F.col("left") <= step).alias("ended"))
+        onward = levels[-1].filter(F.col("left") > step).join(classes.filter("n > 1 and ended < n").select("rank", "ended"), "rank")
+        after = latest.select((F.col("at") - step).alias("at"), F.col("rank").alias("next"))
+        pairs = stored(onward.join(after, "at").select("at", "rank", "left", "ended", "next"), "pairs")
+        if pairs.isEmpty():
+            return levels, latest
+        names = numbered(pairs.groupBy("rank", "next", "ended").agg(F.count("*").alias("n")), "rank", "next", weight="n")
+        own = names.groupBy("rank").agg(F.min("place").alias("first"))
+        names = names.join(own, "rank").select("rank", "next", (F.col("rank") + F.col("ended") + F.col("place") - F.col("first")).alias("name"))
+        levels.append(stored(pairs.join(names, ["rank", "next"]).select("at", F.col("name").alias("rank"), "left"), "ranks"))
+        newer = levels[-1].select("at", F.col("rank").alias("newer"))
+        latest = stored(latest.join(newer, "at", "left").select("at", F.coalesce("newer", "rank").alias("rank"), "left"), "latest")
 
 
 def _nearest_earlier(array: DataFrame) -> DataFrame:
-    """``place`` and ``other``: on each side the nearest place whose suffix is earlier, if its first line is the same.
+    """``at`` and ``its_at``: on each side the nearest suffix in the array that is earlier, if its first line is the same.
 
-    ``array`` has ``place``, ``base``, the rank of the first line, and ``at``, the suffix's number in the documents.
-    For each place the earliest suffix of the next 1, 2, 4 and so on places is known; from the widest stretch down,
-    every suffix steps over those in which all are later.
+    ``array`` has ``place``, ``at``, ``base``, the rank of the first line, and ``size``, how many have it.  For each
+    place the earliest suffix of the next 1, 2, 4 and so on places is known; from the widest stretch down every
+    suffix steps over those in which all are later.  Lines that are there ``n`` times need stretches below ``n``.
     """
-    largest = array.groupBy("base").count().agg(F.max("count")).first()[0] or 1
+    largest = array.agg(F.max("size")).first()[0] or 1
     side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
-    least = [array.select("place", side, F.col("at").alias("least"))]
+    least = [array.select("place", side, F.col("at").alias("least"), "size")]
     while 1 << len(least) < largest:
         step = 1 << (len(least) - 1)
-        beyond = least[-1].select((F.col("place") - F.col("side") * step).alias("place"), "side", F.col("least").alias("its"))
-        wider = least[-1].join(beyond, ["place", "side"], "left").select("place", "side", F.least("least", "its").alias("least"))
-        least.append(stored(wider, "least"))
-    found = array.select("place", "base", "at", side).withColumn("other", F.col("place") + F.col("side"))
+        here = least[-1].filter(F.col("size") > step)
+        beyond = here.select((F.col("place") - F.col("side") * step).alias("place"), "side", F.col("least").alias("its"))
+        wider = here.filter(F.col("size") > 2 * step).join(beyond, ["place", "side"], "left")
+        least.append(stored(wider.select("place", "side", F.least("least", "its").alias("least"), "size"), "least"))
+    rows = array.select("at", "base", "size", side, (F.col("place") + F.col("side")).alias("other"))
+    found = None
     for level in reversed(range(len(least))):
-        there = least[level].withColumnRenamed("place", "other")
+        fresh_ = rows.filter((F.col("size") > 1 << level) & (F.col("size") <= (1 << (level + 1) if found is not None else largest)))
+        active = fresh_ if found is None else found.unionByName(fresh_)
+        there = least[level].select(F.col("place").alias("other"), "side", "least")
         later = F.coalesce(F.col("least") > F.col("at"), F.lit(False))
         onward = F.col("other") + F.when(later, F.col("side") * (1 << level)).otherwise(0)
-        found = stored(found.join(there, ["other", "side"], "left").select("place", "base", "at", "side", onward.alias("other")), "nearest")
+        found = stored(active.join(there, ["other", "side"], "left").select("at", "base", "size", "side", onward.alias("other")), "nearest")
     its = array.select(F.col("place").alias("other"), F.col("base").alias("its_base"), F.col("at").alias("its_at"))
-    return found.join(its, "other").filter("its_base = base and its_at < at").select("place", "other")
+    return found.join(its, "other").filter("its_base = base and its_at < at").select("at", "its_at")
 
 
 def _common_prefixes(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """``pairs`` of suffixes (``key`` and ``line``, ``its_key`` and ``its_line``) with ``length``, their common lines."""
-    names = ["key", "line", "its_key", "its_line"]
-    pairs = pairs.withColumn("length", F.lit(0))
-    for level in reversed(range(len(levels))):
-        rank = levels[level].select(F.col("key").alias("k"), F.col("line").alias("l"), "rank", "left")
-        here = pairs.join(rank, (F.col("key") == F.col("k")) & (F.col("line") + F.col("length") == F.col("l")), "left").drop("k", "l")
-        its = rank.withColumnsRenamed({"rank": "its_rank", "left": "its_left"})
-        both = here.join(its, (F.col("its_key") == F.col("k")) & (F.col("its_line") + F.col("length") == F.col("l")), "left")
-        # the last ranks are equal for suffixes that are equal to their ends, those before for as many lines as they stand for
-        most = F.col("left") if level == len(levels) - 1 else F.least("left", F.lit(1 << level))
-        more = F.when(F.col("rank") == F.col("its_rank"), most).otherwise(0)
-        pairs = stored(both.select(*names, (F.col("length") + more).alias("length")), "prefixes")
-    return pairs
+    """``at`` and ``length``, the lines that a suffix has in common with the one at ``its_at``; they share the first line.
+
+    Both follow their stretch of repeated lines, ``left`` and ``its_left`` of them, so only as many can agree.
+    """
+    pairs = stored(pairs.withColumn("length", F.lit(0)), "prefixes")
+    found, done = None, []
+    for level in reversed(range(1, len(levels))):
+        most = F.least("left", "its_left")
+        low, high = 1 << (level - 1), 1 << level
+        fresh_ = pairs.filter(most > low if found is None else (most > low) & (most <= high))
+        active = fresh_ if found is None else found.unionByName(fresh_)
+        rank = levels[level].select(F.col("at").alias("a"), "rank", F.col("left").alias("further"))
+        # beyond its end another stretch begins
+        inside = F.col("length") < most
+        here = active.join(rank, inside & (F.col("at") + F.col("length") == F.col("a")), "left").drop("a")
+        its = levels[level].select(F.col("at").alias("a"), F.col("rank").alias("its_rank"))
+        both = here.join(its, inside & (F.col("its_at") + F.col("length") == F.col("a")), "left")
+        more = F.when(F.col("rank") == F.col("its_rank"), F.least("further", F.lit(high))).otherwise(0)
+        found = stored(both.select("at", "its_at", "left", "its_left", (F.col("length") + more).alias("length")), "prefixes")
+    short = pairs if found is None else found.filter("length = 0").unionByName(pairs.filter(F.least("left", "its_left") <= 1))
+    done.append(short.select("at", F.lit(1).alias("length")))
+    if found is not None:
+        # one line more, if it is within both stretches
+        some = found.filter("length > 0")
+        rank = levels[0].select(F.col("at").alias("a"), "rank")
+        inside = F.col("length") < F.least("left", "its_left")
+        here = some.join(rank, inside & (F.col("at") + F.col("length") == F.col("a")), "left").drop("a")
+        its = rank.withColumnRenamed("rank", "its_rank")
+        both = here.join(its, inside & (F.col("its_at") + F.col("length") == F.col("a")), "left")
+        more = F.when(F.col("rank") == F.col("its_rank"), 1).otherwise(0)
+        done.append(both.select("at", (F.col("length") + more).alias("length")))
+    return reduce(DataFrame.unionByName, done)
 
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
@@ -118,16 +150,19 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
 
     A run has ``min_lines`` lines or more; runs of a document may overlap, but none holds another.
     """
-    levels = _doubled(_suffixes(docs))
-    placed = numbered(levels[0].withColumnRenamed("rank", "base"), "doc_id", "key", "line").withColumnRenamed("place", "at")
-    array = numbered(placed.join(levels[-1].select("key", "line", "rank"), ["key", "line"]), "rank", "at")
-    array = stored(array.select("place", "key", "line", "base", "at"), "array")
+    suffixes = _suffixes(docs)
+    levels, latest = _doubled(suffixes)
+    base = suffixes.select("at", F.col("rank").alias("base"))
+    sizes = base.groupBy("base").agg(F.count("*").alias("size"))
+    array = numbered(latest.select("at", "rank"), "rank", "at").join(base, "at").join(sizes, "base")
+    array = stored(array.filter("size > 1").select("place", "at", "base", "size"), "array")
     nearest = _nearest_earlier(array)
-    own = array.select("place", "key", "line")
-    its = array.select(F.col("place").alias("other"), F.col("key").alias("its_key"), F.col("line").alias("its_line"))
-    prefixes = _common_prefixes(nearest.join(own, "place").join(its, "other").drop("place", "other"), levels)
-    longest = prefixes.groupBy("key", "line").agg(F.max("length").alias("length")).filter(F.col("length") >= min_lines)
-    return longest.groupBy("key", (F.col("line") + F.col("length")).alias("end")).agg(F.min("line").alias("start")).select("key", "start", "end")
+    left = suffixes.select("at", "left")
+    its = left.withColumnsRenamed({"at": "its_at", "left": "its_left"})
+    prefixes = _common_prefixes(nearest.join(left, "at").join(its, "its_at"), levels)
+    longest = prefixes.groupBy("at").agg(F.max("length").alias("length")).filter(F.col("length") >= min_lines)
+    placed = longest.join(suffixes.select("at", "key", "line"), "at")
+    return placed.groupBy("key", (F.col("line") + F.col("length")).alias("end")).agg(F.min("line").alias("start")).select("key", "start", "end")
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, count: str = "_n_lines", removed: str = "_removed", runs: str = "_runs") -> DataFrame:
