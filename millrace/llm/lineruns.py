@@ -11,8 +11,9 @@
 4. *Runs.*  A line whose suffix has ``min_lines`` lines or more in common with an earlier one begins a run, and lines whose
    runs end at one place belong to one: from the first of them on it is a maximal run.  Its lines go.
 
-Places are ordered by ``doc_id``, document and line.  All joins are on unique places or on a document's lines,
-so no pile of equal lines meets in one task; counting combines before the shuffle.
+Places are ordered by ``doc_id``, document and line.  Most joins are on unique places.  Those on a line's id or rank
+have one row for each on the other side, so adaptive execution splits them; counting combines before the
+shuffle, and no pile of equal lines meets in one task.
 
 Defined cases: null texts stay null and have no lines; empty or blank texts are unchanged; a text
 that loses lines also loses its blank lines, others keep them; a text that loses all lines is
