@@ -5,9 +5,10 @@
 2. *Prefix doubling.*  Suffixes are ranked by their first line, then by pairs of ranks one line apart, two apart
    and so on, until all are told apart or have ended; a round works on those that are left.  Ordered
    by rank and place in the documents they are the suffix array.
-3. *Common prefixes.*  Of all earlier suffixes the one with the longest prefix in common is the nearest in the
-   suffix array, on either side, that is earlier in the documents.  Minima of stretches that double find both; the
-   prefix itself is put together from the ranks, longest first.
+3. *Common prefixes.*  Suffixes that are equal to the end are one in the suffix array; all but the earliest have
+   all their lines in common with it.  Of all earlier suffixes the one with the longest prefix in common with the
+   earliest is the nearest in the suffix array, on either side, that is earlier in the documents.  Minima of stretches
+   that double find both; the prefix itself is put together from the ranks, longest first.
 4. *Runs.*  A line whose suffix has ``min_lines`` lines or more in common with an earlier one begins a run, and lines whose
    runs end at one place belong to one: from the first of them on it is a maximal run.  Its lines go.
 
@@ -87,7 +88,7 @@ def _nearest_earlier(array: DataFrame) -> DataFrame:
 
     ``array`` has ``place``, ``at``, ``base``, the rank of the first line, and ``size``, how many have it.  For each
     place the earliest suffix of the next 1, 2, 4 and so on places is known; from the widest stretch down every
-    suffix steps over those in which all are later.  Lines that are there ``n`` times need stretches below ``n``.
+    suffix steps over those in which all are later.  Lines that begin ``n`` places need stretches below ``n``.
     """
     largest = array.agg(F.max("size")).first()[0] or 1
     side = F.explode(F.array(F.lit(-1), F.lit(1))).alias("side")
@@ -153,15 +154,17 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """
     suffixes = _suffixes(docs)
     levels, latest = _doubled(suffixes)
+    # suffixes that share their last rank are equal to the end, and the earliest of them stands for all
+    classes = stored(latest.groupBy("rank").agg(F.min("at").alias("at")), "classes")
+    equal = latest.join(classes.select("at"), "at", "left_anti").select("at", F.col("left").alias("length"))
     base = suffixes.select("at", F.col("rank").alias("base"))
-    sizes = base.groupBy("base").agg(F.count("*").alias("size"))
-    array = numbered(latest.select("at", "rank"), "rank", "at").join(base, "at").join(sizes, "base")
-    array = stored(array.filter("size > 1").select("place", "at", "base", "size"), "array")
-    nearest = _nearest_earlier(array)
+    array = stored(numbered(classes, "rank").join(base, "at").select("place", "at", "base"), "array")
+    sizes = array.groupBy("base").agg(F.count("*").alias("size")).filter("size > 1")
+    nearest = _nearest_earlier(stored(array.join(sizes, "base").select("place", "at", "base", "size"), "array"))
     left = suffixes.select("at", "left")
     its = left.withColumnsRenamed({"at": "its_at", "left": "its_left"})
     prefixes = _common_prefixes(nearest.join(left, "at").join(its, "its_at"), levels)
-    longest = prefixes.groupBy("at").agg(F.max("length").alias("length")).filter(F.col("length") >= min_lines)
+    longest = prefixes.groupBy("at").agg(F.max("length").alias("length")).unionByName(equal).filter(F.col("length") >= min_lines)
     placed = longest.join(suffixes.select("at", "key", "line"), "at")
     return placed.groupBy("key", (F.col("line") + F.col("length")).alias("end")).agg(F.min("line").alias("start")).select("key", "start", "end")
 
