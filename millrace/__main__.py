@@ -122,7 +122,7 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument(
         "--mode", default="append", choices=("append", "overwrite", "replace")
     )
-    etl.add_argument("--layout", default="rebalance", choices=("rebalance", "local"))
+    etl.add_argument("--layout", default="local", choices=("rebalance", "local"))
     etl.add_argument("--drifted", action="store_true")
     etl.add_argument("--multiline", action="store_true")
     etl.add_argument("--drop-source-total", action="store_true")

@@ -46,7 +46,7 @@ def run_pipeline(
     def clean() -> None:
         raw = read_committed(spark, paths["raw"], schemas.RAW_SALES)
         _replace(raw.filter("order_id is null").withColumn("reject_reason", F.lit("missing order_id")), paths["rejected"])
-        write_partitioned(clean_sales(raw), paths["clean"], mode="replace")
+        write_partitioned(clean_sales(raw), paths["clean"], mode="replace", layout="local")
 
     write = {
         "raw": lambda: _replace(read_sales(), paths["raw"]),

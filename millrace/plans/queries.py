@@ -283,7 +283,7 @@ def j1_simple_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def j1_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, path = scratch_dir(spark, "landing-json"), scratch_dir(spark, "simple-etl")
-    _raw(spark, sf_dir).write.json(f"{folder}/sales_1.json")
+    _raw(spark, sf_dir).write.option("compression", "gzip").json(f"{folder}/sales_1.json")
     run_simple_etl(spark, folder, path, source_format="json")
     return partitioned.read_committed(spark, path, schemas.CLEAN_SALES)
 

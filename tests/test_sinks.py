@@ -8,6 +8,7 @@ from millrace import schemas
 from millrace.functions.routing import ROUTES
 from millrace.operators.clean import clean_sales
 from millrace.operators.skew import SkewPolicy
+from millrace.plans import queries
 from millrace.sinks import catalog
 from millrace.sinks.formats import write_drop
 from millrace.sinks.partitioned import is_committed, read_committed, write_partitioned
@@ -225,3 +226,45 @@ def test_a_column_named_salt_stays(spark, tmp_path):
     found = spark.read.parquet(path)
     assert sorted(r["salt"] for r in found.collect()) == list(range(500))
     assert sorted(found.columns) == ["_salt", "region", "salt"]
+
+
+def last_plan(spark):
+    """The plan of the last SQL execution that ended."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    return store.executionsList().last().physicalPlanDescription()
+
+
+def test_local_layout_neither_shuffles_nor_sorts(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    df = sales(spark, [f"r{i % 5}" for i in range(1000)]).repartition(3)
+    df.write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    write_partitioned(df, path, layout="local")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert "Exchange" not in last_plan(spark)
+    assert "Sort" not in last_plan(spark)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+    assert rows(read(spark, path), *df.columns) == rows(df)
+
+
+def test_local_layout_with_more_values_than_open_files(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    df = sales(spark, [f"r{i % 50}" for i in range(1000)]).coalesce(1)
+    write_partitioned(df, path, layout="local")
+    assert rows(read(spark, path), *df.columns) == rows(df)
+    assert len(parquet_files(path)) == 50
+
+
+def test_local_layout_keeps_the_callers_setting(spark, tmp_path):
+    other = spark.newSession()
+    other.conf.set("spark.sql.maxConcurrentOutputFileWriters", "3")
+    write_partitioned(sales(other, ["a", "b"]), str(tmp_path / "out"), layout="local")
+    assert other.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "3"
+
+
+def test_json_landing_is_compressed(spark, tmp_path, monkeypatch):
+    sf_dir = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    queries.j1_json(spark, sf_dir)
+    parts = [p for p in os.listdir(tmp_path / "landing-json" / "sales_1.json") if p.startswith("part-")]
+    assert parts and all(p.endswith(".json.gz") for p in parts)
