@@ -36,40 +36,50 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine text columns, one row per line item.
 
     The small tables join first, so line items shuffle once for their order and
-    once for their part.
+    once for their part.  What a value depends on is decided on its own side and
+    text is made after the last join, so that these rows are narrow.
     """
     buyers = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
-        .select("c_custkey", "c_acctbal", "r_name")
+        .select("c_custkey", F.when(F.col("c_acctbal") >= -900, F.col("r_name")).alias("region"))
     )
-    orders = table(spark, sf_dir, "orders").join(buyers, F.expr("o_custkey = c_custkey"))
-    items = table(spark, sf_dir, "lineitem")
-    parts = table(spark, sf_dir, "part")
-    lines = items.join(orders, F.expr("l_orderkey = o_orderkey"))
-    lines = lines.join(parts, F.expr("l_partkey = p_partkey"))
-
+    pending = F.expr("o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED'")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.coalesce(pending, F.lit(False)).alias("pending")
+    )
+    orders = orders.join(buyers, F.expr("o_custkey = c_custkey"))
     units = F.col("l_quantity").cast("int").cast("string")
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("total"),
+        F.when(F.expr("l_discount > 0.095 and l_tax > 0.075"), "N/A")
+        .when(F.col("l_linenumber") == 7, F.concat(units, F.lit(".7")))
+        .otherwise(units)
+        .alias("quantity"),
+        F.coalesce(~F.expr("l_discount = 0 and l_tax = 0"), F.lit(False)).alias("named"),
+    )
+    lines = items.join(orders, F.expr("l_orderkey = o_orderkey")).select(
+        "l_partkey",
+        F.when(F.col("named"), F.col("o_orderkey")).alias("order_key"),
+        "o_custkey", "total", "o_orderdate", "pending", "quantity", "region",
+    )
+    lines = lines.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+
     columns = {
-        "order_id": F.when(
-            ~F.expr("l_discount = 0 and l_tax = 0"), F.col("o_orderkey").cast("string")
-        ),
+        "order_id": F.col("order_key").cast("string"),
         "product_name": F.col("p_name"),
         "category": F.col("p_type"),
-        "quantity": F.when(F.expr("l_discount > 0.095 and l_tax > 0.075"), "N/A")
-        .when(F.col("l_linenumber") == 7, F.concat(units, F.lit(".7")))
-        .otherwise(units),
+        "quantity": F.col("quantity"),
         "unit_price": F.when(F.col("p_size") == 50, "N/A").otherwise(
             _money("p_retailprice", "decimal(12,2)")
         ),
-        "total_price": _money("l_extendedprice", "decimal(14,2)"),
+        "total_price": F.col("total").cast("string"),
         "customer_id": F.col("o_custkey").cast("string"),
-        "order_timestamp": F.when(
-            F.expr("o_orderstatus = 'P' and o_orderpriority = '4-NOT SPECIFIED'"),
-            "pending",
-        ).otherwise(_iso("o_orderdate")),
-        "region": F.when(F.col("c_acctbal") >= -900, F.col("r_name")),
+        "order_timestamp": F.when(F.col("pending"), "pending").otherwise(_iso("o_orderdate")),
+        "region": F.col("region"),
     }
     return lines.select(*[columns[c].alias(c) for c in schemas.SALES_COLUMNS])
 
