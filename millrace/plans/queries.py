@@ -217,7 +217,7 @@ def l2_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k1_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "partitioned")
     partitioned.write_partitioned(
-        clean.clean_sales(_raw(spark, sf_dir)), path
+        clean.clean_sales(_raw(spark, sf_dir)), path, layout="local"
     )
     return spark.read.schema(schemas.CLEAN_SALES).parquet(path)
 
@@ -261,7 +261,7 @@ def k4_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "catalog")
     name = f"millrace_sales_{path.rpartition('-')[2]}"
     for part in (sales.filter(first), sales.filter(~first)):
-        partitioned.write_partitioned(part, path)
+        partitioned.write_partitioned(part, path, layout="local")
         catalog.register_table(spark, name, path, schemas.CLEAN_SALES, ["region"])
     return spark.table(name)
 
