@@ -83,3 +83,15 @@ def test_empty(spark):
     none = frame(spark, [])
     assert with_sessions(none, "k", "t", F.expr("interval 1 day")).collect() == []
     assert rolling_sums(none, "k", "t", F.expr("interval 1 day"), {"s": F.col("n")}).collect() == []
+
+
+def test_a_hot_key_is_cut_long_before_a_task_is_full(spark, plan):
+    """Two million rows of one key, with the policy that events have: sliced, with the sums of a whole key."""
+    size = 2_200_000
+    rows = spark.range(0, size, numPartitions=4).select(F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") * 1_000_000).alias("t"))
+    sums = {"rows": F.lit(1).cast("long"), "none": F.lit(None).cast("long")}
+    found = rolling_sums(rows, "k", "t", F.expr("interval 9 seconds"), sums)
+    assert "_slice" in plan(found)
+    counts = {r["rows"]: r["n"] for r in found.groupBy("rows").agg(F.count("*").alias("n")).collect()}
+    assert counts == {**dict.fromkeys(range(1, 10), 1), 10: size - 9}
+    assert found.filter("none is not null").count() == 0
